@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tracewright.llm.common import documents
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.suffixes import without_repeated_bytes
+
+    return without_repeated_bytes(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -17,6 +23,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.automata import without_repeated_spans
+
+    return without_repeated_spans(documents(spark, sf_dir))
+
+
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracewright.llm.media import media_columns
 
@@ -24,7 +36,9 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_media_columns": op10_media_columns,
 }
 
