@@ -9,6 +9,7 @@ offset from its own rank. Ranks come from counts of (length, block) cells, so no
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,14 +23,19 @@ from tracewright.llm.common import written
 
 CAPACITY = 2048
 #: Words whose ids a worker remembers; beyond it the memory is emptied, which changes no result.
-MEMORY = 400_000
+MEMORY = 1_200_000
+#: Stands between words that are encoded together: a word of its own whose one id no text without it yields.
+BETWEEN = "€"
 
 #: str.split() also splits at these, the vocabulary doesn't; texts that hold any are split at ASCII white space alone.
 _ODD, _PLAIN = re.compile("[\x1c-\x1f]"), re.compile(r"[^ \t\n\r\x0b\x0c]+")
+#: Letters and after them nothing but ASCII marks.
+_MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)\Z")
 _words: dict[str, bytes] = {}
 
 
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -45,18 +51,41 @@ class WordIds:
         """Little-endian unsigned 32-bit ids of each text."""
         if self.tokenizer is None:
             self.tokenizer = _tokenizer(self.path)
+            (self.between,) = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         known = _words
         if len(known) > MEMORY:
             known.clear()
         split = [_PLAIN.findall(x) if _ODD.search(x) else x.split() for x in texts]
         fresh = list(set().union(*split).difference(known)) if split else []
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, "<u4").tobytes()
+        if fresh:
+            self._learn(fresh, known)
         return [b"".join(map(known.__getitem__, x)) for x in split]
 
 
+    def _learn(self, fresh: list[str], known: dict[str, bytes]) -> None:
+        """Adds ids of words. Letters and a tail of marks are two tokens of the splitting pattern, so each is encoded once, by itself."""
+        halves = {}
+        for w in fresh:
+            if (m := _MARKED.match(w)) and m[1].lower().isalpha():  # else a mark that lowering yields joins the tail
+                stem, tail = m.groups()
+                halves[w] = (stem.lower() if stem.isascii() else stem, tail)
+            elif w.isascii() and w.isalpha() and not w.islower():
+                halves[w] = (w.lower(), "")
+        single = {x for pair in halves.values() for x in pair if x}.union(w for w in fresh if w not in halves).difference(known)
+        for word in [w for w in single if BETWEEN in w]:
+            known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            single.discard(word)
+        todo = list(single)
+        for at in range(0, len(todo), 5_000):
+            some = todo[at : at + 5_000]
+            (found,) = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join([*some, ""])], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(ids == self.between)
+            raw = ids.tobytes()
+            known.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True)], strict=True))
+        known.update((w, known[stem] + known.get(tail, b"")) for w, (stem, tail) in halves.items())
+
+
 def pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = 0) -> DataFrame:
     """(id, piece, start, length, ids_crc32): each document's ids and the end id, cut every ``capacity`` ids. A null text is empty: one piece, the end id."""
 

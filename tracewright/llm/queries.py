@@ -9,12 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from tracewright.llm.common import documents
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.mixing import mixed
+
+    return mixed(documents(spark, sf_dir)).drop("tie")
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracewright.llm.suffixes import without_repeated_bytes
 
     return without_repeated_bytes(documents(spark, sf_dir))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.fingerprints import fingerprints
+
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,6 +41,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_spans(documents(spark, sf_dir))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.licenses import license_scan
+
+    return license_scan(documents(spark, sf_dir))
+
+
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracewright.llm.media import media_columns
 
@@ -36,9 +54,12 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_license_scan": op9_license_scan,
     "op10_media_columns": op10_media_columns,
 }
 
