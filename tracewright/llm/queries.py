@@ -27,6 +27,12 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.orderminhash import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_order_minhash": op6_order_minhash,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_license_scan": op9_license_scan,
