@@ -1,13 +1,71 @@
-"""Stages from raw documents to packed sequences."""
+"""From raw documents to packed sequences, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+one's docs. All but the last return the columns of documents; ``n_chars`` follows the text.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracewright.llm.common import written
+from tracewright.llm.mixing import mixed_documents
+from tracewright.llm.orderminhash import one_of_each_class
+from tracewright.llm.packing import packed_documents
+from tracewright.llm.quality import THRESHOLD, quality_model, with_quality
+from tracewright.llm.suffixes import texts_without_repeats
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    return df.withColumn("n_chars", F.char_length(F.coalesce("text", F.lit(""))).cast("long"))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores THRESHOLD or more."""
+    rows = docs.select(*COLUMNS)
+    model = quality_model(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return with_quality(rows, model).filter(F.col("quality_score") >= THRESHOLD).drop("quality_score")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, of each class of near duplicates."""
+    return one_of_each_class(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 400-byte strings that stand in two places."""
+    return _counted(texts_without_repeats(docs))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights; documents of several epochs are repeated."""
+    return _counted(mixed_documents(docs))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens with their places in sequences."""
+    import public_tokenizers
+
+    return packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_dedup", near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("mixing", mixing),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: A trained model, hashed sketches and tokenisers aren't SQL's; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

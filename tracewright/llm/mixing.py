@@ -77,3 +77,24 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     some = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before") - F.col("inside")))
     taken = (epochs * F.col("size") + some).cast("long")
     return rows.select(shown_id(F.col("dk")).alias(id_col), "size", "source_size", "target", taken.alias("taken"), "tie")
+
+
+def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix as rows of df's columns: a document once an epoch, and one more time if the fractional selection takes it.
+
+    The document at which a source's target is reached stands there with its first words only (joined by blanks). Repeated
+    rows of df are documents of their own.
+    """
+    seed = options.get("seed", 17)
+    names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the keys
+    at = names[df.columns.index(text_col)]
+    same = Window.partitionBy("dk", "tie").orderBy(F.lit(0))  # rows of equal id and text are alike
+    takes = mixed(df, id_col, text_col, source_col, **options)
+    takes = takes.select(id_key(id_col).alias("dk"), "tie", "size", "taken").withColumn("nth", F.row_number().over(same))
+    rows = df.toDF(*names).withColumn("dk", id_key(names[df.columns.index(id_col)])).withColumn("tie", F.xxhash64(text_or_empty(at), F.lit(seed))).withColumn("nth", F.row_number().over(same))
+    joined = rows.join(takes, ["dk", "tie", "nth"]).filter("taken > 0")
+    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
+    part = F.col("taken") - whole * F.col("size")
+    copies = joined.withColumn("words", F.explode(F.concat(F.array_repeat(F.col("size"), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))))
+    cut = F.array_join(F.slice(F.array_remove(F.split(at, r"[\x20\x09-\x0D]+"), ""), F.lit(1), F.col("words").cast("int")), " ")
+    return copies.withColumn(at, F.when(F.col("words") < F.col("size"), cut).otherwise(F.col(at))).select(*names).toDF(*df.columns)

@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tracewright.llm.common import documents
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.quality import quality_scores
+
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracewright.llm.mixing import mixed
 
@@ -60,6 +72,8 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,

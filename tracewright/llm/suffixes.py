@@ -10,12 +10,15 @@ text order (permuted), each from the one before it, for many blocks of the text
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tracewright.llm.common import shown_id
+from tracewright.llm.common import id_key, shown_id, text_or_empty
 from tracewright.llm.windows import Kind, applied, byte_items, covered, keyed, repeated_windows, runs_of
 
 LENGTH = 400
@@ -230,3 +233,29 @@ def without_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str
     schema = "dk long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     rows = applied(docs, found, work, schema)
     return rows.select(shown_id(F.col("dk")).alias(id_col), *[c for c in rows.columns if c != "dk"])
+
+
+def texts_without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """df with its texts replaced by what ``without_repeated_bytes`` keeps; all rows and columns stay.
+
+    Bytes of a character that was cut in two are dropped, so that the text is valid UTF-8 again. A null text becomes an empty
+    one; repeated rows get equal texts.
+    """
+    _, found = repeated_bytes(df, id_col, text_col, length)
+    at = df.columns.index(text_col)
+    names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the keys
+    rows = df.toDF(*names).withColumn("dk", id_key(f"c{df.columns.index(id_col)}")).withColumn("rk", F.hash(text_or_empty(f"c{at}")))
+    schema = T.StructType([T.StructField(n, f.dataType if k != at else T.StringType()) for k, (n, f) in enumerate(zip(names, df.schema.fields, strict=True))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, repeats in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+                raw = (text or "").encode()
+                gone = covered(len(raw), repeats, length)
+                texts.append(np.frombuffer(raw, np.uint8)[~gone].tobytes().decode("utf-8", "ignore") if repeats else text or "")
+            columns = list(batch.columns[: len(names)])
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.join(found, ["dk", "rk"], "left").select(*names, "repeats").mapInArrow(work, schema).toDF(*df.columns)
