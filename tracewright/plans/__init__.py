@@ -1 +1 @@
-""""""
+"""Plans made of operators."""

@@ -1 +1 @@
-""""""
+"""No operator of this library keeps state between batches; its functions on columns and rows apply to streams as they are."""
