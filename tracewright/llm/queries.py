@@ -84,4 +84,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_media_columns": op10_media_columns,
 }
 
-ORACLES: dict[str, str] = {}
+
+
+def _license_sql() -> str:
+    from tracewright.llm.licenses import LEAST, TEMPLATES
+
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({k}, {quoted(name)}, {quoted(text)})" for k, (name, text) in enumerate(TEMPLATES))
+    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    words = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+    return rf"""
+WITH tw AS (SELECT k, name, {words.format("x")} AS w FROM (VALUES {known}) AS v(k, name, x)), t AS (SELECT k, name, {grams} AS g FROM tw),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+u AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '
+[ 	]*
+')), [text])) AS x FROM d),
+uw AS (SELECT doc_id, {words.format("x")} AS w FROM u), p AS (SELECT doc_id, {grams} AS g FROM uw WHERE len(w) > 1),
+m AS (SELECT doc_id, k, name, 2.0::DOUBLE * len(list_intersect(p.g, t.g)) / (len(p.g) + len(t.g)) AS dice FROM p JOIN t ON len(p.g) BETWEEN {LEAST / (2 - LEAST) - 1e-9} * len(t.g) AND {(2 - LEAST) / LEAST + 1e-9} * len(t.g)),
+b AS (SELECT doc_id, k, name, dice, count(*) OVER (PARTITION BY doc_id) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, k) AS r FROM m WHERE dice >= {LEAST})
+SELECT d.doc_id, name AS license, k::INT AS template, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n, 0)::BIGINT AS n_matches FROM d LEFT JOIN b ON d.doc_id = b.doc_id AND r = 1
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op4_suffix_array_dedup": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, b, unnest(range(1, octet_length(b) - 398)) AS s FROM d),
+h AS (SELECT doc_id, s, md5(b[s:s + 399]) AS k FROM w),
+r AS (SELECT doc_id, s FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n FROM h) WHERE n > 1),
+e AS (SELECT doc_id, s, max(s + 400) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r),
+n AS (SELECT doc_id, s, sum(CASE WHEN before >= s THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM e),
+spans AS (SELECT doc_id, span, min(s) AS a, max(s) + 400 AS z FROM n GROUP BY 1, 2),
+edges AS (SELECT doc_id, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z FROM spans GROUP BY 1),
+k AS (SELECT d.doc_id, octet_length(b)::BIGINT AS n_bytes, b, coalesce(a, []) AS a, coalesce(z, []) AS z FROM d LEFT JOIN edges USING (doc_id))
+SELECT doc_id, n_bytes, coalesce(list_sum(z) - list_sum(a), 0)::BIGINT AS n_removed, len(a)::BIGINT AS n_spans,
+  sha256(unhex(array_to_string(list_transform(range(1, len(a) + 2), lambda i: hex(b[(CASE WHEN i = 1 THEN 1 ELSE z[i - 1] END):(CASE WHEN i > len(a) THEN n_bytes ELSE a[i] - 1 END)])), ''))) AS kept_sha256 FROM k
+""",
+    "op8_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d),
+h AS (SELECT doc_id, s, md5(array_to_string(ws[s:s + 19], ' ')) AS k FROM w),
+r AS (SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM h) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS p FROM r),
+words AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op9_license_scan": _license_sql(),
+}
