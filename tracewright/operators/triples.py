@@ -17,7 +17,8 @@ def to_triples(df: DataFrame, subject: Column, cls: str, scalars: dict[str, tupl
     one = [t("type", F.lit(cls), "iri")]
     one += [F.when(F.col(c).isNotNull(), t(p, F.col(c), "literal", d)) for c, (p, d) in scalars.items()]
     one += [F.when(F.col(c).isNotNull(), t(p, F.concat(F.lit(prefix), F.col(c).cast("string")), "iri")) for c, (p, prefix) in (references or {}).items()]
-    many = [F.transform(F.coalesce(F.col(c), F.array()), lambda x, p=p, prefix=prefix: t(p, F.concat(F.lit(prefix), x.cast("string")), "iri")) for c, (p, prefix) in (arrays or {}).items()]
+    each = lambda c, p, prefix: F.transform(F.coalesce(F.col(c), F.array()), lambda x: t(p, F.concat(F.lit(prefix), x.cast("string")), "iri"))
+    many = [each(c, p, prefix) for c, (p, prefix) in (arrays or {}).items()]
     return df.select(subject.alias("s"), F.explode(F.concat(F.array_compact(F.array(*one)), *many)).alias("t")).select("s", "t.*")
 
 
