@@ -79,7 +79,7 @@ def needed_words(templates: list[tuple[str, str]], least: float = LEAST) -> list
     def free(grams: set[str]) -> list[str]:
         return [g for g in grams if not set(g.split()) & set(chosen)]
 
-    while short := [g for g in sets if len(free(g)) >= least * len(g) / (2 - least)]:
+    while short := [g for g in sets if len(free(g)) >= least * len(g) / (2 - least) * (1 - 1e-9)]:
         gain = Counter(w for g in short for x in free(g) for w in set(x.split()))
         chosen.append(max(gain, key=lambda w: (len(w) >= 6, gain[w], len(w), w)))
     return chosen
@@ -106,7 +106,8 @@ def license_scan(
     templates = TEMPLATES if templates is None else templates
     known = [(name, text) for name, text in templates if bigrams(text)]
     sizes = [len(bigrams(text)) for _, text in known]
-    low, high = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
+    bound = least / (2 - least) * (1 - 1e-9)  # a little slack: the coefficient itself decides at the edge
+    low, high = min(sizes) * bound, max(sizes) / bound
     words = needed_words(known, least)
     text = F.col("text")
     whole = F.concat(F.split(text, r"\n"), F.split(text, r"\n[\x20\t\r]*\n"), F.array(text))
@@ -118,7 +119,7 @@ def license_scan(
     # a word alone has no bigram; units out of every template's bounds need no bigrams
     rows = rows.select(id_col, F.filter("words", lambda w: (F.size(w) - 1 >= low) & (F.size(w) > 1)).alias("words")).select(id_col, pairs.alias("pairs"))
     rows = rows.select(id_col, F.filter("pairs", lambda p: F.size(p).between(low, high)).alias("pairs"))
-    reach = F.lit(least / (2 - least))
+    reach = F.lit(bound)
     matched = F.transform(
         "pairs",
         lambda p: F.filter(
