@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder of the session (spark.checkpoint.dir), which cuts the lineage of a loop."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='tracewright-')}")
-    path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from tracewright.storage import written
 
 
 def endpoints(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -33,10 +22,10 @@ def peel(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     Only edges are kept between rounds: an edge goes with its source, and each round takes every source that nothing points
     to. As many rounds as the longest chain; a round's table is written, so that lost executors cost one round at most.
     """
-    live = _written(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct())
+    live = written(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct(), "live")
     n = live.count()
     while n:
-        left = _written(live.join(live.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"))
+        left = written(live.join(live.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"), "live")
         after = left.count()
         if after == n:
             break

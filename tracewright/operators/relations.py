@@ -56,6 +56,41 @@ def fk_array_violations(child: DataFrame, array: str, parent: DataFrame, pk: str
     return fk_violations(child.select(F.explode(array).alias("_each")), "_each", parent, pk, rule)
 
 
+def all_refs(df: DataFrame, key: str, suffixes: tuple[str, ...] = ("_id", "_ids", "_refs")) -> DataFrame:
+    """(key, path, ref): every reference that a nested table holds, by its fields' names.
+
+    The paths come from the schema when the plan is made: fields whose names end in one of the suffixes, in structs and in
+    arrays of structs at any depth.
+    """
+    from pyspark.sql import types as T
+
+    parts: list[DataFrame] = []
+
+    def walk(rows: DataFrame, column: Column, kind: T.DataType, path: str) -> None:
+        if isinstance(kind, T.StructType):
+            for f in kind.fields:
+                walk(rows, column[f.name] if path else F.col(f"`{f.name}`"), f.dataType, f"{path}.{f.name}" if path else f.name)
+        elif isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.StructType, T.ArrayType)):
+                inner = rows.select(F.col("_key"), F.explode(column).alias("_each"))
+                walk(inner, F.col("_each"), kind.elementType, path)
+            elif path.endswith(suffixes):
+                each = rows.select(F.col("_key").alias(key), F.lit(path).alias("path"), F.explode(column).alias("ref"))
+                parts.append(each.withColumn("ref", F.col("ref").cast("string")))
+        elif path.endswith(suffixes) and path != key:
+            parts.append(rows.select(F.col("_key").alias(key), F.lit(path).alias("path"), column.cast("string").alias("ref")).filter("ref IS NOT NULL"))
+
+    walk(df.withColumn("_key", F.col(key)), None, df.schema, "")
+    return union_edges(*parts)
+
+
+def external_edges(specs: DataFrame, inventory: DataFrame, external: str, dim: DataFrame, dim_code: str, key: str, normalise) -> DataFrame:
+    """Specs (external id, to_code) with the target resolved; ``state`` is unknown-source where a pinned inventory (id) lacks the external id."""
+    rows = resolve_code(specs, "to_code", dim, dim_code, key, normalise, "dst")
+    rows = rows.join(inventory.select(F.col("id").alias(external), F.lit(True).alias("_listed")), external, "left")
+    return rows.withColumn("state", F.when(F.col("_listed").isNull(), "unknown-source").otherwise(F.col("dst_state"))).drop("_listed", "dst_state")
+
+
 def coverage_both_ways(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """(side, key): keys of the left that the right lacks, and the other way round."""
     a, b = left.select(on).distinct(), right.select(on).distinct()

@@ -41,6 +41,12 @@ def same_multiset(a: DataFrame, b: DataFrame) -> bool:
     return fingerprint(a, a.columns).first() == fingerprint(b, a.columns).first()
 
 
+def is_deterministic(build, times: int = 2) -> bool:
+    """Whether building a table again, dealt over other partitions, gives the same rows."""
+    first = build()
+    return all(same_multiset(first, build().repartition(3 + k)) for k in range(1, times))
+
+
 def is_stale(new: DataFrame, stored: DataFrame) -> bool:
     return sorted(new.columns) != sorted(stored.columns) or not same_multiset(new, stored)
 

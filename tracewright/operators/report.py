@@ -50,3 +50,25 @@ def distinct_in_arrays(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def facet_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
+
+
+def relation_report(nodes: DataFrame, edges: DataFrame, owner: DataFrame, edge_id: str, attributes: list[str], src: str = "src", dst: str = "dst") -> DataFrame:
+    """(section, name, n): counts of edges by attribute, coverage of the graph, and edges by owner (node, owner), zero included."""
+    from tracewright.operators import graph
+
+    counts = count_by(edges, attributes).select(F.lit("edges").alias("section"), F.concat_ws(":", "dimension", F.coalesce("value", F.lit(""))).alias("name"), "n")
+    covered = graph.graph_coverage(nodes, edges, src, dst)
+    names = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in covered.columns])
+    covered = covered.select(F.explode(names).alias("x")).select(F.lit("coverage").alias("section"), "x.name", "x.n")
+    touched = graph.attach_edges(edges, edge_id, src, dst).join(owner, "node").groupBy("owner").agg(F.count_distinct("edge").alias("_n"))
+    owned = owner.select("owner").distinct().join(touched, "owner", "left").select(F.lit("owner").alias("section"), F.col("owner").cast("string").alias("name"), F.coalesce("_n", F.lit(0)).alias("n"))
+    return counts.union(covered).union(owned)
+
+
+def canonical_order(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in the order of their keys, for a sink that people read; a fingerprint needs no order."""
+    return df.orderBy(*keys)
+
+
+def locale_order(df: DataFrame, col: str, locale: str, *then: str) -> DataFrame:
+    return df.orderBy(F.collate(F.col(col), locale), *then)

@@ -66,6 +66,11 @@ def profile_of(code: Column, annex: Column) -> Column:
     )
 
 
+def program_scope(annex: Column, first: int = 23) -> Column:
+    """The programs that a document is of: its number decides."""
+    return F.when(annex >= first, F.array(F.lit("vocational"))).otherwise(F.array(F.lit("academic")))
+
+
 def _section_title(norm: Column, rules: Rules) -> Column:
     """What a line before a section marker offers as its title; null if nothing."""
     tail = F.regexp_extract(norm, rules.numbered, 1)

@@ -775,6 +775,160 @@ def question_locators(spark: SparkSession, d: str) -> DataFrame:
     return questions.source_locators(_chosen_tables(spark, d))
 
 
+@query("SELECT p_partkey AS id, p_name AS label, p_brand AS category, CASE WHEN p_size > 20 THEN 'high' ELSE 'middle' END AS level FROM part")
+def question_courses(spark: SparkSession, d: str) -> DataFrame:
+    return questions.courses(_chosen_tables(spark, d))
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS src, o_orderkey % 97 AS dst, o_orderpriority AS kind FROM orders WHERE o_orderkey % 3 = 0")
+def question_learning_relations(spark: SparkSession, d: str) -> DataFrame:
+    return questions.learning_relations(_chosen_tables(spark, d))
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS src, o_orderkey % 97 AS dst, o_orderpriority AS kind FROM orders WHERE o_orderkey % 3 = 1")
+def question_course_relations(spark: SparkSession, d: str) -> DataFrame:
+    return questions.course_relations(_chosen_tables(spark, d))
+
+
+def _more_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    part, orders, events = (table(spark, d, n) for n in ("part", "orders", "events"))
+    step = lambda order, kind, ids, chosen: F.struct(F.lit(order).alias("order"), F.lit(kind).alias("kind"), F.col("p_name").alias("reason"), chosen.alias("choice_set"), ids.alias("course_ids"))
+    none = F.array().cast("array<bigint>")
+    return {
+        "choice_set": part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("kind"), F.lit(0).alias("least"), F.when(F.col("p_size") > 25, F.col("p_size")).alias("most"), F.array(F.col("p_partkey"), F.col("p_partkey") + 1).alias("course_ids")),
+        "credit_rule": orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("kind"), F.col("o_custkey").alias("value"), F.lit("credit").alias("unit"), F.to_date("o_orderdate").alias("start"), F.when(F.col("o_orderstatus") == "F", F.to_date("o_orderdate") + F.lit(30)).alias("end")),
+        "pathway": part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("label"), F.lit(True).alias("unofficial"), F.array(step(1, "foundation", F.array(F.col("p_partkey"), F.col("p_partkey") * 2), F.lit(None).cast("string")), step(2, "alternatives", none, F.col("p_type"))).alias("steps")),
+        "gap": events.filter("event_type = 'error'").select(F.col("event_id").alias("id"), F.col("props").alias("description"), F.when(F.col("value") > 50, "high").otherwise("low").alias("severity"), F.col("event_type").alias("status")),
+        "transition": orders.select(F.col("o_orderkey").alias("id"), F.array(F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("https://x.example/learnmap/#/topic/"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_orderpriority"))).alias("from_topics"), F.array("o_custkey", "o_orderkey").alias("to_topics")),
+    }
+
+
+@query("SELECT p_partkey AS id, p_type AS kind, 0 AS least, CASE WHEN p_size > 25 THEN p_size END AS most, unnest([p_partkey, p_partkey + 1]) AS course FROM part")
+def question_choice_sets(spark: SparkSession, d: str) -> DataFrame:
+    return questions.choice_sets(_more_tables(spark, d))
+
+
+@query("SELECT o_orderkey AS id, o_orderpriority AS kind, o_custkey AS value, 'credit' AS unit, o_orderdate::DATE AS start, CASE WHEN o_orderstatus = 'F' THEN o_orderdate::DATE + 30 END AS \"end\" FROM orders")
+def question_credit_rules(spark: SparkSession, d: str) -> DataFrame:
+    return questions.credit_rules(_more_tables(spark, d))
+
+
+@query(
+    """SELECT p_partkey AS id, p_brand AS label, true AS unofficial, 1 AS "order", 'foundation' AS kind, p_name AS reason, NULL AS choice_set, unnest([p_partkey, p_partkey * 2]) AS course FROM part
+UNION ALL SELECT p_partkey, p_brand, true, 2, 'alternatives', p_name, p_type, NULL FROM part"""
+)
+def question_pathways(spark: SparkSession, d: str) -> DataFrame:
+    return questions.illustrative_pathways(_more_tables(spark, d))
+
+
+@query("SELECT event_id AS id, props AS description, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS severity, event_type AS status FROM events WHERE event_type = 'error'")
+def question_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return questions.coverage_gaps(_more_tables(spark, d))
+
+
+@query("SELECT o_orderkey AS id, 'https://x.example/learnmap/#/topic/' || o_custkey AS from_topic, unnest([o_custkey, o_orderkey]) AS to_topic FROM orders WHERE o_orderkey % 4 = 0")
+def question_outside_bridge(spark: SparkSession, d: str) -> DataFrame:
+    return questions.outside_bridge(_more_tables(spark, d))
+
+
+@query("SELECT count(*) = 0 AS holds FROM conversations WHERE role NOT IN ('user', 'assistant', 'system')")
+def question_no_learner_data(spark: SparkSession, d: str) -> DataFrame:
+    """Whether no row is of a class that must not be there."""
+    learners = table(spark, d, "conversations").filter(~F.col("role").isin("user", "assistant", "system"))
+    return rules.expect(learners, none={"no-learners": F.lit(True)}).select("holds")
+
+
+@query(
+    """WITH e AS (SELECT p_partkey // 2 AS src, p_partkey AS dst, p_partkey AS id, p_type FROM part WHERE p_partkey > 0 AND p_size > 5), n AS (SELECT p_partkey AS node, p_brand AS owner FROM part),
+t AS (SELECT src AS node, id FROM e UNION SELECT dst, id FROM e)
+SELECT 'edges' AS section, 'p_type:' || p_type AS name, count(*) AS n FROM e GROUP BY p_type UNION ALL SELECT 'edges', 'total:', count(*) FROM e
+UNION ALL SELECT 'coverage', 'nodes', count(*) FROM n UNION ALL SELECT 'coverage', 'participants', count(*) FROM n WHERE node IN (SELECT node FROM t) UNION ALL SELECT 'coverage', 'roots', count(*) FROM n WHERE node NOT IN (SELECT dst FROM e)
+UNION ALL SELECT 'coverage', 'isolated', count(*) FROM n WHERE node NOT IN (SELECT node FROM t) UNION ALL SELECT 'coverage', 'edges', count(*) FROM e
+UNION ALL SELECT 'owner', owner, count(DISTINCT id) FROM n LEFT JOIN t USING (node) GROUP BY owner"""
+)
+def relation_report(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    edges = part.filter("p_partkey > 0 AND p_size > 5").select(F.floor(F.col("p_partkey") / 2).cast("long").alias("src"), F.col("p_partkey").alias("dst"), F.col("p_partkey").alias("id"), "p_type")
+    nodes = part.select(F.col("p_partkey").alias("node"))
+    return report.relation_report(nodes, edges, part.select(F.col("p_partkey").alias("node"), F.col("p_brand").alias("owner")), "id", ["p_type"])
+
+
+@query(
+    """SELECT o_orderkey, 'detail.customer_id' AS path, o_custkey::VARCHAR AS ref FROM orders UNION ALL SELECT o_orderkey, 'parts.part_id', (o_orderkey % 7)::VARCHAR FROM orders
+UNION ALL SELECT o_orderkey, 'parts.part_id', (o_orderkey % 5)::VARCHAR FROM orders UNION ALL SELECT o_orderkey, 'source_refs', o_orderstatus FROM orders"""
+)
+def nested_references(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    piece = lambda n: F.struct((k % n).alias("part_id"), F.lit("x").alias("note"))
+    rows = table(spark, d, "orders").select("o_orderkey", F.struct(F.col("o_custkey").alias("customer_id")).alias("detail"), F.array(piece(7), piece(5)).alias("parts"), F.array("o_orderstatus").alias("source_refs"))
+    return relations.all_refs(rows, "o_orderkey")
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Order ' || o_orderkey || ' for ' || o_custkey || ' is done.' WHEN 'O' THEN 'Order ' || o_orderkey || ' waits for ' || o_custkey || '.' ELSE o_orderkey || '/' || o_custkey END AS sentence FROM orders")
+def rendered_texts(spark: SparkSession, d: str) -> DataFrame:
+    sentence = tx.render([("F", "Order %s for %s is done."), ("O", "Order %s waits for %s.")], "o_orderstatus", "o_orderkey", "o_custkey", default="%s/%s")
+    return table(spark, d, "orders").select("o_orderkey", sentence.alias("sentence"))
+
+
+@query("SELECT c_custkey, '{\"nation\":\"' || c_nationkey || '\",\"segment\":\"' || c_mktsegment || '\"}' AS json FROM customer")
+def canonical_json(spark: SparkSession, d: str) -> DataFrame:
+    m = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("nation"), F.col("c_nationkey").cast("string"))
+    return table(spark, d, "customer").select("c_custkey", tx.canonical_json(m).alias("json"))
+
+
+@query(
+    """WITH s AS (SELECT s_suppkey, 'topic-' || (s_suppkey % 40)::VARCHAR AS external, 'NATION_' || (s_suppkey % 30)::VARCHAR AS to_code FROM supplier)
+SELECT s_suppkey, n_nationkey AS dst, CASE WHEN s_suppkey % 40 NOT IN (SELECT n_nationkey FROM nation) THEN 'unknown-source' WHEN n_nationkey IS NULL THEN 'unknown' ELSE 'ok' END AS state FROM s LEFT JOIN nation ON n_name = to_code"""
+)
+def external_edges(spark: SparkSession, d: str) -> DataFrame:
+    nation = table(spark, d, "nation")
+    specs = table(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("topic-"), (F.col("s_suppkey") % 40).cast("string")).alias("external"), F.concat(F.lit("NATION_"), (F.col("s_suppkey") % 30).cast("string")).alias("to_code"))
+    listed = nation.select(F.concat(F.lit("topic-"), F.col("n_nationkey").cast("string")).alias("id"))
+    return relations.external_edges(specs, listed, "external", nation, "n_name", "n_nationkey", tx.compact).select("s_suppkey", "dst", "state")
+
+
+@query(
+    """WITH e AS (SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN 'candidate' ELSE 'done' END AS status, CASE WHEN o_orderkey % 11 = 0 THEN 'r' END AS reviewer FROM orders), r AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 50 <> 7 UNION ALL SELECT -o_orderkey FROM orders WHERE o_orderkey % 500 = 1),
+t AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS standard_id FROM lineitem), s AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 100 <> 3)
+SELECT 'review-coverage' AS rule_id, 'error' AS severity, 'edge' AS entity, id::VARCHAR AS key, 'left' AS detail FROM e WHERE id NOT IN (SELECT id FROM r) UNION ALL SELECT 'review-coverage', 'error', 'edge', id::VARCHAR, 'right' FROM r WHERE id NOT IN (SELECT id FROM e)
+UNION ALL SELECT 'candidate-reviewed', 'error', 'edge', id::VARCHAR, reviewer FROM e WHERE status = 'candidate' AND reviewer IS NOT NULL
+UNION ALL SELECT 'topics-per-standard', 'error', 'standard', s.id::VARCHAR, count(t.id)::VARCHAR FROM s LEFT JOIN t ON standard_id = s.id GROUP BY s.id HAVING count(t.id) NOT BETWEEN 2 AND 5
+UNION ALL SELECT 'topic-standard', 'error', 'topic', standard_id::VARCHAR, count(*)::VARCHAR FROM t WHERE standard_id NOT IN (SELECT id FROM s) GROUP BY standard_id"""
+)
+def governance(spark: SparkSession, d: str) -> DataFrame:
+    from tracewright.plans import catalogue
+
+    k, orders = F.col("o_orderkey"), table(spark, d, "orders")
+    edges = orders.select(k.alias("id"), F.when(F.col("o_orderstatus") == "P", "candidate").otherwise("done").alias("status"), F.when(k % 11 == 0, "r").alias("reviewer"))
+    reviews = orders.filter(k % 50 != 7).select(k.alias("id")).union(orders.filter(k % 500 == 1).select(-k))
+    topics = table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("standard_id"))
+    return catalogue.governance(edges, reviews, topics, orders.filter(k % 100 != 3).select(k.alias("id")))
+
+
+@query(
+    """SELECT 'course.grade' AS rule_id, 'error' AS severity, 'course' AS entity, p_partkey::VARCHAR AS key, '[' || p_size || ']' AS detail FROM part WHERE p_size > 20 AND p_partkey % 3 = 0
+UNION ALL SELECT 'course.id-form', 'error', 'course', p_partkey::VARCHAR, p_partkey::VARCHAR FROM part WHERE NOT regexp_matches(p_partkey::VARCHAR, '^[a-z0-9][a-z0-9._:-]*$')
+UNION ALL SELECT 'course.id-length', 'error', 'course', p_partkey::VARCHAR, p_partkey::VARCHAR FROM part WHERE length(p_partkey::VARCHAR) < 3
+UNION ALL SELECT 'relation.kind', 'error', 'relation', o_orderkey::VARCHAR, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT 'relation.loop', 'error', 'relation', o_orderkey::VARCHAR, o_custkey::VARCHAR FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey = o_orderkey % 97"""
+)
+def shape_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    from tracewright.plans import catalogue
+
+    tables = _chosen_tables(spark, d)
+    return catalogue.check_tables({n: tables[n] for n in ("course", "relation")})
+
+
+@query("SELECT s_suppkey, '12가' || lpad((s_suppkey % 100)::VARCHAR, 2, '0') || '-01' AS code, '12가' AS prefix, 'high' AS profile, CASE WHEN s_nationkey + 5 >= 23 THEN 'vocational' ELSE 'academic' END AS scope FROM supplier")
+def routed_codes(spark: SparkSession, d: str) -> DataFrame:
+    from tracewright.plans.extraction import profile_of, program_scope
+
+    annex = F.col("s_nationkey") + 5
+    code = F.concat(F.lit("１２가"), F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, "0"), F.lit("–01"))
+    rows = table(spark, d, "supplier").select("s_suppkey", tx.norm_code(code).alias("code"), annex.alias("annex"))
+    return rows.select("s_suppkey", "code", tx.code_prefix("code").alias("prefix"), profile_of(F.col("code"), F.col("annex")).alias("profile"), program_scope(F.col("annex"))[0].alias("scope"))
+
+
 # --- releases ------------------------------------------------------------------------------------------------------------
 
 
