@@ -251,7 +251,7 @@ def test_progressions_and_index(spark):
 def test_questions(spark):
     tables = {
         "pathway": spark.sql("SELECT 'p' AS id, 'l' AS label, true AS unofficial, array(named_struct('order', 1, 'kind', 'f', 'reason', 'r', 'choice_set', cast(null AS string), 'course_ids', array('a', 'b')), named_struct('order', 2, 'kind', 'o', 'reason', 'r', 'choice_set', 'cs', 'course_ids', cast(array() AS array<string>))) AS steps"),
-        "transition": spark.sql("SELECT 1 AS id, array('https://x/learnmap/#/topic/1', 'own') AS from_topics, array('t1', 't2') AS to_topics"),
+        "transition": spark.sql("SELECT 1 AS id, array('https://x/#/topic/1', 'own') AS from_topics, array('t1', 't2') AS to_topics"),
     }
     assert bag(questions.illustrative_pathways(tables), "order", "course", "choice_set") == [(1, "a", None), (1, "b", None), (2, None, "cs")]
     assert questions.outside_bridge(tables).count() == 2 and questions.no_learner_data(tables)

@@ -100,7 +100,7 @@ def review_queue(t: Tables) -> DataFrame:
     return _edges(t).filter("review = 'candidate'").select("id", "kind")
 
 
-def outside_bridge(t: Tables, mark: str = "learnmap/#/topic/") -> DataFrame:
+def outside_bridge(t: Tables, mark: str = "/#/topic/") -> DataFrame:
     rows = t["transition"].select("id", F.explode("from_topics").alias("from_topic"), "to_topics").filter(F.col("from_topic").contains(mark))
     return rows.select("id", "from_topic", F.explode("to_topics").alias("to_topic"))
 

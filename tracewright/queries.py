@@ -799,7 +799,7 @@ def _more_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "credit_rule": orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("kind"), F.col("o_custkey").alias("value"), F.lit("credit").alias("unit"), F.to_date("o_orderdate").alias("start"), F.when(F.col("o_orderstatus") == "F", F.to_date("o_orderdate") + F.lit(30)).alias("end")),
         "pathway": part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("label"), F.lit(True).alias("unofficial"), F.array(step(1, "foundation", F.array(F.col("p_partkey"), F.col("p_partkey") * 2), F.lit(None).cast("string")), step(2, "alternatives", none, F.col("p_type"))).alias("steps")),
         "gap": events.filter("event_type = 'error'").select(F.col("event_id").alias("id"), F.col("props").alias("description"), F.when(F.col("value") > 50, "high").otherwise("low").alias("severity"), F.col("event_type").alias("status")),
-        "transition": orders.select(F.col("o_orderkey").alias("id"), F.array(F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("https://x.example/learnmap/#/topic/"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_orderpriority"))).alias("from_topics"), F.array("o_custkey", "o_orderkey").alias("to_topics")),
+        "transition": orders.select(F.col("o_orderkey").alias("id"), F.array(F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("https://x.example/#/topic/"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_orderpriority"))).alias("from_topics"), F.array("o_custkey", "o_orderkey").alias("to_topics")),
     }
 
 
@@ -826,7 +826,7 @@ def question_gaps(spark: SparkSession, d: str) -> DataFrame:
     return questions.coverage_gaps(_more_tables(spark, d))
 
 
-@query("SELECT o_orderkey AS id, 'https://x.example/learnmap/#/topic/' || o_custkey AS from_topic, unnest([o_custkey, o_orderkey]) AS to_topic FROM orders WHERE o_orderkey % 4 = 0")
+@query("SELECT o_orderkey AS id, 'https://x.example/#/topic/' || o_custkey AS from_topic, unnest([o_custkey, o_orderkey]) AS to_topic FROM orders WHERE o_orderkey % 4 = 0")
 def question_outside_bridge(spark: SparkSession, d: str) -> DataFrame:
     return questions.outside_bridge(_more_tables(spark, d))
 
