@@ -52,7 +52,7 @@ GIVEN = {
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown", "sore loser rule")
 
 #: Letters of other alphabets that look like Latin ones.
-LOOKALIKES = dict(zip("авекмнорстухіјѕԁԛԝһѵαβεηικνορτυχγ", "abekmhopctyxijsdqwhvabenikvoptuxy", strict=True))
+LOOKALIKES = dict(zip("авекмнорстухіјѕԁԛԝһѵαβεηικνορτυχγıłøđ", "abekmhopctyxijsdqwhvabenikvoptuxyilod", strict=True))
 #: Digits and signs for letters. One and l, which stand for both, fold to i.
 DIGITS = {"0": "o", "1": "i", "!": "i", "|": "i", "3": "e", "4": "a", "@": "a", "5": "s", "$": "s", "7": "t", "8": "b", "9": "g"}
 _INSIDE = re.compile(r"(?:(?<=[^\W\d_])|(?<![^\W_]))[0134578 9@$!|]+(?=[^\W\d_])".replace(" ", ""))
@@ -166,7 +166,7 @@ def _calibrated(measures: np.ndarray, labels: np.ndarray) -> tuple[float, float,
     """Logistic regression with a little shrinkage, by Newton steps."""
     x = np.c_[measures, np.ones(len(measures))]
     w = np.array([1.0, 1.0, -2.0])
-    keep = np.diag([0.05, 0.05, 0.01]) * max(1, len(x)) ** 0.5
+    keep = np.diag([0.005, 0.005, 0.001]) * max(1, len(x)) ** 0.5
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + keep, x.T @ (labels - p) - keep @ w)
@@ -198,7 +198,8 @@ def learned_lexicon(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     clean = F.col("seen") - F.col("toxic")
     g = 2 * (F.col("toxic") * F.log(F.col("toxic") / (F.col("seen") * share)) + F.when(clean > 0, clean * F.log(clean / (F.col("seen") * (1 - share + 1e-9)))).otherwise(0.0))
     best = counts.filter("toxic > 0").withColumn("odds", odds).withColumn("g", g).filter((F.col("g") >= LEAST_G) & (F.col("odds") >= LEAST_ODDS))
-    rows = best.orderBy(F.desc("g"), "term").limit(CANDIDATES).collect()
+    # among terms of the same documents the longest comes first, and a beginning before the whole word: few innocent words share it
+    rows = best.orderBy(F.desc("g"), F.desc(F.length(F.rtrim("term"))), "term").limit(CANDIDATES).collect()
     weights = {r["term"]: r["odds"] for r in rows}
     if weights:
         asked = Lexicon(weights, ())
