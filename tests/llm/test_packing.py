@@ -83,7 +83,7 @@ def test_packed_documents(frame, odd_rows):
 def test_ranks_of_a_hot_length_are_complete(frame):
     rows = [(i, "same text") for i in range(500)] + [(i, "x " * (i % 7)) for i in range(300)]
     cut = packing.pieces(frame(rows), PATH)
-    ranks = packing.ranked(cut, "doc_id", block_rows=50).select("length", "rank").collect()
+    ranks = packing.ranked(cut, "doc_id", packing.histogram(cut, 2048), block_rows=50).select("length", "rank").collect()
     by = defaultdict(list)
     for r in ranks:
         by[r["length"]].append(r["rank"])

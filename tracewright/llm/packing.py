@@ -9,6 +9,7 @@ offset from its own rank. Ranks come from counts of (length, block) cells, so no
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import written
+from tracewright.llm.common import CACHES, written
 
 CAPACITY = 2048
 #: Words whose ids a worker remembers; beyond it the memory is emptied, which changes no result.
@@ -32,6 +33,7 @@ _ODD, _PLAIN = re.compile("[\x1c-\x1f]"), re.compile(r"[^ \t\n\r\x0b\x0c]+")
 #: Letters and after them nothing but ASCII marks.
 _MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)\Z")
 _words: dict[str, bytes] = {}
+CACHES.append(_words)
 
 
 def _tokenizer(path: str):
@@ -157,7 +159,15 @@ def fitted(counts: np.ndarray, made: list[tuple[int, ...]], rounds: int = 300) -
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(pattern, repeats) that together use each length exactly counts[length] times. Its size depends on the number of lengths, not of pieces."""
+    """(pattern, repeats) that together use each length exactly counts[length] times. Its size depends on the number of lengths, not of pieces.
+
+    Two plans are made, of which the one with fewer sequences counts: with the fitted patterns first, and by best fit alone
+    (better where large lengths prevail, since rounding then starves them of partners).
+    """
+    return min((_planned(counts, capacity, fit) for fit in (True, False)), key=lambda p: sum(n for _, n in p))
+
+
+def _planned(counts: np.ndarray, capacity: int, fit: bool) -> list[tuple[tuple[int, ...], int]]:
     left = counts.astype(np.int64).copy()
     out: list[tuple[tuple[int, ...], int]] = []
 
@@ -168,7 +178,7 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int,
             left[used] -= often * n
             out.append((pattern, n))
 
-    if left[1:].sum():
+    if fit and left[1:].sum():
         # lengths that fill a sequence alone need no fit
         take((capacity,), int(left[capacity]))
         made = patterns(left, capacity)
@@ -211,11 +221,22 @@ def slots(packed: list[tuple[tuple[int, ...], int]], capacity: int) -> dict[str,
     return {k: np.array(v, np.int64)[order] for k, v in (("first", first), ("sequence", sequence), ("offset", offset))}
 
 
-def ranked(cut: DataFrame, id_col: str, block_rows: int = 20_000) -> DataFrame:
-    """cut with ``rank``, from 0, within each length. Cells (length, block of the id's hash) are counted first; only a cell is ever sorted in one task."""
-    total = cut.count()
-    blocks = max(1, -(-total // block_rows))
-    cells = cut.withColumn("block", F.pmod(F.xxhash64(F.col(id_col), F.col("piece"), F.col("ids_crc32")), F.lit(blocks)))
+def histogram(cut: DataFrame, capacity: int) -> np.ndarray:
+    """How many pieces there are of each length: the one thing that comes to the driver, at most ``capacity`` numbers."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for row in cut.groupBy("length").count().collect():
+        counts[row["length"]] = row["count"]
+    return counts
+
+
+def ranked(cut: DataFrame, id_col: str, counts: np.ndarray, block_rows: int = 20_000) -> DataFrame:
+    """cut with ``rank``, from 0, within each length.
+
+    A length is split by hash into as many blocks as it needs; cells (length, block) are counted, and only a cell is ever
+    sorted in one task.
+    """
+    blocks = F.get(F.from_json(F.lit(json.dumps((-(-counts // block_rows)).tolist())), "array<bigint>"), F.col("length").cast("int"))
+    cells = cut.withColumn("block", F.pmod(F.xxhash64(F.col(id_col), F.col("piece"), F.col("ids_crc32")), F.greatest(blocks, F.lit(1))))
     sizes = cells.groupBy("length", "block").agg(F.count(F.lit(1)).alias("in_cell"))
     before = sizes.select("length", "block", (F.sum("in_cell").over(Window.partitionBy("length").orderBy("block")) - F.col("in_cell")).alias("before"))
     inside = F.row_number().over(Window.partitionBy("length", "block").orderBy(F.col(id_col), "piece", "ids_crc32")) - 1
@@ -228,10 +249,8 @@ def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) -> Da
     Each sequence holds at most ``capacity`` ids without gaps. Ties (equal lengths, repeated rows) are dealt by rank and
     each row gets a place of its own; an empty table gives none.
     """
-    histogram = np.zeros(capacity + 1, np.int64)
-    for row in cut.groupBy("length").count().collect():  # at most ``capacity`` rows
-        histogram[row["length"]] = row["count"]
-    table = slots(plan(histogram, capacity), capacity)
+    counts = histogram(cut, capacity)
+    table = slots(plan(counts, capacity), capacity)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,7 +260,7 @@ def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) -> Da
             arrays = [batch.column(n) for n in names] + [pa.array(table["sequence"][k] + at - table["first"][k]), pa.array(table["offset"][k])]
             yield pa.RecordBatch.from_arrays(arrays, [*names, "sequence_id", "offset"])
 
-    rows = ranked(cut, id_col).select(id_col, "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank"))
+    rows = ranked(cut, id_col, counts).select(id_col, "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank"))
     return rows.mapInArrow(place, f"`{id_col}` long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
