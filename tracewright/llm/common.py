@@ -2,33 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewright.storage import shared_dir, written
+
+__all__ = ["CACHES", "NO_ID", "WORD", "documents", "drop_caches", "id_key", "shared_dir", "shown_id", "text_or_empty", "written"]
+
 #: Stands for a null document id inside the operators, where ids are join keys; outputs show the null again.
 NO_ID = -(2**63)
 #: What separates words in every operator that counts or compares words: ASCII white space only.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir of the session, or a temporary one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='tracewright-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+#: What a Python worker remembers between tasks; workers serve one stage after another.
+CACHES: list[dict] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, however often it is read, and safe when executors are lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def drop_caches() -> None:
+    """Frees what an earlier stage left in this worker."""
+    for cache in CACHES:
+        cache.clear()
 
 
 def id_key(id_col: str) -> Column:
