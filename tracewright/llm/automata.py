@@ -159,6 +159,6 @@ def remove_reference_spans(
         return dk, len(items), int(gone.sum()), kept_words(raw, gone).decode()
 
     docs = keyed(df, id_col, text_col)
-    nothing = spark.createDataFrame([], "dk long, rk int, repeats array<struct<lo:long,hi:long,runs:array<long>>>")
+    nothing = spark.createDataFrame([], "dk long, rk long, repeats array<struct<los:array<long>,width:long,runs:array<long>>>")
     rows = applied(docs, nothing, work, "dk long, n_words long, n_removed long, kept string")
     return rows.select(shown_id(F.col("dk")).alias(id_col), "n_words", "n_removed", "kept")

@@ -53,14 +53,14 @@ class _Buckets:
 
     def take(self, symbol: int) -> np.ndarray:
         parts = self.parts[symbol]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
 def induced(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, symbols: int) -> np.ndarray:
     """All positions in the order that the order of the seeds (leftmost-S positions) induces."""
     start, large, small = _Buckets(symbols), _Buckets(symbols), _Buckets(symbols)
     start.add(seeds, text[seeds])
-    done: list[np.ndarray] = [np.zeros(0, np.int64)] * symbols
+    done: list[np.ndarray] = [np.zeros(0, np.int32)] * symbols
 
     def push(into: _Buckets, scanned: np.ndarray, want_small: bool, symbol: int) -> np.ndarray:
         before = scanned[scanned > 0] - 1
@@ -86,7 +86,7 @@ def induced(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, symbols: i
         push(small, done[c][::-1], True, c)
         out += [*[r[::-1] for r in rounds], done[c]]
     # the least symbol stands only at the end and nothing induces it
-    return np.concatenate([np.array([len(text) - 1]), *_upwards(out)])
+    return np.concatenate([np.array([len(text) - 1], np.int32), *_upwards(out)])
 
 
 def _upwards(parts: list[np.ndarray]) -> list[np.ndarray]:
@@ -130,16 +130,16 @@ def suffix_array(raw: np.ndarray, depth: int | None = None) -> np.ndarray:
     """Start positions of raw's suffixes (uint8) in order. With depth, suffixes that agree in so many symbols may stay in any order."""
     text = np.r_[raw.astype(np.int16) + 1, np.int16(0)]
     smaller = classified(text)
-    leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    leftmost = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
     rough = induced(text, smaller, leftmost, 257)
     is_leftmost = np.zeros(len(text), bool)
     is_leftmost[leftmost] = True
     ordered = rough[is_leftmost[rough]]
-    ends = np.zeros(len(text), np.int64)
+    ends = np.zeros(len(text), np.int32)
     ends[leftmost] = np.r_[leftmost[1:], leftmost[-1:]]
     names, kinds = _named(text, ordered, ends)
     if kinds < len(leftmost):
-        index = np.empty(len(text), np.int64)
+        index = np.empty(len(text), np.int32)
         index[leftmost] = np.arange(len(leftmost))
         reduced = np.empty(len(leftmost), np.int64)
         reduced[index[ordered]] = names
@@ -152,12 +152,12 @@ def suffix_array(raw: np.ndarray, depth: int | None = None) -> np.ndarray:
 def permuted_prefixes(raw: np.ndarray, order: np.ndarray, most: int, block: int = 64) -> np.ndarray:
     """For each position in text order the length, up to ``most``, of the prefix that its suffix shares with the one before it in ``order``."""
     n = len(raw)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
     padded = np.r_[raw, np.zeros(most + 16, np.uint8)]
     words = np.lib.stride_tricks.as_strided(padded, (n + most + 8, 8), (1, 1))
     eight = np.ascontiguousarray(words).view(np.uint64).ravel()
-    shared = np.zeros(n, np.int64)
+    shared = np.zeros(n, np.int32)
     at = np.arange(0, n, block)
     length = np.zeros(len(at), np.int64)
     for k in range(block):
@@ -244,7 +244,7 @@ def texts_without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str =
     _, found = repeated_bytes(df, id_col, text_col, length)
     at = df.columns.index(text_col)
     names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the keys
-    rows = df.toDF(*names).withColumn("dk", id_key(f"c{df.columns.index(id_col)}")).withColumn("rk", F.hash(text_or_empty(f"c{at}")))
+    rows = df.toDF(*names).withColumn("dk", id_key(f"c{df.columns.index(id_col)}")).withColumn("rk", F.xxhash64(text_or_empty(f"c{at}")))
     schema = T.StructType([T.StructField(n, f.dataType if k != at else T.StringType()) for k, (n, f) in enumerate(zip(names, df.schema.fields, strict=True))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,11 +4,11 @@ Each window elects its least gram (hash of ``gram`` items, leftmost at ties) as
 anchors at equal offsets, so only windows of anchors with equal hashes need comparing, and about one gram in
 ``(length - gram) / 2`` becomes an anchor. An anchor with the text of all windows that elected it is an occurrence;
 occurrences are counted by (anchor hash ``f``, text hash ``g``) before anything is gathered, so that a passage with any
-number of copies is one row from then on. Only anchors with two or more different texts are contested: a text for each
+number of copies is a row a batch from the start and one row from then on. Only anchors with two or more different texts are contested: a text for each
 (f, g) goes to shards of bounded size, where a resolver finds which of its windows are also in others. An anchor with too
 many different texts for a shard has its windows counted one by one by 128-bit hashes instead.
 
-Rows are identified by (document id, 32-bit hash of the text): repeated rows count as that many occurrences.
+Rows are identified by (document id, 64-bit hash of the text): repeated rows count as that many occurrences.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import id_key, text_or_empty, written
+from tracewright.llm.common import drop_caches, id_key, text_or_empty, written
 
 _BASE_F, _BASE_G = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _POSITION_BITS = 28
@@ -123,24 +123,51 @@ def occurrences(values: np.ndarray, kind: Kind) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-#: A window start's place: anchor position * 2**24 + (m - lo) * 2**12 + (m - hi).
+#: An anchor's span: its position * 2**24 + (m - lo) * 2**12 + (m - hi).
 _FAR, _NEAR = 1 << 24, 1 << 12
+#: An occurrence as bytes that sort as it does: document, text hash and span, big-endian, the signs turned.
+_PLACE = np.dtype([("dk", ">u8"), ("rk", ">u8"), ("span", ">u8")])
+_SIGN = 1 << 63
+
+
+def _places(dk: np.ndarray, rk: np.ndarray, span: np.ndarray) -> np.ndarray:
+    out = np.empty(len(span), _PLACE)
+    out["dk"] = dk.astype(np.int64).view(np.uint64) ^ np.uint64(_SIGN)
+    out["rk"] = rk.astype(np.int64).view(np.uint64) ^ np.uint64(_SIGN)
+    out["span"] = span
+    return out
+
+
+def _place_part(place: str, at: int, size: int, sign: int) -> Column:
+    """A number of a place, by SQL."""
+    return (F.conv(F.hex(F.substring(place, at, size)), 16, 10).cast("decimal(20,0)") - F.lit(str(sign)).cast("decimal(20,0)")).cast("long")
 
 
 def _anchors(docs: DataFrame, kind: Kind) -> DataFrame:
+    """(f, g, places): the anchors of all documents; those with equal f and g in a batch are one row, their places in order."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             dk, rk = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            parts, sizes = [], []
-            for raw in batch.column(2).to_pylist():
-                f, g, m, lo, hi = occurrences(kind.items(raw), kind)
-                parts.append((f.view(np.int64), g.view(np.int64), m * _FAR + (m - lo) * _NEAR + (m - hi)))
+            raws, parts, sizes = batch.column(2), [], []
+            order = np.lexsort((rk, dk))
+            for k in order.tolist():
+                f, g, m, lo, hi = occurrences(kind.items(raws[k].as_py()), kind)
+                parts.append((f, g, m * _FAR + (m - lo) * _NEAR + (m - hi)))
                 sizes.append(len(f))
-            if sizes:
-                f, g, span = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.repeat(dk, sizes), np.repeat(rk, sizes), f, g, span)], ["dk", "rk", "f", "g", "span"])
+            if not sum(sizes):
+                continue
+            f, g, span = (np.concatenate(x) for x in zip(*parts, strict=True))
+            places = _places(np.repeat(dk[order], sizes), np.repeat(rk[order], sizes), span)
+            alike = np.lexsort((g, f))  # stable: the places of equal anchors stay in order
+            f, g = f[alike], g[alike]
+            first = np.flatnonzero(np.r_[True, (f[1:] != f[:-1]) | (g[1:] != g[:-1])])
+            ends = np.r_[first, len(f)].astype(np.int32) * np.int32(_PLACE.itemsize)
+            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(places[alike].tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(f[first].view(np.int64)), pa.array(g[first].view(np.int64)), packed], ["f", "g", "places"])
 
-    return docs.select("dk", "rk", "raw").mapInArrow(work, "dk long, rk int, f long, g long, span long")
+    return docs.select("dk", "rk", "raw").mapInArrow(work, "f long, g long, places binary")
 
 
 #: resolve(values of each text, copies of each, where each first stands) -> for each text the runs [a, b, a, b, ...] of window offsets that count as repeats
@@ -154,7 +181,7 @@ def runs_of(marked: np.ndarray) -> list[int]:
 
 def _texts(docs: DataFrame, wanted: DataFrame, kind: Kind, stored: Callable[[bytes], np.ndarray], single: bool) -> DataFrame:
     """The text of each wanted (f, g), or with single a row of hashes for each of its windows."""
-    lists = wanted.groupBy(F.col("first.dk").alias("dk"), F.col("first.rk").alias("rk")).agg(F.collect_list(F.struct("f", "g", F.col("first.span").alias("span"), "n")).alias("asked"))
+    lists = wanted.groupBy("dk", "rk").agg(F.collect_list(F.struct("f", "g", "span", "n")).alias("asked"))
     rows = docs.join(lists, ["dk", "rk"]).select("dk", "rk", "raw", "asked")
     names = ["f", "g", "n", "dk", "rk", "at", "w1", "w2"] if single else ["f", "g", "n", "dk", "rk", "span", "text"]
 
@@ -179,10 +206,10 @@ def _texts(docs: DataFrame, wanted: DataFrame, kind: Kind, stored: Callable[[byt
                     else:
                         for column, x in zip(out, (a["f"], a["g"], a["n"], dk, rk, a["span"], values[lo : hi + kind.length].tobytes()), strict=True):
                             column.append(x)
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *([pa.int64()] * 2 if single else [pa.binary()])]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), *([pa.int64()] * 2 if single else [pa.binary()])]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names)
 
-    return rows.mapInArrow(work, "f long, g long, n long, dk long, rk int, " + ("at long, w1 long, w2 long" if single else "span long, text binary"))
+    return rows.mapInArrow(work, "f long, g long, n long, dk long, rk long, " + ("at long, w1 long, w2 long" if single else "span long, text binary"))
 
 
 def _resolved(texts: DataFrame, shards: int, resolve: Resolve, dtype: type) -> DataFrame:
@@ -198,57 +225,86 @@ def _resolved(texts: DataFrame, shards: int, resolve: Resolve, dtype: type) -> D
 
 
 def repeated_windows(
-    docs: DataFrame, kind: Kind, resolve: Resolve, stored: Callable[[bytes], np.ndarray], dtype: type, spare_first: bool, shard_rows: int = 4096
+    docs: DataFrame, kind: Kind, resolve: Resolve, stored: Callable[[bytes], np.ndarray], dtype: type, spare_first: bool, shard_rows: int = 1500
 ) -> DataFrame:
-    """(dk, rk, repeats array<struct<lo, hi, runs>>) of the documents that hold repeated windows.
+    """(dk, rk, repeats array<struct<los, width, runs>>) of the documents that hold repeated windows.
 
-    docs: (dk, rk, raw). A repeat's window starts are lo..hi where runs is null, else lo plus the offsets in runs.
+    docs: (dk, rk, raw). For each lo of a repeat, its window starts are lo..lo + width where runs is null, else lo plus the
+    offsets in runs.
     With spare_first the occurrence that comes first by (dk, rk, start) isn't a repeat.
     """
+    size = _PLACE.itemsize
     anchors = written(_anchors(docs, kind), "anchors")
-    often = anchors.groupBy("f").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("f")
+    # what is joined on an anchor is written first: between two tables Spark can split the partition of a frequent anchor
+    often = written(anchors.groupBy("f").agg(F.sum(F.length("places")).alias("bytes")).filter(F.col("bytes") > size).select("f"), "often")
     shared = written(anchors.join(often, "f", "left_semi"), "shared")
-    groups = written(shared.groupBy("f", "g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "rk", "span")).alias("first")), "groups")
-    kinds = groups.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    contested = written(groups.join(kinds, "f"), "contested")
+    groups = shared.groupBy("f", "g").agg((F.sum(F.length("places")) / size).cast("long").alias("n"), F.min(F.substring("places", 1, size)).alias("first"))
+    groups = written(groups, "groups")
+    kinds = written(groups.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "kinds")
+    dk, rk, span = _place_part("first", 1, 8, _SIGN), _place_part("first", 9, 8, _SIGN), _place_part("first", 17, 8, 0)
+    contested = written(groups.join(kinds, "f").select("f", "g", "n", "kinds", dk.alias("dk"), rk.alias("rk"), span.alias("span")), "contested")
     few, many = contested.filter(F.col("kinds") <= shard_rows), contested.filter(F.col("kinds") > shard_rows)
     n_few, n_many = (int(x or 0) for x in contested.agg(F.count_if(F.col("kinds") <= shard_rows), F.count_if(F.col("kinds") > shard_rows)).first())
-    parts = [shared.sparkSession.createDataFrame([], "f long, g long, runs array<long>")]
+    runs = shared.sparkSession.createDataFrame([], "f long, g long, runs array<long>")
     if n_few:
-        parts.append(_resolved(_texts(docs, few, kind, stored, False), max(1, -(-n_few // shard_rows)), resolve, dtype))
+        runs = runs.union(_resolved(_texts(docs, few, kind, stored, False), max(1, -(-n_few // shard_rows)), resolve, dtype))
     if n_many:
         each = written(_texts(docs, many, kind, stored, True), "windows")
         total = each.groupBy("w1", "w2").agg(F.sum("n").alias("total"), F.min(F.struct("dk", "rk", "at")).alias("least"))
         again = F.struct("dk", "rk", "at") != F.col("least") if spare_first else F.col("total") > 1
-        hits = each.join(total, ["w1", "w2"]).filter(again)
-        start = many.select("f", "g", (F.floor(F.col("first.span") / _FAR) - F.floor(F.col("first.span") % _FAR / _NEAR)).alias("lo"))
+        hits = each.join(written(total, "totals"), ["w1", "w2"]).filter(again)
+        start = many.select("f", "g", (F.floor(F.col("span") / _FAR) - F.floor(F.col("span") % _FAR / _NEAR)).alias("lo"))
         at = hits.join(start, ["f", "g"]).groupBy("f", "g").agg(F.collect_list(F.col("at") - F.col("lo")).alias("at"))
-        parts.append(at.select("f", "g", F.flatten(F.transform("at", lambda x: F.array(x, x))).cast("array<long>").alias("runs")))
-    runs = parts[0]
-    for p in parts[1:]:
-        runs = runs.unionByName(p)
-    verdicts = groups.join(contested.select("f", "g", F.lit(True).alias("contested")), ["f", "g"], "left").join(written(runs, "runs"), ["f", "g"], "left")
-    whole = F.struct("dk", "rk", "span") != F.col("first") if spare_first else F.col("n") > 1
-    m = F.floor(F.col("span") / _FAR).cast("long")
-    lo, hi = m - F.floor(F.col("span") % _FAR / _NEAR).cast("long"), m - F.col("span") % _NEAR
-    told = shared.join(verdicts, ["f", "g"]).select("dk", "rk", lo.alias("lo"), hi.alias("hi"), F.when(~whole, F.coalesce("runs", F.array().cast("array<long>"))).alias("runs"))
-    told = told.filter(F.col("runs").isNull() | (F.size("runs") > 0))
-    return told.groupBy("dk", "rk").agg(F.collect_list(F.struct("lo", "hi", "runs")).alias("repeats"))
+        runs = runs.union(at.select("f", "g", F.flatten(F.transform("at", lambda x: F.array(x, x))).cast("array<long>").alias("runs")))
+    verdicts = written(groups.join(runs.filter(F.size("runs") > 0), ["f", "g"], "left").filter("n > 1 OR runs IS NOT NULL"), "verdicts")
+    told = shared.join(verdicts, ["f", "g"]).select("places", "first", "n", "runs").mapInArrow(_settled(spare_first), "dk long, rk long, los array<long>, width long, runs array<long>")
+    return told.groupBy("dk", "rk").agg(F.collect_set(F.struct("los", "width", "runs")).alias("repeats"))
+
+
+def _settled(spare_first: bool) -> Callable:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, runs = batch.column(2).to_numpy(), batch.column(3)
+            packed = [np.frombuffer(x, _PLACE) for x in batch.column(0).to_pylist()]
+            if not packed:
+                continue
+            places, owner = np.concatenate(packed), np.repeat(np.arange(len(packed)), [len(p) for p in packed])
+            if spare_first:
+                first = np.frombuffer(b"".join(batch.column(1).to_pylist()), _PLACE)[owner]
+                whole = (places["dk"] != first["dk"]) | (places["rk"] != first["rk"]) | (places["span"] != first["span"])
+            else:
+                whole = n[owner] > 1
+            kept = whole | runs.is_valid().to_numpy(zero_copy_only=False)[owner]
+            places, owner, whole = places[kept], owner[kept], whole[kept]
+            if not len(places):
+                continue
+            dk, rk = ((places[n].astype(np.uint64) ^ np.uint64(_SIGN)).view(np.int64) for n in ("dk", "rk"))
+            span = places["span"].astype(np.int64)
+            lo, width = span // _FAR - span % _FAR // _NEAR, span % _FAR // _NEAR - span % _NEAR
+            # a row for each anchor text and document: its places in a document stand together
+            new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (dk[1:] != dk[:-1]) | (rk[1:] != rk[:-1]) | (whole[1:] != whole[:-1])])
+            ends = pa.array(np.r_[new, len(places)].astype(np.int32))
+            asked = pa.array(owner[new], mask=whole[new])
+            arrays = [pa.array(dk[new]), pa.array(rk[new]), pa.ListArray.from_arrays(ends, pa.array(lo)), pa.array(width[new]), runs.take(asked)]
+            yield pa.RecordBatch.from_arrays(arrays, ["dk", "rk", "los", "width", "runs"])
+
+    return work
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(dk, rk, raw): what the functions above take."""
-    return df.select(id_key(id_col).alias("dk"), F.hash(text_or_empty(text_col)).alias("rk"), text_or_empty(text_col).cast("binary").alias("raw"))
+    return df.select(id_key(id_col).alias("dk"), F.xxhash64(text_or_empty(text_col)).alias("rk"), text_or_empty(text_col).cast("binary").alias("raw"))
 
 
 def covered(size: int, repeats: list[dict] | None, length: int) -> np.ndarray:
     """Which of ``size`` items a repeated window covers."""
     edge = np.zeros(size + 1, np.int64)
     for r in repeats or ():
-        runs = [0, r["hi"] - r["lo"]] if r["runs"] is None else r["runs"]
-        for a, b in zip(runs[::2], runs[1::2], strict=True):
-            edge[r["lo"] + a] += 1
-            edge[r["lo"] + b + length] -= 1
+        runs = [0, r["width"]] if r["runs"] is None else r["runs"]
+        for lo in r["los"]:
+            for a, b in zip(runs[::2], runs[1::2], strict=True):
+                edge[lo + a] += 1
+                edge[lo + b + length] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
