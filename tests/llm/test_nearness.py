@@ -28,6 +28,38 @@ def test_edit_similarity(a, b):
     assert abs(got - (want if want >= 0.4 - 1e-9 else 0.0)) < 1e-9
 
 
+def moved(kind, shift, n=1000):
+    """A text and a near copy of it whose middle stands ``shift`` words away from its place."""
+    a, new = list(range(n)), list(range(10**6, 10**6 + shift))
+    copy = a[shift:] + new if kind == "cut at the start" else new + a[:-shift] if kind == "cut at the end" else a[: n // 4] + new + a[n // 4 : 3 * n // 4] + a[3 * n // 4 + shift :]
+    return np.array(a, np.uint64), np.array(copy, np.uint64)
+
+
+@pytest.mark.parametrize("kind", ["cut at the start", "cut at the end", "paragraphs"])
+@pytest.mark.parametrize("shift", [30, 60, 99, 101, 200])
+def test_shifted_copies(kind, shift):
+    a, b = moved(kind, shift)
+    want = 1 - edits(a.tolist(), b.tolist()) / len(a)
+    for x, y in ((a, b), (b, a)):
+        assert abs(omh.edit_similarity(x, y) - (want if want >= 0.8 - 1e-9 else 0.0)) < 1e-9
+    assert omh.near(a, b) == (omh.resemblance(a, b) >= 0.8 and want >= 0.8 - 1e-9)
+    assert shift > 60 or omh.near(a, b)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.randoms(use_true_random=False), st.sampled_from([0.5, 0.8, 0.9]))
+def test_edited_copies(draw, least):
+    a = [draw.randint(0, 30) for _ in range(draw.randint(60, 160))]
+    b = list(a)
+    for _ in range(draw.randint(1, 4)):
+        at, size = draw.randrange(len(b) + 1), draw.randint(1, 25)
+        b[at : at + draw.choice([0, size])] = [draw.randint(0, 40) for _ in range(draw.choice([0, size]))]
+    longest = max(len(a), len(b))
+    want = 1 - edits(a, b) / longest
+    got = omh.edit_similarity(np.array(a, np.uint64), np.array(b, np.uint64), least)
+    assert abs(got - (want if longest - (1 - want) * longest >= least * longest - 1e-6 else 0.0)) < 1e-9
+
+
 def test_repeats_are_labelled():
     grams = np.array([5, 7, 5, 5, 7], np.uint64)
     assert len(set(omh.labelled(grams).tolist())) == 5

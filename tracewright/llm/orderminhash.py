@@ -1,11 +1,11 @@
-"""Near-duplicate classes by Order MinHash, verified by banded alignment.
+"""Near-duplicate classes by Order MinHash, verified by alignment.
 
 A sketch takes, under one of ``BANDS`` hash orders, the ``KEPT`` least k-mers of a text (five words, labelled with their
 occurrence number, so that repeats count) and keeps them in text order; texts at a small edit distance often agree in it.
 Equal texts are one row throughout. In each bucket of texts with equal sketches members are compared with a few leaders,
 not with each other: the member that stands in the largest buckets (the original of a group of edited copies does) and two
 random ones; a second round, with another leader, compares what is left in different classes of one bucket. A pair is near if the resemblance
-of its five-word shingles is 0.8 or more and so is its edit similarity in words, found by a banded alignment.
+of its five-word shingles is 0.8 or more and so is its edit similarity in words, found by an alignment of as many edits as that allows.
 """
 
 from __future__ import annotations
@@ -23,8 +23,14 @@ from tracewright.llm.windows import mix, word_items
 BANDS, KEPT, SHINGLE, LEAST = 24, 3, 5, 0.8
 #: Random leaders of a bucket, beside the most famous member.
 LEADERS = 2
-#: Half the width of the band of alignments, in words, beside the difference in length; and the most cells a band may have.
-BAND, CELLS = 24, 40_000_000
+#: The most cells that an alignment may have.
+CELLS = 40_000_000
+#: Stands for a diagonal that no alignment has come to.
+OUT = np.int64(-(2**40))
+#: Words that are compared at once, at most, when a diagonal is followed.
+LOOK = 1024
+#: And words over all diagonals, about.
+AT_ONCE = 1_000_000
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -75,9 +81,11 @@ def resemblance(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def edit_similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
-    """1 - edits / longer length of the best alignment within the band; 0 if it is below ``least``.
+    """1 - edits / longer length of the best alignment; 0 if it is below ``least``.
 
-    For each number of edits, the farthest row that each diagonal of the band reaches. Equal beginnings and ends are cut off first.
+    For each number of edits, the farthest row that each diagonal reaches, until the last row is reached or the edits that
+    ``least`` allows are spent. Diagonals join as edits come to them and leave when too few edits are left to come back, so
+    no alignment within ``least`` is out of reach. Equal beginnings and ends are cut off first.
     """
     longest = max(len(a), len(b))
     if not longest:
@@ -91,43 +99,56 @@ def edit_similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float
     end = n if same.all() else int(np.argmin(same))
     a, b = a[: len(a) - end], b[: len(b) - end]
     most = int((1 - least) * longest + 1e-9)
-    if abs(len(a) - len(b)) > most:
+    goal = len(b) - len(a)
+    if abs(goal) > most:
         return 0.0
     if not len(a) or not len(b):
         return 1 - max(len(a), len(b)) / longest
-    low, high = min(0, len(b) - len(a)) - BAND, max(0, len(b) - len(a)) + BAND
-    if (high - low + 1) * len(a) > CELLS:
+    if (2 * ((most - abs(goal)) // 2) + abs(goal) + 1) * len(a) > CELLS:
         return least  # too wide to align; the resemblance of shingles decides alone
-    width = high - low + 1
-    # stop[d, i]: the first row from i on that differs on diagonal low + d, or where it leaves either text
-    rows = np.arange(len(a) + 1)
-    stop = np.empty((width, len(a) + 1), np.int32)
-    for d in range(width):
-        j = rows[:-1] + low + d
-        inside = (j >= 0) & (j < len(b))
-        differs = np.ones(len(a) + 1, bool)
-        differs[:-1][inside] = a[inside] != b[j[inside]]
-        at = np.where(differs, rows, len(a))
-        stop[d] = np.minimum.accumulate(at[::-1])[::-1]
-    diagonal = low + np.arange(width)
-    bottom = np.minimum(len(a), len(b) - diagonal)
-    reach = np.full(width, -2, np.int64)
-    reach[-low] = stop[-low, 0]
-    goal = len(b) - len(a) - low
+    rows, columns = len(a), len(b)
+    numbers = np.unique(np.r_[a, b], return_inverse=True)[1]
+    a, b = _ended(numbers[:rows], -1), _ended(numbers[rows:], -2)
+    low, reach = 0, _slid(a, b, np.zeros(1, np.int64), 0)  # reach[i]: rows of diagonal low + i
     for edits in range(most + 1):
         if edits:
-            before = np.r_[np.int64(-2), reach[:-1]]  # a word more in b
-            after = np.r_[reach[1:], np.int64(-2)] + 1  # a word more in a
-            far = np.maximum(np.maximum(reach + 1, before), after)
-            far = np.minimum(np.maximum(far, reach), bottom)
-            known = (far >= 0) & (far + diagonal >= 0)
-            reach = np.where(known, stop[np.arange(width), np.where(known, far, 0)], -2)
-            reach = np.where(known, np.maximum(reach, far), -2)
-        if reach[goal] >= len(a):
+            # a diagonal's neighbours on both sides; of them those from which the edits left lead to the goal
+            first, last = max(low - 1, goal - (most - edits)), min(low + len(reach), goal + (most - edits))
+            wide = np.full(len(reach) + 4, OUT)
+            wide[2:-2] = reach
+            i, j = first - low + 2, last - low + 3
+            far = np.maximum(np.maximum(wide[i:j] + 1, wide[i - 1 : j - 1]), wide[i + 1 : j + 1] + 1)  # a word changed; one more in b; one more in a
+            low, diagonal = first, np.arange(first, last + 1)
+            far = np.minimum(far, np.minimum(rows, columns - diagonal))
+            far[(far < 0) | (far + diagonal < 0)] = OUT
+            reach = _slid(a, b, far, low)
+        if 0 <= goal - low < len(reach) and reach[goal - low] >= rows:
             return 1 - edits / longest
     return 0.0
 
 
+def _ended(words: np.ndarray, end: int) -> np.ndarray:
+    """words with an end that equals no word, as long as the longest look ahead."""
+    return np.r_[words.astype(np.int64), np.full(LOOK, end)]
+
+
+def _slid(a: np.ndarray, b: np.ndarray, rows: np.ndarray, low: int) -> np.ndarray:
+    """rows of the diagonals from low on, each moved past the equal words that follow it."""
+    going = np.flatnonzero(rows >= 0)
+    at = rows[going]
+    equal = a[at] == b[at + going + low]
+    going, step = going[equal], 8
+    rows[going] += 1
+    while len(going):
+        ahead = rows[going][:, None] + np.arange(step)
+        equal = a[ahead] == b[ahead + going[:, None] + low]
+        whole = equal.all(axis=1)
+        rows[going] += np.where(whole, step, np.argmin(equal, axis=1))
+        going = going[whole]
+        step = max(8, min(2 * step, LOOK, AT_ONCE // max(1, len(going))))
+    return rows
+
+
 def near(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
     return bool(len(a) and len(b)) and resemblance(a, b) >= least and edit_similarity(a, b, least) >= least
 
