@@ -60,6 +60,21 @@ def test_edited_copies(draw, least):
     assert abs(got - (want if longest - (1 - want) * longest >= least * longest - 1e-6 else 0.0)) < 1e-9
 
 
+def test_long_texts_are_aligned_like_short_ones():
+    for n in (200, 20_000):
+        a = np.arange(n, dtype=np.uint64)
+        part = n // 20
+        # sections moved from one end to the other, and a tenth of the text gone: shingles agree, the order doesn't
+        turned = np.r_[a[-part * 2 :], a[part * 3 : -part * 2], a[:part]]
+        for x, y in ((a, turned), (turned, a)):
+            assert omh.edit_similarity(x, y) == 0.0 and not omh.near(x, y)
+        assert n < 1000 or omh.resemblance(a, turned) >= 0.8
+        # a length difference of 11 in 100 and a change at either end
+        kept = np.r_[np.uint64(10**6), a[1 : n - n // 100 * 11 - 1], np.uint64(10**6 + 1)]
+        for x, y in ((a, kept), (kept, a)):
+            assert abs(omh.edit_similarity(x, y) - (1 - (n // 100 * 11 + 2) / n)) < 1e-9
+
+
 def test_repeats_are_labelled():
     grams = np.array([5, 7, 5, 5, 7], np.uint64)
     assert len(set(omh.labelled(grams).tolist())) == 5

@@ -23,8 +23,6 @@ from tracewright.llm.windows import mix, word_items
 BANDS, KEPT, SHINGLE, LEAST = 24, 3, 5, 0.8
 #: Random leaders of a bucket, beside the most famous member.
 LEADERS = 2
-#: The most cells that an alignment may have.
-CELLS = 40_000_000
 #: Stands for a diagonal that no alignment has come to.
 OUT = np.int64(-(2**40))
 #: Words that are compared at once, at most, when a diagonal is followed.
@@ -104,8 +102,6 @@ def edit_similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float
         return 0.0
     if not len(a) or not len(b):
         return 1 - max(len(a), len(b)) / longest
-    if (2 * ((most - abs(goal)) // 2) + abs(goal) + 1) * len(a) > CELLS:
-        return least  # too wide to align; the resemblance of shingles decides alone
     rows, columns = len(a), len(b)
     numbers = np.unique(np.r_[a, b], return_inverse=True)[1]
     a, b = _ended(numbers[:rows], -1), _ended(numbers[rows:], -2)
