@@ -139,6 +139,32 @@ def test_classes_against_brute_force(frame, copies, odd_rows):
     assert sum(r["representative"] for r in got) >= len({r["class_id"] for r in got})
 
 
+@pytest.mark.parametrize("block", [omh.__dict__.get("BLOCK", 0), 7])
+def test_groups_that_share_boilerplate(frame, monkeypatch, block):
+    monkeypatch.setattr(omh, "BLOCK", block, raising=False)
+    shared = [f"boiler{n}" for n in range(100)]
+    own = lambda g, c: [f"g{g}w{n}" for n in range(5)] + [f"g{g}c{c}w{n}" for n in range(10)]
+    # two copies a group are near each other (0.83); texts of different groups aren't (0.76), but share most sketches
+    rows = [(g * 10 + c, " ".join(shared + own(g, c))) for g in range(120) for c in range(2)]
+    got = omh.near_duplicates(frame(rows)).collect()
+    assert sorted(((r["doc_id"], r["class_id"], r["class_size"]) for r in got), key=str) == brute(rows)
+    assert len({r["class_id"] for r in got}) == 120
+
+
+def test_possible_pairs_miss_none():
+    draw = random.Random(5)
+    texts = [[draw.randint(0, 40) for _ in range(draw.randint(5, 30))] for _ in range(30)]
+    texts += [t[: len(t) - draw.randint(0, 3)] for t in texts for _ in range(3)] + [[1] * 6, [2, 3], list(range(2000)), list(range(1, 2001))]
+    words = [np.array(t, np.uint64) for t in texts]
+    label, block = np.arange(len(words)) // 2, np.arange(len(words)) % 3
+    raw = [omh._binned(w) for w in words]
+    assert omh._binned(np.arange(200_000, dtype=np.uint64)).dtype == np.uint16
+    for across in (False, True):
+        got = {(min(i, int(j)), max(i, int(j))) for i, js in omh.possible(np.array([x.astype(np.int32) for x in raw]), label, block, across, 0.8) for j in js}
+        want = {(i, j) for j in range(len(words)) for i in range(j) if label[i] != label[j] and (block[i] != block[j]) == across and omh.resemblance(words[i], words[j]) >= 0.8}
+        assert want and want <= got
+
+
 def test_one_of_each_class(frame, copies, odd_rows):
     rows = copies + odd_rows
     df = frame(rows)

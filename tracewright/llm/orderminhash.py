@@ -4,8 +4,8 @@ A sketch takes, under one of ``BANDS`` hash orders, the ``KEPT`` least k-mers of
 occurrence number, so that repeats count) and keeps them in text order; texts at a small edit distance often agree in it.
 Equal texts are one row throughout. In each bucket of texts with equal sketches members are compared with a few leaders,
 not with each other: the member that stands in the largest buckets (the original of a group of edited copies does) and two
-random ones; a second round, with another leader, compares what is left in different classes of one bucket. A pair is near if the resemblance
-of its five-word shingles is 0.8 or more and so is its edit similarity in words, found by an alignment of as many edits as that allows.
+random ones. Then every two members of a bucket that are in different classes still are compared, so no pair that shares a
+sketch is left out: lengths and counts of shingles by bins, which bound the resemblance from above, decide most, alignments the rest. A pair is near if the resemblance of its five-word shingles is 0.8 or more and so is its edit similarity in words, found by an alignment of as many edits as that allows.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from tracewright.llm.windows import mix, word_items
 BANDS, KEPT, SHINGLE, LEAST = 24, 3, 5, 0.8
 #: Random leaders of a bucket, beside the most famous member.
 LEADERS = 2
+#: Members of a bucket in one block, about, when what leaders left open is compared (two blocks are one group); bins of the counts of shingles.
+BLOCK, BINS = 2048, 256
 #: Stands for a diagonal that no alignment has come to.
 OUT = np.int64(-(2**40))
 #: Words that are compared at once, at most, when a diagonal is followed.
@@ -78,6 +80,31 @@ def resemblance(a: np.ndarray, b: np.ndarray) -> float:
     return shared / max(1, len(a) + len(b) - shared)
 
 
+def _binned(words: np.ndarray) -> np.ndarray:
+    """Numbers of different shingles by bins of their hashes, in the least type that holds them."""
+    counts = np.bincount((np.unique(shingles(words)) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+    return counts.astype(np.min_scalar_type(counts.max()))
+
+
+def possible(bins: np.ndarray, label: np.ndarray, block: np.ndarray, across: bool, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js): the members with which member i may be near, each pair once: of other labels, ``across`` blocks or not.
+
+    Two texts share at most the lesser count of each bin, so none with a resemblance of ``least`` is missed.
+    """
+    sizes = bins.sum(axis=1)
+    order = np.argsort(sizes, kind="stable")
+    bins, label, block, sizes = bins[order], label[order], block[order], sizes[order]
+    ends = np.searchsorted(sizes, sizes / (least * (1 - 1e-9)), "right")
+    for i, end in enumerate(ends):
+        rest = slice(i + 1, end)
+        js = i + 1 + np.flatnonzero((label[rest] != label[i]) & ((block[rest] != block[i]) == across))
+        if len(js):
+            shared = np.minimum(bins[js], bins[i]).sum(axis=1)
+            js = js[shared >= least / (1 + least) * (sizes[js] + sizes[i]) * (1 - 1e-9)]
+            if len(js):
+                yield int(order[i]), order[js]
+
+
 def edit_similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
     """1 - edits / longer length of the best alignment; 0 if it is below ``least``.
 
@@ -161,15 +188,16 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
 
 def _with_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(tid, words): 32-bit word hashes of the wanted texts (tid, dk, digest), each taken from its first document."""
+    """(tid, words, bins): 32-bit word hashes of the wanted texts (tid, dk, digest), each taken from its first document, and the counts of their different shingles by bins."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [(word_items(x) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], ["tid", "words"])
+            words = [(word_items(x) >> np.uint64(32)).astype(np.uint32) for x in batch.column(1).to_pylist()]
+            bins = [_binned(x.astype(np.uint64)).tobytes() for x in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in words], pa.binary()), pa.array(bins, pa.binary())], ["tid", "words", "bins"])
 
     rows = docs.join(wanted, ["dk", "digest"])
-    return rows.select("tid", "raw").mapInArrow(work, "tid long, words binary")
+    return rows.select("tid", "raw").mapInArrow(work, "tid long, words binary, bins binary")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -219,6 +247,49 @@ def _pairs(buckets: DataFrame) -> DataFrame:
     return both.select(F.greatest("tid", "leader").alias("a"), F.least("tid", "leader").alias("b")).distinct()
 
 
+def _left_pairs(named: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """(a, b) with a > b of named (bucket, tid, label): the pairs of a bucket with different labels that may be near.
+
+    A bucket's members are dealt to blocks, and each pair of blocks is a group of its own, so a large bucket isn't one task's.
+    """
+    counts = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x != y")
+    mixed = written(counts.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    rows = named.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("tid"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(words.select("tid", "bins"), "tid")
+    cell = ["bucket", "low", "high"]
+    rows = rows.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "tid", "label", "block", "bins")
+
+    def compared(cells: pa.Table) -> pa.RecordBatch:
+        tid, label, block = (cells.column(c).to_numpy() for c in ("tid", "label", "block"))
+        raw = cells.column("bins").to_pylist()
+        bins = np.array([np.frombuffer(x, f"u{len(x) // BINS}") for x in raw]).astype(np.int32)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        keys = np.stack([cells.column(c).to_numpy() for c in cell])
+        starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+        for i, j in zip(starts, np.r_[starts[1:], len(tid)], strict=True):
+            ids = tid[i:j]
+            for m, others in possible(bins[i:j], label[i:j], block[i:j], keys[1, i] != keys[2, i], least):
+                a.append(np.maximum(ids[m], ids[others]))
+                b.append(np.minimum(ids[m], ids[others]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last cell so far, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            keys = np.stack([rows.column(c).to_numpy() for c in cell])
+            last = int(np.argmax((keys == keys[:, -1:]).all(axis=0)))
+            if last:
+                yield compared(rows.slice(0, last))
+            held = rows.slice(last)
+        if held is not None:
+            yield compared(held)
+
+    return rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(work, "a long, b long").distinct()
+
+
 def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """Per row: (dk, digest, class_id, class_size, first): class_id is the least document id of its class, first whether the row is that document.
 
@@ -238,19 +309,14 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     words = written(_with_words(docs.dropDuplicates(["dk", "digest"]) if _repeats(rows) else docs, fame.join(texts, "tid").select("tid", "dk", "digest")), "words")
     pairs = written(_pairs(buckets), "pairs")
     edges = written(_verified(pairs, words, least), "edges")
-    if edges.count():
-        labels = components(edges)
-        # buckets that hold texts of several classes still: another member leads those outside its class
-        named = buckets.join(labels.withColumnRenamed("node", "tid"), "tid", "left").withColumn("label", F.coalesce("label", "tid"))
-        spread = named.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "tid", F.lit(-1)).alias("r"), "tid", "label")).alias("l"), F.min("label").alias("x"), F.max("label").alias("y"))
-        leads = written(spread.filter("x != y").select("bucket", F.col("l.tid").alias("leader"), F.col("l.label").alias("its")), "leaders")
-        found = named.join(leads, "bucket").filter("label != its").select(F.greatest("tid", "leader").alias("a"), F.least("tid", "leader").alias("b")).distinct()
-        more = written(_verified(found.join(pairs, ["a", "b"], "left_anti"), words, least), "edges")
-        if not more.isEmpty():
-            labels = components(edges.union(more))
-        tids = texts.join(written(labels, "labels").withColumnRenamed("node", "tid"), "tid", "left").select("digest", "dk", F.coalesce("label", "tid").alias("label"))
-    else:
-        tids = texts.select("digest", "dk", F.col("tid").alias("label"))
+    labels = components(edges)
+    # what no leader decided: pairs of texts that share a bucket and are in different classes still
+    now = buckets.join(labels.withColumnRenamed("node", "tid"), "tid", "left").select("bucket", "tid", F.coalesce("label", "tid").alias("label"))
+    left = written(_left_pairs(now, words, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = written(_verified(left, words, least), "edges")
+    if not more.isEmpty():
+        labels = components(edges.union(more))
+    tids = texts.join(written(labels, "labels").withColumnRenamed("node", "tid"), "tid", "left").select("digest", "dk", F.coalesce("label", "tid").alias("label"))
     counted = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
     tids = written(tids.join(counted, "digest"), "classes")
     classes = written(tids.groupBy("label").agg(F.min("dk").alias("class"), F.min(F.struct("dk", "digest")).alias("f"), F.sum("copies").alias("class_size")), "named")
