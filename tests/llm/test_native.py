@@ -123,6 +123,43 @@ def brute_license(text, least=licenses.LEAST):
     return (licenses.TEMPLATES[-best[1]][0], best[0], len(hits)) if best else (None, 0.0, 0)
 
 
+def brute_runs(text, least=licenses.LEAST):
+    """Of each template that a run of the text's words reaches, the coefficient of the best run."""
+    words, found = licenses.re.findall(r"[^\W_]+", text.lower()), {}
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+    for k, (_, template) in enumerate(licenses.TEMPLATES):
+        t = licenses.bigrams(template)
+        runs = (set(pairs[i:j]) for i in range(len(pairs)) for j in range(i + 1, min(len(pairs), i + int(len(t) * (2 - least) / least)) + 1))
+        dice = max((2 * len(r & t) / (len(r) + len(t)) for r in runs), default=0)
+        if dice >= least:
+            found[k] = dice
+    return found
+
+
+def test_notices_inside_other_text(frame):
+    noise = lambda k, n: " ".join(f"n{k}x{i}" for i in range(n))
+    wrap = lambda words, n, mark: "\n".join(mark + " ".join(words[i : i + n]) for i in range(0, len(words), n))
+    texts = ["Copyright 2024 Foo Inc. All rights reserved.", f"{noise(0, 20)} Released under the MIT License. {noise(1, 30)}", "All rights are not reserved, nor is anything licensed."]
+    for k, (_, t) in enumerate(licenses.TEMPLATES):
+        words = t.split()
+        texts.append(f"{noise(k, 40)} {t} {noise(k, 40)}")
+        texts.append(wrap([*noise(k, 60).split(), *words, *noise(k, 60).split()], 9, "# "))
+        changed = [*words[: len(words) // 2], *(["new"] if len(words) > 15 else []), *words[len(words) // 2 :]]
+        texts.append(wrap([*noise(k, 60).split(), *changed, *noise(k, 60).split()], 7, " * "))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in licenses.license_scan(frame(rows), runs=True).collect()}
+    runs = 0
+    for i, t in rows:
+        if brute_license(t)[0] is not None:
+            continue  # a line of its own matches
+        found = brute_runs(t)
+        best = max(((d, -k) for k, d in found.items()), default=(0.0, None))
+        want = (licenses.TEMPLATES[-best[1]][0], -best[1]) if found else (None, None)
+        assert (got[i]["license"], got[i]["template"]) == want and abs(got[i]["dice"] - best[0]) < 1e-12 and got[i]["n_matches"] == len(found)
+        runs += bool(found)
+    assert runs >= 55 and got[0]["license"] == "proprietary" and got[1]["license"] == "MIT" and got[2]["license"] is None
+
+
 def test_license_scan_against_brute_force(frame, odd_rows):
     texts = [t for _, t in licenses.TEMPLATES]
     rows = odd_rows + [(100 + k, f"Some prose.\n{t}\nMore.") for k, t in enumerate(texts)]

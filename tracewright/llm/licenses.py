@@ -2,7 +2,9 @@
 
 Units of a text are its lines, its paragraphs and the whole. Two exact bounds spare most comparisons. A unit is compared
 only to templates whose number of bigrams allows the wanted coefficient at all. And a text is split only if it holds one
-of a few words, chosen so that no unit without them can share enough bigrams with any template. Nothing is shuffled.
+of a few words, chosen so that no unit without them can share enough bigrams with any template. Where no unit matches, every
+run of words can be one (a notice inside a longer line, or wrapped inside a paragraph): the best run begins and ends with
+bigrams of the template, so only those are tried, of templates enough of whose bigrams the text holds. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -94,12 +96,39 @@ def _template_column(templates: list[tuple[str, str]]) -> Column:
     return F.expr(f"array({', '.join(parts)})")
 
 
+def _in_runs(grams: Column, known: list[tuple[str, str]], least: float) -> Column:
+    """(dice, k) of each template that a run of ``grams``, the bigrams of a text in order, reaches; of the best run.
+
+    Runs are as long as the template's size bounds allow. One that begins or ends with another text's bigram is never better
+    than without it.
+    """
+    reach = least / (2 - least) * (1 - 1e-9)
+    distinct = F.array_distinct(grams)
+    size = lambda t: F.size(t["grams"])
+    held = F.filter(_template_column(known), lambda t: F.size(F.array_intersect(distinct, t["grams"])) >= size(t) * F.lit(reach))
+    placed = F.transform(
+        held,
+        lambda t: F.struct(t["k"].alias("k"), t["grams"].alias("grams"), F.ceil(size(t) * F.lit(reach)).cast("int").alias("need"), F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.array_contains(t["grams"], F.get(grams, i))).alias("at")),
+    )
+
+    def dice(t: Column, first: Column, last: Column) -> Column:
+        run = F.slice(grams, first + 1, last - first + 1)
+        return F.when((last - first) * F.lit(reach) < size(t), 2.0 * F.size(F.array_intersect(run, t["grams"])) / (F.size(F.array_distinct(run)) + size(t))).otherwise(F.lit(0.0))
+
+    def best(t: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(t["at"]) - t["need"])
+        return F.array_max(F.flatten(F.transform(starts, lambda i: F.transform(F.slice(t["at"], i + t["need"], F.size(t["at"])), lambda last: dice(t, F.get(t["at"], i), last)))))
+
+    return F.filter(F.transform(placed, lambda t: F.struct(best(t).alias("dice"), (-t["k"]).alias("k"))), lambda m: m["dice"] >= least)
+
+
 def license_scan(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, least: float = LEAST
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, least: float = LEAST, runs: bool = False
 ) -> DataFrame:
     """Per row: id, license (of the best template, null if none reaches ``least``), template (its number), dice and n_matches (pairs of a unit and a template that reach it).
 
-    At ties the first template counts. Text is lowered and split at all that isn't a letter or digit; equal units of a text
+    Units are lines, paragraphs and the whole; with ``runs``, in a text where none of them reaches ``least``, all runs of words
+    too, of which the best counts for each template. At ties the first template counts. Text is lowered and split at all that isn't a letter or digit; equal units of a text
     count once. A null or empty text has no licence; a null id stays null; repeated rows give repeated results; an empty table
     gives none; other columns are ignored.
     """
@@ -114,11 +143,13 @@ def license_scan(
     has = f"(?iu){'|'.join(map(re.escape, words))}"
     units = F.when(text.rlike(has), F.filter(F.array_distinct(whole), lambda u: u.rlike(has)))
     rows = df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).withColumn("units", units)
-    rows = rows.select(id_col, F.transform("units", lambda u: F.array_remove(F.split(F.lower(u), r"[^\p{L}\p{N}]+"), "")).alias("words"))
-    pairs = F.transform("words", lambda w: F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))))
+    of_text = lambda u: F.array_remove(F.split(F.lower(u), r"[^\p{L}\p{N}]+"), "")
+    in_order = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    rows = rows.select(id_col, "text", F.transform("units", of_text).alias("words"))
+    pairs = F.transform("words", lambda w: F.array_distinct(in_order(w)))
     # a word alone has no bigram; units out of every template's bounds need no bigrams
-    rows = rows.select(id_col, F.filter("words", lambda w: (F.size(w) - 1 >= low) & (F.size(w) > 1)).alias("words")).select(id_col, pairs.alias("pairs"))
-    rows = rows.select(id_col, F.filter("pairs", lambda p: F.size(p).between(low, high)).alias("pairs"))
+    rows = rows.select(id_col, "text", F.filter("words", lambda w: (F.size(w) - 1 >= low) & (F.size(w) > 1)).alias("words")).select(id_col, "text", pairs.alias("pairs"))
+    rows = rows.select(id_col, "text", F.filter("pairs", lambda p: F.size(p).between(low, high)).alias("pairs"))
     reach = F.lit(bound)
     matched = F.transform(
         "pairs",
@@ -130,7 +161,11 @@ def license_scan(
             lambda m: m["dice"] >= least,
         ),
     )
-    rows = rows.select(id_col, F.flatten(matched).alias("matched"))
+    rows = rows.select(id_col, "text", F.flatten(matched).alias("matched"))
+    if runs:
+        # only where no unit matches, the bigrams of the whole in their order; a text of one word has none
+        rows = rows.withColumn("words", F.when(F.size("matched") == 0, of_text(text))).withColumn("grams", F.when(F.size("words") > 1, in_order(F.col("words"))))
+        rows = rows.select(id_col, F.when(F.size("grams") > 0, _in_runs(F.col("grams"), known, least)).otherwise(F.col("matched")).alias("matched"))
     best = F.array_max("matched")
     names = F.array(*[F.lit(name) for name, _ in known])
     rows = rows.withColumn("best", best)

@@ -62,7 +62,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracewright.llm.licenses import license_scan
 
-    return license_scan(documents(spark, sf_dir))
+    return license_scan(documents(spark, sf_dir), runs=True)
 
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,8 @@ def _license_sql() -> str:
 WITH tw AS (SELECT k, name, {words.format("x")} AS w FROM (VALUES {known}) AS v(k, name, x)), t AS (SELECT k, name, {grams} AS g FROM tw),
 d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 u AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '
-[ 	]*
+[ 	
+]*
 ')), [text])) AS x FROM d),
 uw AS (SELECT doc_id, {words.format("x")} AS w FROM u), p AS (SELECT doc_id, {grams} AS g FROM uw WHERE len(w) > 1),
 m AS (SELECT doc_id, k, name, 2.0::DOUBLE * len(list_intersect(p.g, t.g)) / (len(p.g) + len(t.g)) AS dice FROM p JOIN t ON len(p.g) BETWEEN {LEAST / (2 - LEAST) - 1e-9} * len(t.g) AND {(2 - LEAST) / LEAST + 1e-9} * len(t.g)),
