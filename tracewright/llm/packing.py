@@ -23,17 +23,22 @@ from pyspark.sql import functions as F
 from tracewright.llm.common import CACHES, written
 
 CAPACITY = 2048
-#: Words whose ids a worker remembers; beyond it the memory is emptied, which changes no result.
-MEMORY = 1_200_000
+#: Words whose ids a worker remembers, and their letters; beyond either the memory is emptied, which changes no result.
+MEMORY, LETTERS = 1_200_000, 32_000_000
 #: Stands between words that are encoded together: a word of its own whose one id no text without it yields.
 BETWEEN = "€"
 
 #: str.split() also splits at these, the vocabulary doesn't; texts that hold any are split at ASCII white space alone.
 _ODD, _PLAIN = re.compile("[\x1c-\x1f]"), re.compile(r"[^ \t\n\r\x0b\x0c]+")
-#: Letters and after them nothing but ASCII marks.
-_MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)\Z")
+#: Words of these letters and marks only have nothing to compose and one lower case each: the vocabulary's splitting pattern, a
+#: fixed value, then reads as in _TOKEN.
+_USUAL = re.compile(r"[\n!-~¡«»¿À-ÖØ-öø-ÿ‐-‧…]*")
+_TOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+#: How the file's marks of special tokens begin; a word with it goes to the whole tokenizer.
+_SPECIAL = "<|"
 _words: dict[str, bytes] = {}
-CACHES.append(_words)
+_tokens: dict[str, bytes] = {}
+CACHES.extend((_words, _tokens))
 
 
 def _tokenizer(path: str):
@@ -47,45 +52,68 @@ class WordIds:
     """Ids of texts, word by word. The vocabulary drops white space and never joins across it, so a text's ids are its words' ids in a row."""
 
     def __init__(self, path: str):
-        self.path, self.tokenizer = path, None
+        self.path, self.tokenizer, self.letters = path, None, 0
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if self.tokenizer is None:
-            self.tokenizer = _tokenizer(self.path)
-            (self.between,) = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+            self._load()
         known = _words
-        if len(known) > MEMORY:
+        if len(known) > MEMORY or self.letters > LETTERS:
             known.clear()
+            _tokens.clear()
+            self.letters = 0
         split = [_PLAIN.findall(x) if _ODD.search(x) else x.split() for x in texts]
         fresh = list(set().union(*split).difference(known)) if split else []
         if fresh:
+            self.letters += sum(map(len, fresh))
             self._learn(fresh, known)
         return [b"".join(map(known.__getitem__, x)) for x in split]
 
+    def _load(self) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = _tokenizer(self.path)
+        (self.between,) = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        # for tokens that are split and lowered already: the same vocabulary, and the characters that stand for their bytes in it
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        usual = (c for c in map(chr, range(128, 0x2100)) if _USUAL.fullmatch(c))
+        self.bytes = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in usual}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _learn(self, fresh: list[str], known: dict[str, bytes]) -> None:
-        """Adds ids of words. Letters and a tail of marks are two tokens of the splitting pattern, so each is encoded once, by itself."""
-        halves = {}
-        for w in fresh:
-            if (m := _MARKED.match(w)) and m[1].lower().isalpha():  # else a mark that lowering yields joins the tail
-                stem, tail = m.groups()
-                halves[w] = (stem.lower() if stem.isascii() else stem, tail)
-            elif w.isascii() and w.isalpha() and not w.islower():
-                halves[w] = (w.lower(), "")
-        single = {x for pair in halves.values() for x in pair if x}.union(w for w in fresh if w not in halves).difference(known)
-        for word in [w for w in single if BETWEEN in w]:
+        """Adds ids of words: of usual ones by their tokens, each of which is encoded once, of others whole."""
+        joined, rest = "\n".join(fresh), []
+        if _SPECIAL in joined or not _USUAL.fullmatch(joined):
+            usual = [w for w in fresh if _SPECIAL not in w and _USUAL.fullmatch(w)]
+            rest = list(set(fresh).difference(usual))
+            fresh, joined = usual, "\n".join(usual)
+        if fresh:
+            low = joined.lower()
+            todo = list(set(_TOKEN.findall(low)).difference(_tokens))
+            some = [todo[at : at + 100] for at in range(0, len(todo), 100)]
+            for tokens, found in zip(some, self.bare.encode_batch_fast([" ".join(x).translate(self.bytes) for x in some], add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, "<u4")
+                _cut(ids, tokens, np.flatnonzero(self.ends[ids]) + 1, 0, _tokens)
+            whole, token, parts = _tokens.get, _tokens.__getitem__, _TOKEN.findall
+            known.update((w, whole(x) or b"".join(map(token, parts(x)))) for w, x in zip(fresh, low.split("\n"), strict=True))
+        for word in [w for w in rest if BETWEEN in w]:
             known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-            single.discard(word)
-        todo = list(single)
-        for at in range(0, len(todo), 5_000):
-            some = todo[at : at + 5_000]
-            (found,) = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join([*some, ""])], add_special_tokens=False)
+        rest = [w for w in rest if BETWEEN not in w]
+        some = [rest[at : at + 100] for at in range(0, len(rest), 100)]
+        for words, found in zip(some, self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join([*x, ""]) for x in some], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
-            ends = np.flatnonzero(ids == self.between)
-            raw = ids.tobytes()
-            known.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True)], strict=True))
-        known.update((w, known[stem] + known.get(tail, b"")) for w, (stem, tail) in halves.items())
+            _cut(ids, words, np.flatnonzero(ids == self.between), 1, known)
+
+
+def _cut(ids: np.ndarray, words: list[str], ends: np.ndarray, gap: int, into: dict[str, bytes]) -> None:
+    """Puts the ids of words that were encoded together under each word; ``gap`` ids stand between two words."""
+    raw, begins = ids.tobytes(), [0, *(4 * (ends[:-1] + gap)).tolist()]
+    into.update(zip(words, [raw[a:b] for a, b in zip(begins, (4 * ends).tolist(), strict=True)], strict=True))
 
 
 def pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = 0) -> DataFrame:
