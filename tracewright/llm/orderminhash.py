@@ -58,19 +58,20 @@ def labelled(grams: np.ndarray) -> np.ndarray:
 
 
 def order_sketches(words: np.ndarray) -> np.ndarray:
-    """One number a band. Texts without words have none."""
+    """One number a band. Texts without words have none. Long texts take fewer bands at a time, so that AT_ONCE numbers are held, or one band."""
     grams = shingles(words)
     if not len(grams):
         return np.zeros(0, np.int64)
     base = mix(labelled(grams))
-    out = np.empty(BANDS, np.uint64)
-    for band, seed in enumerate(_SEEDS):
-        drawn = base * seed  # base is mixed; an odd factor is another order of it
-        least = np.argpartition(drawn, KEPT)[:KEPT] if len(drawn) > KEPT else np.arange(len(drawn))
-        h = np.array([seed])
-        for g in grams[np.sort(least)]:
-            h = mix(h * _STEP + g)
-        out[band] = h[0]
+    kept, some = min(KEPT, len(grams)), max(1, AT_ONCE // len(grams))
+    out = _SEEDS.copy()
+    for at in range(0, BANDS, some):
+        seeds = _SEEDS[at : at + some]
+        drawn = base * seeds[:, None]  # base is mixed; an odd factor is another order of it
+        least = np.argpartition(drawn, kept, axis=1)[:, :kept] if len(grams) > kept else np.tile(np.arange(kept), (len(seeds), 1))
+        least = np.sort(least, axis=1)
+        for k in range(kept):
+            out[at : at + some] = mix(out[at : at + some] * _STEP + grams[least[:, k]])
     return out.view(np.int64)
 
 
