@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,3 +72,26 @@ def canonical_order(df: DataFrame, *keys: str) -> DataFrame:
 
 def locale_order(df: DataFrame, col: str, locale: str, *then: str) -> DataFrame:
     return df.orderBy(F.collate(F.col(col), locale), *then)
+
+
+def multi_order(df: DataFrame, keys: list[tuple[str, str | None, bool]]) -> DataFrame:
+    """Rows by several keys (column, collation or None, ascending)."""
+    columns = [F.collate(F.col(c), collation) if collation else F.col(c) for c, collation, _ in keys]
+    return df.orderBy(*[k.asc() if up else k.desc() for k, (_, _, up) in zip(columns, keys, strict=True)])
+
+
+def placed(ordered: DataFrame, out: str) -> DataFrame:
+    """The number, from 1, of each row of an ordered table.
+
+    Rows are numbered inside their partitions, which the sort has put in order, and each partition starts after the counts of
+    those before it (a table of a row a partition); nothing is sorted in one task.
+    """
+    from tracewright.storage import written
+
+    inside = F.monotonically_increasing_id()
+    rows = written(ordered.withColumn("_id", inside), "ordered")
+    part = F.shiftright("_id", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).select("_part", "_before")
+    numbered = rows.withColumn("_part", part).join(F.broadcast(before), "_part")  # a row a partition
+    return numbered.withColumn(out, F.col("_before") + F.col("_id") - F.shiftleft("_part", 33) + 1).drop("_id", "_part", "_before")

@@ -32,7 +32,7 @@ def _c(r: Rule) -> Column:
     return F.col(r.column)
 
 
-def _all(r: Rule) -> Column:
+def _any(r: Rule) -> Column:
     out = F.lit(False)
     for part in r.argument:
         out = out | part.holds()
@@ -53,12 +53,16 @@ KINDS = {
     "max": lambda r: _c(r) <= F.lit(r.argument),
     "length": lambda r: F.length(_c(r)).between(*r.argument),
     "array": lambda r: (F.size(_c(r)) >= r.argument[0]) & ((F.size(F.array_distinct(_c(r))) == F.size(_c(r))) if r.argument[1] else F.lit(True)),
-    "any_of": _all,
+    "any_of": _any,
     "if_then": lambda r: ~F.coalesce(r.argument[0].holds(), F.lit(False)) | r.argument[1].holds(),
     "null_or": lambda r: _c(r).isNull() | r.argument.holds(),
     "no_self_loop": lambda r: _c(r) != F.col(r.argument),
     "date": lambda r: _c(r).isNull() | F.try_to_timestamp(_c(r).cast("string"), F.lit(r.argument or "yyyy-MM-dd")).isNotNull(),
     "uri": lambda r: _c(r).rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:\S+\z"),
+    "uri_reference": lambda r: _c(r).rlike(r"^[^\s<>\"{}|\\^`]*\z"),
+    "iri": lambda r: _c(r).rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:[^\s<>\"{}|\\^`]+\z"),
+    "not": lambda r: ~r.argument.holds(),
+    "size": lambda r: F.coalesce(F.size(_c(r)) == r.argument, F.lit(False)),
     "local_name": lambda r: ~(_c(r).contains("/") | _c(r).contains("..")),
     "equal": lambda r: _c(r).eqNullSafe(F.col(r.argument)),
     "expression": lambda r: r.argument,

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.text import bracket_code, clean_title, code_prefix, compact, content_id, first_match, matched, norm_code, norm_ws, rewrite_first, truncate_words
+from tracewright.functions.text import bracket_code, clean_title, code_prefix, compact, compatible, content_id, first_match, matched, norm_code, norm_ws, rewrite_first, truncate_words
 from tracewright.operators.keys import dedup_first
 from tracewright.operators.sequence import carry_last, fold_forward, lines, running_count
 
@@ -56,6 +56,10 @@ class Rules:
     titles: dict = field(default_factory=dict)
     middle_titles: dict = field(default_factory=dict)
     shared_prefixes: tuple = ("성직", "인산", "디직")
+    legend: str = r"두 자리 수로 제시|교과목의 2개 글자를 제시"
+    first_annex: int = 5
+    last_annex: int = 39
+    other_annexes: tuple = (15,)
 
 
 def profile_of(code: Column, annex: Column) -> Column:
@@ -71,6 +75,23 @@ def program_scope(annex: Column, first: int = 23) -> Column:
     return F.when(annex >= first, F.array(F.lit("vocational"))).otherwise(F.array(F.lit("academic")))
 
 
+def in_scope(annex: Column, rules: Rules | None = None) -> Column:
+    """Whether a document's number is in the range of those that hold records, of which some are left out."""
+    rules = rules or Rules()
+    return annex.between(rules.first_annex, rules.last_annex) & ~annex.isin(*rules.other_annexes)
+
+
+def empty_groups(docs: DataFrame, records: DataFrame, rules: Rules | None = None, key: str = "doc_id") -> DataFrame:
+    """(type, doc_id, annex): a diagnostic for each document in scope that has given no record."""
+    rows = docs.filter(in_scope(F.col("annex"), rules)).join(records.filter("profile IS NOT NULL").select(key), key, "left_anti")
+    return rows.select(F.lit("no-standards-detected").alias("type"), key, "annex")
+
+
+def unknown_profiles(records: DataFrame) -> DataFrame:
+    """(type, doc_id, code, line_no): a diagnostic for each record line whose code is of no profile."""
+    return records.filter("profile IS NULL").select(F.lit("unknown-profile").alias("type"), "doc_id", "code", "line_no")
+
+
 def _section_title(norm: Column, rules: Rules) -> Column:
     """What a line before a section marker offers as its title; null if nothing."""
     tail = F.regexp_extract(norm, rules.numbered, 1)
@@ -82,11 +103,13 @@ def extract_records(docs: DataFrame, rules: Rules | None = None, compatibility:
     """Records of documents (doc_id, annex, text), each with code, prefix, profile, statement, domain, page, line_no, category and title.
 
     Lines are scanned once: every line offers what it could be to those after it (a section, a title, a category, a domain),
-    and windows carry the nearest offer to the record lines. Codes of the second, fourth and sixth grade are out of scope
-    and vanish; other codes without a profile have a null ``profile`` (for the diagnostics).
+    and windows carry the nearest offer to the record lines. Documents out of scope are not read; codes of the second, fourth and
+    sixth grade and lines of the code's legend vanish; other codes without a profile have a null ``profile`` (for the diagnostics).
     """
     rules = rules or Rules()
-    every = lines(docs).withColumn("norm", norm_ws("line"))
+    annexes = docs.filter(in_scope(F.col("annex"), rules))
+    # the document's number goes with its lines, so nothing is joined back
+    every = lines(annexes.select(F.struct("doc_id", "annex").alias("doc"), "text"), "doc").select("doc.doc_id", "doc.annex", "line_no", "line").withColumn("norm", norm_ws("line"))
     category = first_match("norm", rules.categories)
     every = running_count(every, "\f", "page")
     every = every.withColumn("is_marker", F.col("norm").rlike(rules.marker))
@@ -103,7 +126,7 @@ def extract_records(docs: DataFrame, rules: Rules | None = None, compatibility:
     rows = every.filter("record IS NOT NULL")
     # the fold starts with the whole line; the record's own text is what follows the code
     rows = rows.withColumn("statement", norm_ws(F.concat(first, F.expr("substring(folded, length(norm) + 1)"))))
-    rows = rows.join(docs.select("doc_id", "annex"), "doc_id")
+    rows = rows.filter(~F.col("statement").rlike(rules.legend))
     rows = rows.withColumn("code", norm_code("record.code", compatibility)).filter(~compact("code").rlike("^[246]"))
     prefix = code_prefix("code")
     number = matched(compact("code"), r"(\d{2})-\d{2}\z")
@@ -130,22 +153,22 @@ def extract_records(docs: DataFrame, rules: Rules | None = None, compatibility:
     )
 
 
-def summarised(records: DataFrame, rules: Rules | None = None) -> DataFrame:
-    """records with a short ``summary`` of each statement: its ending turned into a noun form, cut at a word's end."""
+def summarised(records: DataFrame, rules: Rules | None = None, compatibility: bool = True) -> DataFrame:
+    """records with a short ``summary`` of each statement: in compatibility form, its ending turned into a noun form, cut at a word's end."""
     rules = rules or Rules()
-    text = F.trim(F.regexp_replace("statement", r"[.。]\s*\z", ""))
+    text = F.trim(F.regexp_replace(compatible("statement") if compatibility else F.col("statement"), r"[.。]\s*\z", ""))
     return records.withColumn("summary", truncate_words(rewrite_first(text, rules.endings), 180, 176, F.concat("domain", F.lit(" 영역의 핵심 이해와 수행"))))
 
 
 def deduplicated(records: DataFrame, rules: Rules | None = None) -> DataFrame:
-    """One record a (profile, scope, code), the first by (annex, line), with all its documents and the number folded.
+    """One record a (profile, scope, code), the first by (annex, line, document), with all its documents and the number folded.
 
     The scope is the annex, or one for the prefixes that several annexes share.
     """
     rules = rules or Rules()
     scope = F.when((F.col("annex") >= 23) & F.col("prefix").isin(*rules.shared_prefixes), "shared").otherwise(F.concat(F.lit("annex-"), F.col("annex").cast("string")))
     keyed = records.withColumn("scope", scope).withColumn("tight", compact("code"))
-    return dedup_first(keyed, ["profile", "scope", "tight"], [F.col("annex"), F.col("line_no")], {"doc_id": "documents"})
+    return dedup_first(keyed, ["profile", "scope", "tight"], [F.col("annex"), F.col("line_no"), F.col("doc_id")], {"doc_id": "documents"})
 
 
 def with_ids(records: DataFrame) -> DataFrame:

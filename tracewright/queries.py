@@ -2,30 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions import text as tx
 from tracewright.operators import entities, graph, keys, questions, relations, release, report, rules, sequence, triples
+from tracewright.registry import ORACLES, QUERIES, query, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f: Callable) -> Callable:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def doc_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,14 +105,14 @@ def topic_type_classify(spark: SparkSession, d: str) -> DataFrame:
 @query(
     _LINES
     + r"""
-, r AS (SELECT doc_id, CASE WHEN regexp_matches(norm, 'ing\.$') THEN regexp_replace(norm, 'ing\.$', 'e') WHEN regexp_matches(norm, 'ed\.$') THEN regexp_replace(norm, 'ed\.$', '') WHEN regexp_matches(norm, '\.$') THEN regexp_replace(norm, '\.$', '') ELSE norm END AS s FROM lines WHERE line_no = 1)
-SELECT doc_id, CASE WHEN length(s) = 0 THEN 'empty' WHEN length(s) > 60 THEN regexp_replace(substr(s, 1, 56), '\s+\S*$', '') || '…' ELSE s END AS summary FROM r
+, r AS (SELECT doc_id, CASE WHEN regexp_matches(norm, 'ing\.$') THEN regexp_replace(norm, 'ing\.$', 'e') WHEN regexp_matches(norm, 'ed\.$') THEN regexp_replace(norm, 'ed\.$', '') WHEN regexp_matches(norm, '\.$') THEN regexp_replace(norm, '\.$', '') ELSE norm END AS s, line_no FROM lines)
+SELECT doc_id, line_no, CASE WHEN length(s) = 0 THEN 'empty' WHEN length(s) > 60 THEN regexp_replace(substr(s, 1, 56), '\s+\S*$', '') || '…' ELSE s END AS summary FROM r
 """
 )
 def suffix_rewrite(spark: SparkSession, d: str) -> DataFrame:
-    first = doc_text_lines(spark, d).filter("line_no = 1")
     rewritten = tx.rewrite_first("norm", [(r"ing\.\z", "e"), (r"ed\.\z", ""), (r"\.\z", "")])
-    return first.select("doc_id", rewritten.alias("s")).select("doc_id", tx.truncate_words("s", 60, 56, "empty").alias("summary"))
+    rows = doc_text_lines(spark, d).select("doc_id", "line_no", rewritten.alias("s"))
+    return rows.select("doc_id", "line_no", tx.truncate_words("s", 60, 56, "empty").alias("summary"))
 
 
 @query("SELECT doc_id, 'doc:' || substr(sha256(coalesce(lang, '') || '|' || coalesce(source, '') || '|' || coalesce(text, '')), 1, 16) AS id FROM documents")
@@ -159,14 +143,12 @@ def secret_scan(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT page_id, len(regexp_extract_all(html, '(?:href|src)="https?://'))::INT AS links, regexp_matches(html, '(?i)<script[^>]+src=') AS scripts FROM pages""")
 def external_links(spark: SparkSession, d: str) -> DataFrame:
-    outside, script = '(?:href|src)="https?://', "(?i)<script[^>]+src="
-    return table(spark, d, "pages").select("page_id", F.regexp_count("html", F.lit(outside)).alias("links"), F.col("html").rlike(script).alias("scripts"))
+    return table(spark, d, "pages").select("page_id", tx.external_links("html").alias("links"), F.col("html").rlike("(?i)<script[^>]+src=").alias("scripts"))
 
 
-@query("SELECT doc_id, coalesce(length(trim(norm)) = 0 OR length(norm) > 80 OR regexp_matches(norm, '[.!?]\\s*$'), true) AS suspicious, regexp_matches(norm, '\"[^\"“”]{60,}\"') AS quoted FROM (" + _LINES + " SELECT * FROM lines WHERE line_no = 1)")
+@query("SELECT doc_id, line_no, coalesce(length(trim(norm)) = 0 OR length(norm) > 80 OR regexp_matches(norm, '[.!?]\\s*$'), true) AS suspicious, regexp_matches(norm, '[\"“][^\"“”]{60,}[\"”]') AS quoted FROM (" + _LINES + " SELECT * FROM lines)")
 def suspicious_labels(spark: SparkSession, d: str) -> DataFrame:
-    first = doc_text_lines(spark, d).filter("line_no = 1")
-    return first.select("doc_id", tx.suspicious_label("norm").alias("suspicious"), F.col("norm").rlike('"[^"“”]{60,}"').alias("quoted"))
+    return doc_text_lines(spark, d).select("doc_id", "line_no", tx.suspicious_label("norm").alias("suspicious"), tx.long_quote("norm").alias("quoted"))
 
 
 @query("SELECT p_partkey, 'https://example.org/part/' || replace(p_name, ' ', '%20') || '/' || p_partkey::VARCHAR AS iri, substr(sha256(p_name), 1, 20) AS bucket, printf('%.2f', p_retailprice) AS price FROM part")
@@ -272,10 +254,12 @@ def facet_explode(spark: SparkSession, d: str) -> DataFrame:
     return entities.children(part, facets, "p_type", "key", "child:")
 
 
-@query("SELECT p_brand, md5(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey)) AS members, count(*) AS n FROM part GROUP BY 1")
+@query("SELECT p_brand, p_partkey // 1000 AS sheet, md5(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey)) AS members, count(*) AS n FROM part GROUP BY 1, 2")
 def cluster_collect(spark: SparkSession, d: str) -> DataFrame:
-    rows = keys.collect_ids(table(spark, d, "part"), ["p_brand"], "p_partkey", "ids")
-    return rows.select("p_brand", F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("members"), F.size("ids").cast("long").alias("n"))
+    """Members of clusters of bounded size: a brand's parts by thousands of keys."""
+    part = table(spark, d, "part").withColumn("sheet", F.floor(F.col("p_partkey") / 1000).cast("long"))
+    rows = keys.collect_ids(part, ["p_brand", "sheet"], "p_partkey", "ids")
+    return rows.select("p_brand", "sheet", F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("members"), F.size("ids").cast("long").alias("n"))
 
 
 @query("SELECT p_brand, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS options, count(DISTINCT p_type)::INT AS n FROM part WHERE p_size > 10 GROUP BY 1 HAVING count(DISTINCT p_type) > 1")
@@ -695,9 +679,9 @@ def domain_inference(spark: SparkSession, d: str) -> DataFrame:
     return triples.infer_subclass(triples.infer_domain_types(_triples(spark, d), domains), spark.createDataFrame([("Country", "Place")], "sub string, super string"))
 
 
-@query("SELECT '<nation:' || n_nationkey || '> <label> \"' || n_name || '\" .' AS value FROM nation UNION ALL SELECT '<nation:' || n_nationkey || '> <type> <Nation> .' FROM nation UNION ALL SELECT '<nation:' || n_nationkey || '> <inRegion> <region:' || n_regionkey || '> .' FROM nation")
+@query(_TRIPLES + """SELECT '<' || s || '> <' || p || '> ' || CASE WHEN o_kind = 'iri' THEN '<' || o || '>' ELSE '"' || o || '"' || CASE WHEN p = 'segment' THEN '^^<xsd:string>' ELSE '' END END || ' .' AS value FROM t""")
 def triple_lines(spark: SparkSession, d: str) -> DataFrame:
-    return triples.n_triples(_triples(spark, d).filter(F.col("s").startswith("nation:")))
+    return triples.n_triples(_triples(spark, d))
 
 
 @query("SELECT p_partkey, p_name, p_brand FROM part WHERE p_type = 'ECONOMY' AND contains(lower(concat_ws(' ', p_name, p_brand)), 'ring') ORDER BY p_name, p_partkey LIMIT 80")
@@ -720,14 +704,16 @@ def status_union(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _chosen_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The star schema seen as the questions' tables: parts are courses, orders relations, customers standards."""
-    part, orders, cust = (table(spark, d, n) for n in ("part", "orders", "customer"))
-    edge = [F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("src"), (F.col("o_orderkey") % 97).alias("dst"), F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("reason"), F.lit("official").alias("basis"), F.when(F.col("o_orderstatus") == "P", "candidate").otherwise("done").alias("review")]
+    """The star schema seen as the questions' tables: parts are courses, orders and lines relations, customers standards and transitions."""
+    part, orders, cust, line = (table(spark, d, n) for n in ("part", "orders", "customer", "lineitem"))
+    state = lambda c, value: F.when(F.col(c) == value, "candidate").otherwise("done").alias("review")
+    official = F.lit("official").alias("basis")
+    k = F.col("c_custkey")
     return {
         "course": part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("label"), F.col("p_brand").alias("category"), F.when(F.col("p_size") > 20, "high").otherwise("middle").alias("level"), F.when(F.col("p_partkey") % 3 == 0, F.array("p_size")).when(F.col("p_partkey") % 3 == 1, F.array().cast("array<int>")).alias("grades")),
-        "relation": orders.filter("o_orderkey % 3 = 0").select(*edge),
-        "course_relation": orders.filter("o_orderkey % 3 = 1").select(*edge),
-        "transition": orders.filter("o_orderkey % 3 = 2").select(*edge, F.array("o_custkey", F.col("o_custkey") + 1).alias("from_courses"), F.array(F.col("o_orderkey") % 97).alias("to_courses")),
+        "relation": orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("src"), (F.col("o_orderkey") % 97).alias("dst"), F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("reason"), official, state("o_orderstatus", "P")),
+        "course_relation": line.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"), F.col("l_returnflag").alias("kind"), F.col("l_linestatus").alias("reason"), official, state("l_returnflag", "R")),
+        "transition": cust.select(k.alias("id"), F.col("c_mktsegment").alias("kind"), F.col("c_name").alias("reason"), official, state("c_mktsegment", "BUILDING"), F.array(k, k + 1).alias("from_courses"), F.array(F.col("c_nationkey").cast("long")).alias("to_courses")),
         "offering": part.filter("p_partkey % 5 = 0").select((F.col("p_partkey") * 10).alias("id"), F.col("p_partkey").alias("course_id")),
         "standard": cust.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("source_id"), (F.col("c_custkey") % 400).alias("page"), F.col("c_nationkey").alias("domain_id"), F.lit(1).alias("course_id")),
         "source": table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")),
@@ -745,17 +731,22 @@ def question_alignments(spark: SparkSession, d: str) -> DataFrame:
     return questions.standard_alignments(_chosen_tables(spark, d))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN 'candidate' ELSE 'done' END AS review, o_orderstatus AS reason, 'official' AS basis FROM orders")
+_ALL_EDGES = """
+WITH e AS (SELECT o_orderkey AS id, o_orderpriority AS kind, o_orderstatus AS reason, o_orderstatus = 'P' AS open FROM orders UNION ALL SELECT l_orderkey * 10 + l_linenumber, l_returnflag, l_linestatus, l_returnflag = 'R' FROM lineitem UNION ALL SELECT c_custkey, c_mktsegment, c_name, c_mktsegment = 'BUILDING' FROM customer)
+"""
+
+
+@query(_ALL_EDGES + "SELECT id, CASE WHEN open THEN 'candidate' ELSE 'done' END AS review, reason, 'official' AS basis FROM e")
 def question_relation_review(spark: SparkSession, d: str) -> DataFrame:
     return questions.relation_review(_chosen_tables(spark, d))
 
 
-@query("SELECT o_orderkey AS id, o_orderpriority AS kind FROM orders WHERE o_orderstatus = 'P'")
+@query(_ALL_EDGES + "SELECT id, kind FROM e WHERE open")
 def question_review_queue(spark: SparkSession, d: str) -> DataFrame:
     return questions.review_queue(_chosen_tables(spark, d))
 
 
-@query("SELECT o_orderkey AS id, unnest([o_custkey, o_custkey + 1]) AS from_course, o_orderkey % 97 AS to_course, o_orderpriority AS kind, o_orderstatus AS reason, 'official' AS basis FROM orders WHERE o_orderkey % 3 = 2")
+@query("SELECT c_custkey AS id, unnest([c_custkey, c_custkey + 1]) AS from_course, c_nationkey::BIGINT AS to_course, c_mktsegment AS kind, c_name AS reason, 'official' AS basis FROM customer")
 def question_transitions(spark: SparkSession, d: str) -> DataFrame:
     return questions.transitions(_chosen_tables(spark, d))
 
@@ -780,12 +771,12 @@ def question_courses(spark: SparkSession, d: str) -> DataFrame:
     return questions.courses(_chosen_tables(spark, d))
 
 
-@query("SELECT o_orderkey AS id, o_custkey AS src, o_orderkey % 97 AS dst, o_orderpriority AS kind FROM orders WHERE o_orderkey % 3 = 0")
+@query("SELECT o_orderkey AS id, o_custkey AS src, o_orderkey % 97 AS dst, o_orderpriority AS kind FROM orders")
 def question_learning_relations(spark: SparkSession, d: str) -> DataFrame:
     return questions.learning_relations(_chosen_tables(spark, d))
 
 
-@query("SELECT o_orderkey AS id, o_custkey AS src, o_orderkey % 97 AS dst, o_orderpriority AS kind FROM orders WHERE o_orderkey % 3 = 1")
+@query("SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS src, l_suppkey AS dst, l_returnflag AS kind FROM lineitem")
 def question_course_relations(spark: SparkSession, d: str) -> DataFrame:
     return questions.course_relations(_chosen_tables(spark, d))
 
@@ -835,7 +826,7 @@ def question_outside_bridge(spark: SparkSession, d: str) -> DataFrame:
 def question_no_learner_data(spark: SparkSession, d: str) -> DataFrame:
     """Whether no row is of a class that must not be there."""
     learners = table(spark, d, "conversations").filter(~F.col("role").isin("user", "assistant", "system"))
-    return rules.expect(learners, none={"no-learners": F.lit(True)}).select("holds")
+    return spark.createDataFrame([(questions.no_learner_data({"learner": learners}),)], "holds boolean")
 
 
 @query(
@@ -909,8 +900,8 @@ def governance(spark: SparkSession, d: str) -> DataFrame:
     """SELECT 'course.grade' AS rule_id, 'error' AS severity, 'course' AS entity, p_partkey::VARCHAR AS key, '[' || p_size || ']' AS detail FROM part WHERE p_size > 20 AND p_partkey % 3 = 0
 UNION ALL SELECT 'course.id-form', 'error', 'course', p_partkey::VARCHAR, p_partkey::VARCHAR FROM part WHERE NOT regexp_matches(p_partkey::VARCHAR, '^[a-z0-9][a-z0-9._:-]*$')
 UNION ALL SELECT 'course.id-length', 'error', 'course', p_partkey::VARCHAR, p_partkey::VARCHAR FROM part WHERE length(p_partkey::VARCHAR) < 3
-UNION ALL SELECT 'relation.kind', 'error', 'relation', o_orderkey::VARCHAR, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0
-UNION ALL SELECT 'relation.loop', 'error', 'relation', o_orderkey::VARCHAR, o_custkey::VARCHAR FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey = o_orderkey % 97"""
+UNION ALL SELECT 'relation.kind', 'error', 'relation', o_orderkey::VARCHAR, o_orderpriority FROM orders
+UNION ALL SELECT 'relation.loop', 'error', 'relation', o_orderkey::VARCHAR, o_custkey::VARCHAR FROM orders WHERE o_custkey = o_orderkey % 97"""
 )
 def shape_catalogue(spark: SparkSession, d: str) -> DataFrame:
     from tracewright.plans import catalogue
@@ -990,22 +981,113 @@ def class_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH c AS (SELECT r_regionkey::VARCHAR AS profile, 'r' || (r_regionkey + (r_regionkey = 2)::INT) AS release_id FROM region)
-SELECT profile, release_id AS pinned, 'r' || r_regionkey AS current FROM c JOIN region ON profile = r_regionkey::VARCHAR WHERE release_id <> 'r' || r_regionkey"""
+    """SELECT s_suppkey::VARCHAR AS profile, 'r' || (s_nationkey + 1) AS pinned, CASE WHEN s_suppkey % 31 <> 0 THEN 'r' || s_nationkey END AS current FROM supplier WHERE s_suppkey % 9 = 2
+UNION ALL SELECT s_suppkey::VARCHAR, 'r' || s_nationkey, NULL FROM supplier WHERE s_suppkey % 9 <> 2 AND s_suppkey % 31 = 0"""
 )
 def version_pins(spark: SparkSession, d: str) -> DataFrame:
-    region = table(spark, d, "region").select(F.col("r_regionkey").cast("string").alias("profile"), F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("release_id"), "r_regionkey")
-    pins = region.withColumn("release_id", F.when(F.col("r_regionkey") == 2, "r3").otherwise(F.col("release_id"))).drop("r_regionkey")
-    return relations.check_pins(pins, region.drop("r_regionkey"))
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    name = lambda c: F.concat(F.lit("r"), c.cast("string")).alias("release_id")
+    supp = table(spark, d, "supplier")
+    pins = supp.select(k.cast("string").alias("profile"), name(F.when(k % 9 == 2, n + 1).otherwise(n)))
+    return relations.check_pins(pins, supp.filter(k % 31 != 0).select(k.cast("string").alias("profile"), name(n)))
 
 
 # --- plans ---------------------------------------------------------------------------------------------------------------
 
 
-@query(None)
+def _coded_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents seen as coded ones: each line begins with a code, of a grade that the line's length gives; some lines are headings, categories, domains or section marks."""
+    lines = sequence.lines(table(spark, d, "documents").select("doc_id", "text"))
+    k, n = F.length("line"), F.col("line_no")
+    word = F.regexp_extract("line", r"([A-Za-z]+)", 1)
+    head = F.concat(F.lit("["), F.element_at(F.array(*[F.lit(x) for x in ("9", "10", "12", "2", "7")]), (k % 5 + 1).cast("int")), F.substring(word, 1, 2), F.lpad((n % 100).cast("string"), 2, "0"), F.lit("-0"), (k % 10).cast("string"), F.lit("] "), F.col("line"))
+    line = (
+        F.when(k % 11 == 3, F.lit("1. 성격 및 목표"))
+        .when(k % 11 == 4, F.concat(F.lit("("), (n % 9).cast("string"), F.lit(") "), F.substring("line", 1, 30)))
+        .when(k % 11 == 5, F.lit("융합 선택 과목"))
+        .when(k % 11 == 6, F.concat(F.lit("3. "), word))
+        .when(k % 13 == 7, F.concat(head, F.lit(" 두 자리 수로 제시")))
+        .when(k % 3 != 1, head)
+        .otherwise(F.col("line"))
+    )
+    texts = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", line.alias("line")))).alias("l"))
+    return texts.select(F.col("doc_id").cast("string").alias("doc_id"), (F.col("doc_id") % 41).cast("int").alias("annex"), F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
+
+
+_CODED = r"""
+WITH s AS (SELECT doc_id, regexp_split_to_array(text, '\r?\n') AS l FROM documents WHERE text IS NOT NULL), src AS (SELECT doc_id, generate_subscripts(l, 1) AS n, unnest(l) AS x FROM s),
+m AS (SELECT doc_id, n, x, length(x) AS k, regexp_extract(x, '([A-Za-z]+)', 1) AS w FROM src),
+h AS (SELECT *, '[' || (['9', '10', '12', '2', '7'])[k % 5 + 1] || substr(w, 1, 2) || lpad((n % 100)::VARCHAR, 2, '0') || '-0' || (k % 10) || '] ' || x AS head FROM m),
+coded AS (SELECT doc_id, (doc_id % 41)::INT AS annex, n AS line_no, CASE WHEN k % 11 = 3 THEN '1. 성격 및 목표' WHEN k % 11 = 4 THEN '(' || (n % 9) || ') ' || substr(x, 1, 30) WHEN k % 11 = 5 THEN '융합 선택 과목' WHEN k % 11 = 6 THEN '3. ' || w WHEN k % 13 = 7 THEN head || ' 두 자리 수로 제시' WHEN k % 3 <> 1 THEN head ELSE x END AS line FROM h),
+a AS (SELECT *, trim(regexp_replace(replace(line, chr(12), ''), '[\s\x0b\x85\p{Z}]+', ' ', 'g')) AS norm FROM coded WHERE annex BETWEEN 5 AND 39 AND annex <> 15),
+b AS (SELECT *, norm = '1. 성격 및 목표' AS mark, CASE WHEN norm LIKE '%융합 선택 과목%' THEN 'convergence-elective' END AS cat,
+  CASE WHEN regexp_matches(norm, '^\([0-9]+\)\s*.+$') AND length(regexp_extract(norm, '^\([0-9]+\)\s*(.+)$', 1)) <= 80 THEN trim(regexp_extract(norm, '^\([0-9]+\)\s*(.+)$', 1)) END AS dom,
+  CASE WHEN regexp_matches(norm, '^[0-9]+\.\s*(.+)$') AND NOT regexp_matches(regexp_extract(norm, '^[0-9]+\.\s*(.+)$', 1), '^(성격|목표|내용 체계|교수|평가)') THEN trim(regexp_extract(norm, '^[0-9]+\.\s*(.+)$', 1))
+    WHEN length(norm) BETWEEN 1 AND 55 AND NOT regexp_matches(norm, '^[0-9]+$|교육과정|선택 중심|공통 교육|^[가-하]\.|^[0-9]+\.|^[<【•※(]|[.!?]$') THEN norm END AS title,
+  CASE WHEN regexp_matches(line, '^\s*\[([^\]\n]{1,32}?(?:[0-9]{2}-[0-9]{2}))\]\s*(.*)$') THEN regexp_extract(line, '^\s*\[([^\]\n]{1,32}?(?:[0-9]{2}-[0-9]{2}))\]\s*(.*)$', 1) END AS code,
+  regexp_extract(line, '^\s*\[([^\]\n]{1,32}?(?:[0-9]{2}-[0-9]{2}))\]\s*(.*)$', 2) AS rest FROM a),
+c AS (SELECT *, last_value(title IGNORE NULLS) OVER w90 AS title_before, last_value(cat IGNORE NULLS) OVER w120 AS cat_before, last_value(cat IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 180 PRECEDING AND CURRENT ROW) AS cat_near,
+  last_value(dom IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 80 PRECEDING AND 1 PRECEDING) AS dom_near, coalesce(list({'t': norm}) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING), []) AS after,
+  sum(length(line) - length(replace(line, chr(12), ''))) OVER (PARTITION BY doc_id ORDER BY line_no) + 1 AS page
+  FROM b WINDOW w90 AS (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 90 PRECEDING AND 1 PRECEDING), w120 AS (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 120 PRECEDING AND 1 PRECEDING)),
+d AS (SELECT *, last_value(CASE WHEN mark THEN {'t': title_before, 'c': cat_before} END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS section,
+  list_transform(after, lambda p: p.t = '' OR regexp_matches(p.t, '^\[|^•|^<성취기준|^\([가-힣0-9]+\)|^[0-9]+\)')) AS stops, list_transform(after, lambda p: regexp_matches(p.t, '^[0-9]+$|교육과정$')) AS skips, list_transform(after, lambda p: regexp_matches(p.t, '[.!?]$')) AS ends FROM c),
+e AS (SELECT *, coalesce(nullif(list_position(stops, true), 0) - 1, 99) AS until, list_position(list_transform(range(1, len(after) + 1), lambda i: ends[i] AND NOT skips[i]), true) AS fin FROM d),
+f AS (SELECT *, list_filter(list_transform(range(1, len(after) + 1), lambda i: CASE WHEN i <= until AND i <= coalesce(nullif(fin, 0), 99) AND NOT skips[i] THEN after[i].t END), lambda t: t IS NOT NULL) AS folded FROM e),
+r AS (SELECT doc_id::VARCHAR AS doc_id, annex, line_no, page, code, substr(code, 1, length(code) - 5) AS prefix, CASE WHEN code LIKE '9%' THEN 'middle' WHEN regexp_matches(code, '^1[02]') THEN 'high' WHEN annex = 18 THEN 'middle' WHEN annex BETWEEN 19 AND 39 THEN 'high' END AS profile,
+  trim(regexp_replace(replace(trim(regexp_replace(replace(rest, chr(12), ''), '[\s\x0b\x85\p{Z}]+', ' ', 'g')) || CASE WHEN len(folded) > 0 THEN ' ' || array_to_string(folded, ' ') ELSE '' END, chr(12), ''), '[\s\x0b\x85\p{Z}]+', ' ', 'g')) AS statement, dom_near, cat_near, section FROM f WHERE code IS NOT NULL AND NOT regexp_matches(code, '^[246]')),
+q AS (SELECT doc_id, annex, line_no, page::BIGINT AS page, code, prefix, profile, statement, coalesce(dom_near, '영역 ' || regexp_extract(code, '([0-9]{2})-[0-9]{2}$', 1)) AS domain,
+  CASE WHEN profile = 'middle' THEN CASE WHEN annex >= 16 THEN 'middle-elective' ELSE 'common' END ELSE coalesce(section.c, cat_near, CASE WHEN annex >= 23 THEN 'major-general' WHEN annex >= 19 THEN 'career-elective' ELSE 'common' END) END AS category,
+  coalesce(CASE WHEN len(string_split(section.t, ',')) = 2 AND prefix LIKE '%1' THEN trim(string_split(section.t, ',')[1]) WHEN len(string_split(section.t, ',')) = 2 AND prefix LIKE '%2' THEN trim(string_split(section.t, ',')[2]) ELSE trim(regexp_replace(regexp_replace(section.t, '^[-–—]\s*', ''), '^\[|\]$', '', 'g')) END,
+   nullif(regexp_replace(prefix, '^[0-9]+', ''), ''), '과목') AS title FROM r WHERE NOT regexp_matches(statement, '두 자리 수로 제시|교과목의 2개 글자를 제시'))
+"""
+
+
+@query(_CODED + "SELECT * FROM q")
 def extracted_records(spark: SparkSession, d: str) -> DataFrame:
-    """The extraction plan on the given documents: the lines that hold a licence become coded records of a document by annex."""
-    from tracewright.plans.extraction import deduplicated, extract_records, summarised, with_ids
+    """The records of documents, each with its code and context."""
+    from tracewright.plans.extraction import extract_records
+
+    return extract_records(_coded_documents(spark, d))
+
+
+@query(
+    _CODED
+    + """SELECT 'no-standards-detected' AS type, doc_id::VARCHAR AS doc_id, NULL AS code FROM documents WHERE text IS NOT NULL AND doc_id % 41 BETWEEN 5 AND 39 AND doc_id % 41 <> 15 AND doc_id::VARCHAR NOT IN (SELECT doc_id FROM q WHERE profile IS NOT NULL)
+UNION ALL SELECT 'unknown-profile', doc_id, code FROM q WHERE profile IS NULL"""
+)
+def extraction_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+    """Documents in scope that gave no record, and record lines whose code is of no profile."""
+    from tracewright.plans.extraction import empty_groups, extract_records, unknown_profiles
+    from tracewright.storage import written
+
+    docs = _coded_documents(spark, d)
+    records = written(extract_records(docs), "records")
+    lost = empty_groups(docs, records).select("type", "doc_id", F.lit(None).cast("string").alias("code"))
+    return lost.union(unknown_profiles(records).select("type", "doc_id", "code"))
+
+
+@query(
+    _CODED
+    + """, g AS (SELECT *, row_number() OVER (PARTITION BY profile, annex, code ORDER BY annex, line_no, doc_id) AS nth, count(*) OVER (PARTITION BY profile, annex, code) - 1 AS repeats FROM q WHERE profile IS NOT NULL),
+i AS (SELECT *, 'course:' || substr(sha256(profile || '|' || category || '|' || title), 1, 16) AS course_id FROM g WHERE nth = 1)
+SELECT doc_id, line_no, code, profile, repeats, course_id, 'domain:' || substr(sha256(course_id || '|' || domain), 1, 16) AS domain_id, 'standard:' || substr(sha256(profile || '|' || course_id || '|' || code), 1, 20) AS standard_id FROM i"""
+)
+def extracted_facts(spark: SparkSession, d: str) -> DataFrame:
+    """One record a code with the ids of what it belongs to, and how many were folded into it."""
+    from tracewright.plans.extraction import deduplicated, extract_records, with_ids
+
+    records = extract_records(_coded_documents(spark, d)).filter("profile IS NOT NULL")
+    return with_ids(deduplicated(records)).select("doc_id", "line_no", "code", "profile", "repeats", "course_id", "domain_id", "standard_id")
+
+
+@query(None)
+def extracted_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Short forms of the records' statements (compatibility forms aren't SQL's; tests compare them with Python's)."""
+    from tracewright.plans.extraction import extract_records, summarised
+
+    return summarised(extract_records(_coded_documents(spark, d))).select("doc_id", "line_no", "summary")
+
 
-    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), (F.col("doc_id") % 35 + 5).cast("int").alias("annex"), F.regexp_replace("text", r"(?m)^(\S+) (\S+) (\S+)", "[10$1-01-02] $2 $3").alias("text"))
-    return with_ids(deduplicated(summarised(extract_records(docs)))).drop("documents")
+# further questions register themselves in modules of their own
+from tracewright import entity_queries, release_queries, rule_queries  # noqa: E402, F401

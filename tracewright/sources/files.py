@@ -13,10 +13,10 @@ def read_texts(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
     return rows.select(F.col("_path").alias(id_col), F.col("value").alias("text"))
 
 
-def read_collection(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Records of JSON envelopes {profile, releaseId, recordType, recordCount, records}, with the envelope's fields."""
+def read_collection(spark: SparkSession, path: str, record: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Records of JSON envelopes {profile, releaseId, recordType, recordCount, records}, with the envelope's fields: an envelope a file, or a line."""
     envelope = T.StructType([T.StructField("profile", T.StringType()), T.StructField("releaseId", T.StringType()), T.StructField("recordType", T.StringType()), T.StructField("recordCount", T.LongType()), T.StructField("records", T.ArrayType(record))])
-    rows = spark.read.schema(envelope).json(path, multiLine=True)
+    rows = spark.read.schema(envelope).json(path, multiLine=multi_line)
     return rows.select(F.col("profile"), F.col("releaseId").alias("release_id"), F.col("recordType").alias("record_type"), F.col("recordCount").alias("record_count"), F.explode("records").alias("_r")).select("profile", "release_id", "record_type", "record_count", "_r.*")
 
 
@@ -25,8 +25,35 @@ def read_profile(spark: SparkSession, root: str, names: list[str], **options) ->
     return {name: spark.read.options(**options).parquet(f"{root.rstrip('/')}/{name}.parquet") for name in names}
 
 
-def edge_specs(kinds: dict[str, DataFrame]) -> DataFrame:
-    """One table of spec rows of several kinds, each named."""
+#: The lists of an edge-spec module and what their tuples hold, in order.
+SPEC_LISTS = {
+    "middleRequired": ("from_code", "to_code", "text", "page"),
+    "middleCommentaryRequired": ("from_code", "to_code", "page", "text"),
+    "elementaryToMiddleRequired": ("from_code", "to_code", "domain", "page", "text"),
+    "elementaryCommentaryRequired": ("from_code", "to_code", "page", "text"),
+    "middleToHighRequired": ("from_code", "to_code", "page", "text"),
+    "highRequired": ("from_code", "to_code", "text", "page"),
+    "highCommentaryRequired": ("from_code", "to_code", "page", "text"),
+}
+
+
+def edge_specs(spark: SparkSession, path: str, multi_line: bool = True, lists: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """(subject, annex, level, kind, place, arity, from_code, to_code, page, text, domain): a row for each tuple of JSON modules {subject, annexId, level, <kind>: [[...], ...]}.
+
+    ``place`` is the tuple's in its list, from 0, and ``arity`` its length; what a tuple of another length lacks is null.
+    """
+    lists = lists or SPEC_LISTS
+    rows = T.ArrayType(T.ArrayType(T.StringType()))
+    module = T.StructType([T.StructField(n, T.StringType()) for n in ("subject", "annexId", "level")] + [T.StructField(k, rows) for k in lists])
+    found = spark.read.schema(module).json(path, multiLine=multi_line)
+    named = lambda k, names: lambda t, i: F.struct(F.lit(k).alias("kind"), i.alias("place"), F.size(t).alias("arity"), *[(F.get(t, names.index(n)) if n in names else F.lit(None).cast("string")).alias(n) for n in ("from_code", "to_code", "page", "text", "domain")])
+    each = [F.transform(F.coalesce(F.col(k), F.array().cast(rows)), named(k, names)) for k, names in lists.items()]
+    flat = found.select("subject", F.col("annexId").alias("annex"), "level", F.explode(F.concat(*each)).alias("t")).select("subject", "annex", "level", "t.*")
+    return flat.withColumn("page", F.col("page").try_cast("int"))
+
+
+def spec_tables(kinds: dict[str, DataFrame]) -> DataFrame:
+    """One table of spec rows that are tables already, each kind named."""
     out = None
     for kind, df in kinds.items():
         part = df.withColumn("kind", F.lit(kind))
