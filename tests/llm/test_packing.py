@@ -21,8 +21,18 @@ def test_word_ids_are_the_tokenizers():
         assert np.frombuffer(found, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
-def test_memory_may_be_emptied(monkeypatch):
-    monkeypatch.setattr(packing, "MEMORY", 2)
+def test_usual_words_are_learned_by_tokens():
+    plain, fast = Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    draw = random.Random(2)
+    letters = "aeorstABÄÖÜßéèñçÉ'sdmlt0123456789.,;:!?-()[]{}$%&/«»¿¡…–—“”‘’\n"
+    texts = [" ".join("".join(draw.choice(letters) for _ in range(draw.randint(1, 12))) for _ in range(draw.randint(0, 12))) for _ in range(3000)]
+    for text, found in zip(texts, fast(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("bound", ["MEMORY", "LETTERS"])
+def test_memory_may_be_emptied(bound, monkeypatch):
+    monkeypatch.setattr(packing, bound, 2)
     plain, fast = Tokenizer.from_file(PATH), packing.WordIds(PATH)
     for text in ("one two three four", "four five one", "six"):
         assert np.frombuffer(fast([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
@@ -49,6 +59,42 @@ def test_few_sequences():
     assert sum(n for _, n in packed) <= least * 1.01 + 1
 
 
+def lengths_like_prose(n, seed):
+    draw = np.random.default_rng(seed)
+    sizes = np.exp(draw.normal(5.8, 1.1, n)).astype(np.int64) + 1
+    counts = np.zeros(2049, np.int64)
+    counts[2048] = int((sizes // 2048).sum())
+    np.add.at(counts, sizes[sizes % 2048 > 0] % 2048, 1)
+    return counts
+
+
+@pytest.mark.parametrize("n", [3000, 60_000])
+def test_the_fit_carries_the_plan(n, monkeypatch):
+    counts = lengths_like_prose(n, n)
+    tokens = counts * np.arange(2049)
+    body, left = packing.fitted_plan(counts)
+    assert (left * np.arange(2049)).sum() < 0.1 * tokens.sum()
+    assert sum(k for _, k in packing.plan(counts)) <= -(-int(tokens.sum()) // 2048) * 1.002 + 1
+    # without the fit nothing but what fills a sequence alone is left of the body
+    monkeypatch.setattr(packing, "fitted", lambda counts, made: np.zeros(len(made)))
+    assert {p for p, _ in packing.fitted_plan(counts)[0]} <= {(2048,)}
+
+
+def test_least_squares_meet_their_conditions():
+    counts = lengths_like_prose(5000, 1)
+    made = packing.patterns(counts, 2048, 0)
+    assert made and all(sum(p) == 2048 and counts[list(p)].all() for p in made) and len(set(made)) == len(made)
+    x = packing.fitted(counts, made)
+    use = np.zeros((len(made), 2049), np.float32)
+    for k, p in enumerate(made):
+        np.add.at(use[k], list(p), 1)
+    rest = counts - x @ use
+    gain = use @ rest / np.sqrt((use**2).sum(1))
+    assert (x >= 0).all() and (x > 0).sum() <= (counts > 0).sum()
+    size = np.sqrt((rest**2).sum())
+    assert gain[x == 0].max() <= 0.05 * max(size, 1) and abs(gain[x > 0]).max() <= 0.05 * max(size, 1) and size < 0.3 * np.sqrt((counts**2).sum())
+
+
 def brute(rows):
     plain, out = Tokenizer.from_file(PATH), []
     for i, t in rows:

@@ -1,10 +1,11 @@
 """Best-fit packing by patterns: the histogram of piece lengths is packed, not the pieces.
 
 Documents are cut into pieces of at most ``capacity`` tokens. Only the histogram of their lengths (at most ``capacity``
-numbers, however large the corpus) comes to the driver. There, patterns of a few lengths that fill a sequence are fitted
-to the histogram by non-negative least squares; rounded down they are the plan's body, and what they leave is packed by
-best fit, again by counts. The plan is a list of intervals of ranks within a length; each piece finds its sequence and
-offset from its own rank. Ranks come from counts of (length, block) cells, so no length is gathered in one task.
+numbers, however large the corpus) comes to the driver. There, patterns of a few lengths that fill a sequence are fitted to
+the histogram by non-negative least squares with an active set; repeats are rounded, what rounding leaves is fitted again, and
+the rest, a small part, is packed by best fit by counts. The plan is a list of intervals of ranks within a length; each piece
+finds its sequence and offset from its own rank. Ranks come from counts of (length, block) cells, so no length is gathered in
+one task.
 """
 
 from __future__ import annotations
@@ -138,85 +139,154 @@ def pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(work, f"`{id_col}` long, piece int, start long, length long, ids_crc32 long")
 
 
-def patterns(counts: np.ndarray, capacity: int, per_length: int = 24) -> list[tuple[int, ...]]:
-    """Patterns of one to four lengths that occur and fill a sequence, or nearly: for each largest length, partners spread over the rest."""
+def patterns(counts: np.ndarray, capacity: int, spare: int, per_length: int = 24) -> list[tuple[int, ...]]:
+    """Patterns of few lengths that occur, whose sum is ``capacity`` or at most ``spare`` less.
+
+    For each largest length partners are spread over what room is left, and the commonest lengths are among them; one, two or
+    three lengths fill the rest, or one length as often as it fits and another one.
+    """
     there = np.flatnonzero(counts[: capacity + 1])
     there = there[there > 0]
-    found: set[tuple[int, ...]] = set()
-
-    def fit(room: int) -> int:
-        k = int(np.searchsorted(there, room, "right"))
-        return int(there[k - 1]) if k else 0
-
-    for large in there[::-1].tolist():
-        found.add((large,))
-        room = capacity - large
-        partner = fit(min(room, large))
-        if not partner:
-            continue
-        found.add((large, partner))
-        options = there[: int(np.searchsorted(there, min(room, large), "right"))]
-        # of the partners, those that occur most often and an even spread of the others
-        often = options[np.argsort(-counts[options], kind="stable")[: per_length // 2]]
-        spread = options[np.linspace(0, len(options) - 1, per_length // 2).astype(int)]
-        for second in {*often.tolist(), *spread.tolist()}:
-            left = room - second
-            third = fit(min(left, second))
-            if third:
-                found.add((large, second, third))
-                half = fit(min(left // 2, second))
-                if half:
-                    last = fit(min(left - half, second))
-                    found.add(tuple(sorted((large, second, half, last), reverse=True)) if last else (large, second, half))
-            else:
-                found.add((large, second))
+    if not len(there):
+        return []
+    fit = np.zeros(capacity + 1, np.int64)  # the largest length that occurs and has room
+    fit[there] = there
+    fit = np.maximum.accumulate(fit)
+    most = np.minimum(there, capacity - there)
+    often = there[np.argsort(-counts[there], kind="stable")[: per_length // 2]]
+    spread = fit[(most[:, None] * np.linspace(0, 1, per_length // 2 + 1)).astype(np.int64)]
+    second = np.concatenate([spread, np.where(often <= most[:, None], often, 0)], axis=1)
+    first = np.repeat(there, second.shape[1])
+    second = second.ravel()
+    left = capacity - first - second
+    rows = [np.stack([first, second, 0 * first, 0 * first], 1)]
+    third = fit[np.minimum(left, second)]
+    rows.append(np.stack([first, second, third, 0 * first], 1))
+    for part in (0.25, 0.35, 0.5):
+        third = fit[np.minimum((left * part).astype(np.int64), second)]
+        rows.append(np.stack([first, second, third, fit[np.minimum(left - third, second)]], 1))
+    every = np.concatenate([np.stack([there, 0 * there, 0 * there, 0 * there], 1), *rows])
+    every = np.unique(-np.sort(-every, axis=1), axis=0)
+    sums = every.sum(1)
+    found = {tuple(x for x in p if x) for p in every[(sums <= capacity) & (sums >= capacity - spare)].tolist()}
+    for large in there.tolist():
+        for small in {int(fit[min(large, (capacity - large) // k)]) for k in (1, 2, 3, 5, 8, 13, 21, 55)} | {large}:
+            times = (capacity - large) // small if small else 0
+            rest = int(fit[capacity - large - times * small])
+            for p in ((large, *[small] * times, rest), (large, *[small] * max(times - 1, 0), int(fit[capacity - large - max(times - 1, 0) * small]))):
+                if capacity - spare <= sum(p) <= capacity:
+                    found.add(tuple(sorted((x for x in p if x), reverse=True)))
     return sorted(found, reverse=True)
 
 
-def fitted(counts: np.ndarray, made: list[tuple[int, ...]], rounds: int = 300) -> np.ndarray:
-    """Non-negative repeats of the patterns whose lengths come near counts, by multiplicative least-squares steps (they keep signs)."""
+def fitted(counts: np.ndarray, made: list[tuple[int, ...]], rounds: int = 80, close: float = 0.001) -> np.ndarray:
+    """Non-negative repeats of the patterns whose lengths come nearest to counts, by least squares with an active set.
+
+    Patterns that lessen the squares most join the set, the least squares over the set are found by conjugate gradients, and
+    what would be negative leaves it. It ends when no pattern outside the set would lessen the rest by a share ``close``, as the
+    optimality conditions have it, or when a step gains less than that. The set has no more patterns than there are lengths, so
+    repeats are few and large.
+    """
     owner = np.repeat(np.arange(len(made)), [len(p) for p in made])
     length = np.concatenate([np.array(p) for p in made])
-    wanted = counts.astype(float)
-    top = np.bincount(owner, wanted[length], len(made))
-    x = np.full(len(made), max(wanted.sum(), 1.0) / len(length))
+    pair, times = np.unique(owner.astype(np.int64) * len(counts) + length, return_counts=True)
+    owner, length, times = pair // len(counts), pair % len(counts), times.astype(float)
+    norm = np.sqrt(np.bincount(owner, times**2, len(made)))
+    begins = np.searchsorted(owner, np.arange(len(made) + 1))
+    wanted, most = counts.astype(float), int((counts > 0).sum())
+    columns, x = np.zeros(0, np.int64), np.zeros(0)
+
+    def least(columns: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(repeats, rest) of the least squares over some patterns, from x on."""
+        sizes = begins[columns + 1] - begins[columns]
+        o = np.repeat(np.arange(len(columns)), sizes)
+        at = np.repeat(begins[columns] - np.cumsum(sizes) + sizes, sizes) + np.arange(len(o))
+        le, t = length[at], times[at]
+        r = wanted - np.bincount(le, t * x[o], len(counts))
+        g = np.bincount(o, t * r[le], len(columns))
+        d, gg = g, float((g * g).sum())
+        goal = gg * 1e-6
+        for _ in range(100):
+            if gg <= goal:
+                break
+            q = np.bincount(le, t * d[o], len(counts))
+            step = gg / max(float((q * q).sum()), 1e-300)
+            x, r = x + step * d, r - step * q
+            g = np.bincount(o, t * r[le], len(columns))
+            gg, before = float((g * g).sum()), gg
+            d = g + gg / before * d
+        return x, r
+
+    rest = wanted
     for _ in range(rounds):
-        now = np.bincount(length, x[owner], len(counts))
-        x *= top / np.maximum(np.bincount(owner, now[length], len(made)), 1e-12)
-    return x
+        error = float((rest * rest).sum())
+        gain = np.bincount(owner, times * rest[length], len(made)) / norm
+        gain[columns] = 0.0
+        room = min(most - len(columns), max(most // 16, 1))
+        joining = np.argpartition(-gain, room - 1)[:room] if 0 < room < len(gain) else np.arange(len(gain) if room > 0 else 0)
+        joining = joining[gain[joining] > close * np.sqrt(error)]
+        if not len(joining) or error < 1e-6:
+            break
+        columns, x = np.r_[columns, joining], np.r_[x, np.zeros(len(joining))]
+        for _ in range(30):
+            x, rest = least(columns, x)
+            kept = x > 1e-6
+            if kept.all():
+                break
+            columns, x = columns[kept], x[kept]
+            if not len(columns):
+                break
+        rest = wanted - np.bincount(length, times * _spread(columns, np.maximum(x, 0.0), len(made))[owner], len(counts))
+        if float((rest * rest).sum()) > (1 - close) * error:
+            break
+    return _spread(columns, np.maximum(x, 0.0), len(made))
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(pattern, repeats) that together use each length exactly counts[length] times. Its size depends on the number of lengths, not of pieces.
+def _spread(columns: np.ndarray, x: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size)
+    out[columns] = x
+    return out
 
-    Two plans are made, of which the one with fewer sequences counts: with the fitted patterns first, and by best fit alone
-    (better where large lengths prevail, since rounding then starves them of partners).
-    """
-    return min((_planned(counts, capacity, fit) for fit in (True, False)), key=lambda p: sum(n for _, n in p))
+
+#: How much patterns may leave free, in turn, as parts of the capacity: what fills a sequence to the last token comes first.
+SPARES = (0, 256, 64)
 
 
-def _planned(counts: np.ndarray, capacity: int, fit: bool) -> list[tuple[tuple[int, ...], int]]:
+def fitted_plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
+    """((pattern, repeats) of the fits, rounded; what they leave of counts). What rounding leaves is fitted again, as long as that takes anything."""
     left = counts.astype(np.int64).copy()
     out: list[tuple[tuple[int, ...], int]] = []
+    _take(left, out, (capacity,), int(left[capacity]))  # what fills a sequence alone needs no fit
+    for spare in SPARES:
+        while left[1:].any():
+            made = patterns(left, capacity, capacity // spare if spare else 0)
+            before = left.sum()
+            if made:
+                repeats = fitted(left, made)
+                chosen = np.flatnonzero(repeats > 0.25)
+                for k in chosen[np.argsort(-repeats[chosen], kind="stable")]:
+                    _take(left, out, made[k], int(repeats[k] + 0.5) or 1)
+            if before - left.sum() <= before // 50:
+                break
+    return out, left
+
+
+def _take(left: np.ndarray, out: list, pattern: tuple[int, ...], most: int) -> None:
+    """Puts a pattern into a plan, ``most`` times or as often as what is left allows."""
+    used, often = np.unique(np.array(pattern), return_counts=True)
+    n = int(min(most, (left[used] // often).min()))
+    if n > 0:
+        left[used] -= often * n
+        out.append((pattern, n))
 
-    def take(pattern: tuple[int, ...], most: int) -> None:
-        used, often = np.unique(np.array(pattern), return_counts=True)
-        n = int(min(most, (left[used] // often).min()))
-        if n > 0:
-            left[used] -= often * n
-            out.append((pattern, n))
-
-    if fit and left[1:].sum():
-        # lengths that fill a sequence alone need no fit
-        take((capacity,), int(left[capacity]))
-        made = patterns(left, capacity)
-        if made:
-            repeats = np.floor(fitted(left, made)).astype(np.int64)
-            full = np.array([sum(p) for p in made])
-            for k in np.lexsort((-repeats, -full)):
-                if repeats[k] and capacity - full[k] <= capacity // 64:
-                    take(made[k], int(repeats[k]))
-    # what is left, by best fit: the largest length, then again and again the largest that still fits; all such sequences at once
+
+def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """(pattern, repeats) that together use each length exactly counts[length] times. Its size depends on the number of lengths, not of pieces.
+
+    What the fits leave is packed by best fit: the largest length, then again and again the largest that still fits; all such
+    sequences at once.
+    """
+    out, left = fitted_plan(counts, capacity)
     while (there := np.flatnonzero(left)).size and there[-1] > 0:
         pattern, spare = [int(there[-1])], left.copy()
         spare[there[-1]] -= 1
@@ -228,7 +298,7 @@ def _planned(counts: np.ndarray, capacity: int, fit: bool) -> list[tuple[tuple[i
             pattern.append(int(options[-1]))
             spare[options[-1]] -= 1
             room -= pattern[-1]
-        take(tuple(pattern), int(left.max()))
+        _take(left, out, tuple(pattern), int(left.max()))
     return out
 
 
