@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,3 +261,52 @@ def test_questions(spark):
     df = spark.createDataFrame([("A b", "x"), ("c", "y")], "t string, f string")
     assert questions.text_search(df, ["t", "f"], " B X ").count() == 1 and questions.text_search(df, ["t"], " ").count() == 2
     assert questions.facet_filter(df, f="y", t=None).count() == 1
+
+
+def test_peeling_long_chains_takes_few_tables(spark, monkeypatch):
+    names, write = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: (names.append(name), write(df, name))[1])
+    chain = [(k, k + 1) for k in range(400)]
+    loop = [(1000, 1001), (1001, 1002), (1002, 1000), *[(k, k + 1) for k in range(1002, 1100)]]
+    joined = [(5, 2000), (6, 2000), (2000, 2001), (1050, 2002), (2001, 2002), (3000, 3000), (3000, 3001)]
+    got = sorted(r["node"] for r in graph.peel(spark.createDataFrame(chain + loop + joined, "src long, dst long")).collect())
+    assert got == [*range(1000, 1101), 2002, 3000, 3001]
+    assert len(names) < 60
+    assert not graph.has_cycle(spark.createDataFrame(chain, "src long, dst long")) and graph.peel(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_random_graphs_are_peeled(spark):
+    import random
+
+    for seed in (1, 3):
+        draw = random.Random(seed)
+        edges = {(draw.randrange(40), draw.randrange(40)) for _ in range(30 + 8 * seed)}
+        left = set(edges)
+        while True:
+            kept = {e for e in left if e[0] in {d for _, d in left}}
+            if kept == left:
+                break
+            left = kept
+        got = {r["node"] for r in graph.peel(spark.createDataFrame(sorted(edges), "src long, dst long")).collect()}
+        assert got == {n for e in left for n in e}
+
+
+def test_shared_folder(spark):
+    import pytest
+
+    from tracewright import storage
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        storage.shared_dir(Session())
+    t = storage.written(spark.range(3), "t")
+    path = t.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(path)
+    storage.dropped(t)
+    assert not os.path.exists(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.storage import written
+from tracewright.storage import dropped, written
 
 
 def endpoints(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -19,19 +19,54 @@ def dangling(nodes: DataFrame, edges: DataFrame, src: str = "src", dst: str = "d
 def peel(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Nodes that are left when nodes without incoming edges are taken away again and again: cycles and all that follows them.
 
-    Only edges are kept between rounds: an edge goes with its source, and each round takes every source that nothing points
-    to. As many rounds as the longest chain; a round's table is written, so that lost executors cost one round at most.
+    A node with one predecessor shares its fate, so chains and trees of such nodes are first replaced by the node that they
+    begin with, which takes a logarithm of their length; then the sources that nothing points to are taken away. Rounds go on
+    until neither changes anything: as many as there are joins of branches one after the other, not as chains are long. A
+    round's tables are written, so that lost executors cost one round at most, and those that are done with are deleted.
     """
     live = written(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct(), "live")
-    n = live.count()
+    n, links = live.count(), []
     while n:
-        left = written(live.join(live.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"), "live")
-        after = left.count()
-        if after == n:
-            break
-        live, n = left, after
-    # targets of what is left stay too, though nothing starts from them
-    return live.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+        into = live.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("up"))
+        chains = _beginnings(written(into.filter("n = 1 AND up <> dst").select(F.col("dst").alias("node"), "up"), "single"))
+        shorter = live.join(chains.select(F.col("node").alias("dst")), "dst", "left_anti").join(chains.withColumnRenamed("node", "src"), "src", "left")
+        shorter = written(shorter.select(F.coalesce("root", "src").alias("src"), "dst").distinct(), "live")
+        left = written(shorter.join(shorter.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"), "live")
+        dropped(live, shorter)
+        before, live, n = n, left, left.count()
+        if chains.isEmpty():
+            dropped(chains)
+            if n == before:
+                break
+        else:
+            links.append(chains)
+    # targets of what is left stay too, though nothing starts from them; and what hangs on nodes that stay
+    stay = written(live.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "stay")
+    for chains in reversed(links):
+        more = written(stay.union(chains.join(stay.withColumnRenamed("node", "root"), "root", "left_semi").select("node")).distinct(), "stay")
+        dropped(stay, chains)
+        stay = more
+    return stay
+
+
+def _beginnings(single: DataFrame) -> DataFrame:
+    """(node, root): where the chain of single predecessors (node, up) that leads to a node begins; none for chains out of a cycle of such nodes.
+
+    Each round doubles the steps that a node looks back; it ends when no open chain has become closed.
+    """
+    now, opened = single.withColumn("open", F.lit(True)), -1
+    while True:
+        up = now.select(F.col("node").alias("up"), F.col("up").alias("further"))
+        joined = now.join(up, "up", "left").select("node", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("open"))
+        after = written(joined, "jumps")
+        still = after.filter("open").count()
+        dropped(now)
+        now = after
+        if still in (0, opened):
+            found = written(now.filter("NOT open").select("node", F.col("up").alias("root")), "chains")
+            dropped(now, single)
+            return found
+        opened = still
 
 
 def has_cycle(edges: DataFrame, src: str = "src", dst: str = "dst") -> bool:

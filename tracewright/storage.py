@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset (local runs), a temporary folder, which then is that setting."""
+    """spark.checkpoint.dir of the session. Where it is unset, a local session takes a temporary folder, which then is that setting; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tracewright-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -22,4 +28,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing will read again."""
+    for t in tables:
+        if path := _paths.pop(t, None):
+            place = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
