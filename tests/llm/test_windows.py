@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tracewright.llm import automata, suffixes
-from tracewright.llm.windows import Kind, byte_items, keyed, occurrences, repeated_windows
+from tracewright.llm.windows import bytes_kind, keyed, occurrences, repeated_windows, word_items
 
 
 @settings(max_examples=150, deadline=None)
@@ -18,6 +18,12 @@ def test_suffix_array_and_shared_prefixes(raw):
     a = np.frombuffer(raw, np.uint8)
     order = suffixes.suffix_array(a)
     assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+    text = np.r_[np.unique(a, return_inverse=True)[1] + 1, 0]
+    for place in (suffixes.induced, suffixes.induced_singly):
+        smaller, symbols = suffixes.classified(text), int(text.max()) + 1
+        leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+        seeds = np.array(sorted(leftmost.tolist(), key=lambda i: text[i:].tolist()), np.int32)
+        assert place(text, smaller, seeds, symbols).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
     shared = suffixes.permuted_prefixes(a, order, 9, block=5)
     for r in range(1, len(raw)):
         x, y = raw[order[r] :], raw[order[r - 1] :]
@@ -25,6 +31,14 @@ def test_suffix_array_and_shared_prefixes(raw):
         assert shared[order[r]] == n
 
 
+def test_names_are_sorted_by_induction_again(monkeypatch):
+    depths, whole = [], suffixes.suffix_order
+    monkeypatch.setattr(suffixes, "suffix_order", lambda text, symbols: (depths.append(len(text)), whole(text, symbols))[1])
+    raw = np.frombuffer((thue_morse(1024) * 2 + "ab" * 300).encode(), np.uint8)
+    assert suffixes.suffix_array(raw).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:].tobytes())
+    assert len(depths) > 3 and all(b <= a // 2 + 1 for a, b in zip(depths, depths[1:], strict=False))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=12), max_size=4), st.lists(st.integers(0, 4), max_size=15))
 def test_automaton_statistics(texts, asked):
@@ -40,10 +54,10 @@ def test_equal_windows_elect_equal_anchors():
     draw = np.random.default_rng(1)
     common = draw.integers(97, 123, 700, np.uint8).tobytes()
     one, two = b"x" * 300 + common + b"y" * 50, b"q" * 77 + common + b"z" * 400
-    kind = Kind(400, 100, byte_items)
+    kind = bytes_kind(400, 100)
     found = []
     for raw, at in ((one, 300), (two, 77)):
-        f, g, m, lo, hi = occurrences(byte_items(raw), kind)
+        f, g, m, lo, hi = occurrences(raw, kind)
         assert lo[0] == 0 and hi[-1] == len(raw) - 400 and (lo[1:] == hi[:-1] + 1).all()
         found.append({s - at: (fx, mx - at) for fx, mx, a, b in zip(f.tolist(), m.tolist(), lo.tolist(), hi.tolist(), strict=True) for s in range(a, b + 1) if at <= s <= at + 300})
     assert found[0] == found[1] and len(found[0]) == 301
@@ -121,9 +135,9 @@ def test_long_texts_are_worked_on_in_blocks(monkeypatch):
     from tracewright.llm import windows
 
     draw = np.random.default_rng(3)
-    values = byte_items(draw.integers(97, 100, 5000, np.uint8).tobytes())
+    raw = draw.integers(97, 100, 5000, np.uint8).tobytes()
     monkeypatch.setattr(windows, "BLOCK", 700)
-    f, g, m, lo, hi = occurrences(values, Kind(40, 10, byte_items))
+    f, g, m, lo, hi = occurrences(raw, bytes_kind(40, 10))
     assert lo[0] == 0 and hi[-1] == 4960 and (lo[1:] == hi[:-1] + 1).all() and (m >= hi).all() and (m <= lo + 30).all()
 
 
@@ -133,6 +147,62 @@ def test_empty_tables(frame):
     assert automata.without_repeated_spans(none).count() == 0
 
 
+def spared_bytes(rows, n):
+    """What stays of each (id, text) if each string's first start is spared; rows of equal id and text are one document."""
+    import xxhash
+
+    seen, kept = set(), {}
+    signed = lambda x: x - (x >> 63 << 64)
+    order = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, signed(xxhash.xxh64_intdigest(r[1].encode(), 42))))
+    for i, t in order:
+        b, gone = t.encode(), bytearray(len(t.encode()))
+        for k in range(len(b) - n + 1):
+            if b[k : k + n] in seen:
+                gone[k : k + n] = b"\1" * n
+            seen.add(b[k : k + n])
+        kept[i, t] = bytes(x for x, g in zip(b, gone, strict=True) if not g).decode("utf-8", "ignore")
+    return kept
+
+
+@pytest.mark.parametrize("shard_rows", [500, 3])
+def test_first_copies_are_spared(frame, shared_rows, odd_rows, shard_rows, monkeypatch):
+    whole = repeated_windows
+    monkeypatch.setattr(suffixes, "repeated_windows", lambda *a, **k: whole(*a, **k, shard_rows=shard_rows))
+    rows = shared_rows + odd_rows
+    want = spared_bytes(rows, 200)
+    out = suffixes.texts_without_repeats(frame(rows), length=200, spare_first=True).select("doc_id", "text").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter((i, want[i, t or ""]) for i, t in rows)
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_words_of_structured_letters_are_told_apart(frame):
+    one = thue_morse(1024)
+    other = one.translate(str.maketrans("ab", "ba"))
+    common = " ".join(f"w{k}" for k in range(19))
+    rows = [(1, f"{common} {one}"), (2, f"{common} {other}"), (3, f"x {one} {common}")]
+    got = {r["doc_id"]: r["n_removed"] for r in automata.without_repeated_spans(frame(rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 0}
+    assert len(set(word_items(f"{one} {other}".encode()).tolist())) == 2
+    # and so are byte strings of that structure
+    rows = [(1, "q" * 150 + one), (2, "q" * 150 + other), (3, one[:700])]
+    assert sorted([tuple(r) for r in suffixes.without_repeated_bytes(frame(rows)).collect()], key=str) == brute_bytes(rows, 400)
+
+
+def test_words_are_split_as_the_whole_text_is(monkeypatch):
+    from tracewright.llm import windows
+
+    monkeypatch.setattr(windows, "PART", 10)
+    raw = " a bb\tccc\u00a0d \x1c e \x0b\x0c ".encode() * 9 + b"x" * 50
+    assert [w for p in windows.word_parts(raw) for w in p] == re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    assert list(windows.word_parts(b"")) == [[]]
+
+
 def test_texts_without_repeats_keeps_rows_and_columns(frame, shared_rows):
     df = frame(shared_rows)
     out = suffixes.texts_without_repeats(df)

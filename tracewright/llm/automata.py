@@ -10,13 +10,14 @@ reference and sent to all documents; a larger reference is refused there.
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.common import shown_id, text_or_empty
-from tracewright.llm.windows import Kind, applied, covered, keyed, repeated_windows, runs_of, word_bounds, word_items
+from tracewright.llm.windows import applied, covered, keyed, repeated_windows, runs_of, word_items, word_parts, words_kind
 
 LENGTH = 20
 GRAM = 7
@@ -98,10 +99,13 @@ def earlier_in_shard(length: int):
     return resolve
 
 
-def kept_words(raw: bytes, gone: np.ndarray) -> bytes:
-    """The words that aren't gone, unchanged, joined by one blank."""
-    starts, ends = word_bounds(raw)
-    return b" ".join([raw[a:b] for a, b in zip(starts[~gone].tolist(), ends[~gone].tolist(), strict=True)])
+def kept_words(raw: bytes, gone: np.ndarray | None) -> tuple[int, bytes]:
+    """(number of words, those that aren't gone, unchanged, joined by one blank)."""
+    at, kept = 0, []
+    for words in word_parts(raw):
+        kept.append(b" ".join(words if gone is None else compress(words, ~gone[at : at + len(words)])))
+        at += len(words)
+    return at, b" ".join(x for x in kept if x)
 
 
 def without_repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep_text: bool = False) -> DataFrame:
@@ -113,13 +117,13 @@ def without_repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str
     an empty table gives none; other columns are ignored.
     """
     docs = keyed(df, id_col, text_col)
-    found = repeated_windows(docs, Kind(length, GRAM, word_items), earlier_in_shard(length), word_items, np.uint64, spare_first=True)
+    found = repeated_windows(docs, words_kind(length, GRAM), earlier_in_shard(length), spare_first=True)
 
-    def work(dk: int, raw: bytes, repeats: list[dict] | None) -> tuple:
-        starts, _ = word_bounds(raw)
-        gone = covered(len(starts), repeats, length)
-        kept = kept_words(raw, gone)
-        row = (dk, len(starts), int(gone.sum()), hashlib.sha256(kept).hexdigest())
+    def work(dk: int, raw: bytes, repeats: tuple | None) -> tuple:
+        n = sum(map(len, word_parts(raw))) if repeats else 0
+        gone = covered(n, repeats, length) if repeats else None
+        n, kept = kept_words(raw, gone)
+        row = (dk, n, int(gone.sum()) if repeats else 0, hashlib.sha256(kept).hexdigest())
         return (*row, kept.decode()) if keep_text else row
 
     rows = applied(docs, found, work, "dk long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
@@ -156,7 +160,7 @@ def remove_reference_spans(
             for end, size in enumerate(automaton.statistics(items)):
                 if size >= length:
                     gone[end + 1 - size : end + 1] = True
-        return dk, len(items), int(gone.sum()), kept_words(raw, gone).decode()
+        return dk, len(items), int(gone.sum()), kept_words(raw, gone)[1].decode()
 
     docs = keyed(df, id_col, text_col)
     nothing = spark.createDataFrame([], "dk long, rk long, repeats array<struct<los:array<long>,width:long,runs:array<long>>>")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.storage import shared_dir, written
+from tracewright.storage import dropped, shared_dir, written
 
-__all__ = ["CACHES", "NO_ID", "WORD", "documents", "drop_caches", "id_key", "shared_dir", "shown_id", "text_or_empty", "written"]
+__all__ = ["CACHES", "NO_ID", "WORD", "documents", "drop_caches", "dropped", "id_key", "shared_dir", "shown_id", "text_or_empty", "written"]
 
 #: Stands for a null document id inside the operators, where ids are join keys; outputs show the null again.
 NO_ID = -(2**63)

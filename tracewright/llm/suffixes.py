@@ -2,9 +2,9 @@
 
 A shard's texts are joined and their suffixes sorted by induction: suffixes are classified as smaller (S) or larger (L)
 than the next; leftmost-S substrings are sorted by inducing L from S and S from L bucket by bucket, then named; where
-names repeat, the reduced string of names is sorted in its turn; a last induction gives the shard's array. Each step
-works on a whole bucket with numpy, so the cost is linear in the text. Prefixes that neighbours share are computed in
-text order (permuted), each from the one before it, for many blocks of the text at once.
+names repeat, the reduced string of names, at most half as long, is sorted by the same function; a last induction gives the
+shard's array. The cost is linear in the text. Prefixes that neighbours share are computed in text order (permuted), each from
+the one before it, for many blocks of the text at once.
 """
 
 from __future__ import annotations
@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewright.llm.common import id_key, shown_id, text_or_empty
-from tracewright.llm.windows import Kind, applied, byte_items, covered, keyed, repeated_windows, runs_of
+from tracewright.llm.windows import applied, bytes_kind, covered, intervals, keyed, repeated_windows, runs_of
 
 LENGTH = 400
-GRAM = 100
 
 
 def classified(text: np.ndarray) -> np.ndarray:
@@ -111,27 +110,37 @@ def _named(text: np.ndarray, ordered: np.ndarray, ends: np.ndarray) -> tuple[np.
     return names, int(names[-1]) + 1
 
 
-def _by_names(names: np.ndarray, most: int) -> np.ndarray:
-    """Order of the suffixes of a string of names, by doubling; suffixes that agree in ``most`` names may stay in any order."""
-    rank, span = names.astype(np.int64), 1
-    while True:
-        order = np.argsort(rank, kind="stable")
-        s = rank[order]
-        if span >= most or np.all(s[1:] != s[:-1]):
-            return order
-        after = np.zeros(len(rank), np.int64)
-        after[:-span] = rank[span:] + 1
-        pair = rank * (int(rank.max()) + 2) + after
-        _, rank = np.unique(pair, return_inverse=True)
-        span *= 2
-
-
-def suffix_array(raw: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Start positions of raw's suffixes (uint8) in order. With depth, suffixes that agree in so many symbols may stay in any order."""
-    text = np.r_[raw.astype(np.int16) + 1, np.int16(0)]
+def induced_singly(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, symbols: int) -> np.ndarray:
+    """As ``induced``, one position at a time: for strings of names, which have many symbols and few places of each."""
+    sizes = np.bincount(text, minlength=symbols)
+    front, back = (np.cumsum(sizes) - sizes).tolist(), np.cumsum(sizes).tolist()
+    at, is_small, out = text.tolist(), smaller.tolist(), [-1] * len(text)
+    ends = list(back)
+    for p in reversed(seeds.tolist()):
+        ends[at[p]] -= 1
+        out[ends[at[p]]] = p
+    for k in range(len(out)):
+        p = out[k] - 1
+        if p >= 0 and not is_small[p]:
+            out[front[at[p]]] = p
+            front[at[p]] += 1
+    for k in range(len(out) - 1, -1, -1):
+        p = out[k] - 1
+        if p >= 0 and is_small[p]:
+            back[at[p]] -= 1
+            out[back[at[p]]] = p
+    out[0] = len(text) - 1  # the least symbol stands only at the end and nothing induces it
+    return np.array(out, np.int32)
+
+
+def suffix_order(text: np.ndarray, symbols: int) -> np.ndarray:
+    """Start positions of text's suffixes in order. text has symbols 0..symbols - 1 and ends with its only 0."""
+    place = induced if symbols * 64 < len(text) else induced_singly
     smaller = classified(text)
     leftmost = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
-    rough = induced(text, smaller, leftmost, 257)
+    if not len(leftmost):  # the end alone, or nothing but it after ever smaller symbols
+        leftmost = np.array([len(text) - 1], np.int32)
+    rough = place(text, smaller, leftmost, symbols)
     is_leftmost = np.zeros(len(text), bool)
     is_leftmost[leftmost] = True
     ordered = rough[is_leftmost[rough]]
@@ -141,12 +150,15 @@ def suffix_array(raw: np.ndarray, depth: int | None = None) -> np.ndarray:
     if kinds < len(leftmost):
         index = np.empty(len(text), np.int32)
         index[leftmost] = np.arange(len(leftmost))
-        reduced = np.empty(len(leftmost), np.int64)
+        reduced = np.empty(len(leftmost), np.int32)
         reduced[index[ordered]] = names
-        # a leftmost-S substring has two symbols at least before the next one begins
-        ordered = leftmost[_by_names(reduced, len(reduced) if depth is None else -(-depth // 2) + 1)]
-    full = induced(text, smaller, ordered, 257)
-    return full[1:]
+        ordered = leftmost[suffix_order(reduced, kinds)]
+    return place(text, smaller, ordered, symbols)
+
+
+def suffix_array(raw: np.ndarray) -> np.ndarray:
+    """Start positions of raw's suffixes (uint8) in order."""
+    return suffix_order(np.r_[raw.astype(np.int16) + 1, np.int16(0)], 257)[1:]
 
 
 def permuted_prefixes(raw: np.ndarray, order: np.ndarray, most: int, block: int = 64) -> np.ndarray:
@@ -181,35 +193,34 @@ def permuted_prefixes(raw: np.ndarray, order: np.ndarray, most: int, block: int
     return shared
 
 
-def repeats_in_shard(length: int):
+def repeats_in_shard(length: int, spare_first: bool = False):
     def resolve(texts: list[np.ndarray], copies: np.ndarray, groups: np.ndarray) -> list[list[int]]:
-        """Runs of each text's window starts whose window is also in another text, or in another copy of this one."""
+        """Runs of each text's window starts whose window is also in another text, or in another copy of this one; with spare_first, in an earlier text."""
         sizes = np.array([len(t) for t in texts])
         raw = np.concatenate(texts)
-        order = suffix_array(raw, length)
+        order = suffix_array(raw)
         shared = permuted_prefixes(raw, order, length)
         first = np.cumsum(sizes) - sizes
         owner = np.repeat(np.arange(len(texts)), sizes)
         inside = first[owner] + sizes[owner] - np.arange(len(raw)) >= length
-        cluster = np.cumsum(shared[order] < length)
-        weight = np.where(inside, copies[owner], 0)
-        total = np.bincount(cluster, weight[order], cluster[-1] + 1)
+        begins = np.flatnonzero(np.r_[True, shared[order[1:]] < length])
         repeated = np.zeros(len(raw), bool)
-        repeated[order] = total[cluster] > 1
+        if spare_first:
+            earliest = np.minimum.reduceat(np.where(inside[order], order, len(raw)), begins)
+            repeated[order] = np.repeat(earliest, np.diff(np.r_[begins, len(raw)])) < order
+        else:
+            total = np.add.reduceat(np.where(inside, copies[owner], 0)[order], begins)
+            repeated[order] = np.repeat(total, np.diff(np.r_[begins, len(raw)])) > 1
         repeated &= inside
         return [runs_of(repeated[a : a + s - length + 1]) for a, s in zip(first.tolist(), sizes.tolist(), strict=True)]
 
     return resolve
 
 
-def _bytes_of(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8)
-
-
-def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(documents by key, their repeats) for strings of ``length`` bytes that start in two or more places."""
+def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, spare_first: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(documents by key, their repeats) for strings of ``length`` bytes that start in two or more places; with spare_first, that start earlier."""
     docs = keyed(df, id_col, text_col)
-    found = repeated_windows(docs, Kind(length, gram, byte_items), repeats_in_shard(length), _bytes_of, np.uint8, spare_first=False)
+    found = repeated_windows(docs, bytes_kind(length, length // 4), repeats_in_shard(length, spare_first), spare_first)
     return docs, found
 
 
@@ -223,7 +234,7 @@ def without_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str
     """
     docs, found = repeated_bytes(df, id_col, text_col, length)
 
-    def work(dk: int, raw: bytes, repeats: list[dict] | None) -> tuple:
+    def work(dk: int, raw: bytes, repeats: tuple | None) -> tuple:
         gone = covered(len(raw), repeats, length)
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if repeats else raw
         spans = int((np.diff(np.r_[0, gone.astype(np.int8)]) == 1).sum())
@@ -235,13 +246,16 @@ def without_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str
     return rows.select(shown_id(F.col("dk")).alias(id_col), *[c for c in rows.columns if c != "dk"])
 
 
-def texts_without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """df with its texts replaced by what ``without_repeated_bytes`` keeps; all rows and columns stay.
+def texts_without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, spare_first: bool = False) -> DataFrame:
+    """df with its texts freed of each byte that a string of ``length`` bytes covers which also starts anywhere else in the table; all rows and columns stay.
 
-    Bytes of a character that was cut in two are dropped, so that the text is valid UTF-8 again. A null text becomes an empty
-    one; repeated rows get equal texts.
+    With spare_first, which also starts earlier: in a document of lesser id (a null id comes first; of equal ids the texts go by
+    a hash), or earlier in the same one; so one copy of each string stays, and rows of equal id and text count as one document.
+    Strings are judged on the input. Bytes of a character that was cut in two are dropped, so that the text is valid UTF-8
+    again. A null text becomes an empty one, repeated rows get equal texts, texts shorter than ``length`` and texts without
+    repeats stay as they are, an empty table gives none, and long texts are searched a block at a time.
     """
-    _, found = repeated_bytes(df, id_col, text_col, length)
+    _, found = repeated_bytes(df, id_col, text_col, length, spare_first)
     at = df.columns.index(text_col)
     names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the keys
     rows = df.toDF(*names).withColumn("dk", id_key(f"c{df.columns.index(id_col)}")).withColumn("rk", F.xxhash64(text_or_empty(f"c{at}")))
@@ -250,7 +264,7 @@ def texts_without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, repeats in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+            for text, repeats in zip(batch.column(at).to_pylist(), intervals(batch.column(len(names))), strict=True):
                 raw = (text or "").encode()
                 gone = covered(len(raw), repeats, length)
                 texts.append(np.frombuffer(raw, np.uint8)[~gone].tobytes().decode("utf-8", "ignore") if repeats else text or "")
