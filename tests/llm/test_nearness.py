@@ -102,6 +102,9 @@ def copies():
                 copy = copy[: len(copy) - 2]
             rows.append((k * 3 + 1, " ".join(copy)))
             k += 1
+    # the same passages in another order: shingles agree, the alignment doesn't
+    parts = [" ".join(f"p{k}w{n}" for n in range(50)) for k in range(4)]
+    rows += [(6000, " ".join(parts)), (6001, " ".join(parts[2:] + parts[:2])), (6002, " ".join(parts) + " and one more")]
     shared = " ".join(f"boiler{n}" for n in range(60))
     rows += [(5000 + n, f"{shared} " + " ".join(f"own{n}x{m}" for m in range(60))) for n in range(40)]
     draw.shuffle(rows)
@@ -119,11 +122,12 @@ def brute(rows, least=0.8):
             x = parent[x]
         return x
 
-    sets = [set(omh.shingles(word_items(t.encode())).tolist()) for t in names]
+    words = [t.split() for t in names]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in words]
     for a in range(len(names)):
         for b in range(a):
             union = sets[a] | sets[b]
-            if union and len(sets[a] & sets[b]) / len(union) >= least:
+            if union and len(sets[a] & sets[b]) / len(union) >= least and 1 - edits(words[a], words[b]) / max(len(words[a]), len(words[b])) >= least - 1e-9:
                 parent[find(a)] = find(b)
     classes = {}
     for k, t in enumerate(names):
@@ -137,6 +141,8 @@ def test_classes_against_brute_force(frame, copies, odd_rows):
     got = omh.near_duplicates(frame(rows)).collect()
     assert sorted(((r["doc_id"], r["class_id"], r["class_size"]) for r in got), key=str) == brute(rows)
     assert sum(r["representative"] for r in got) >= len({r["class_id"] for r in got})
+    by = {r["doc_id"]: r["class_id"] for r in got}
+    assert by[6001] == 6001 and by[6002] == by[6000] == 6000
 
 
 @pytest.mark.parametrize("block", [omh.__dict__.get("BLOCK", 0), 7])
@@ -165,6 +171,27 @@ def test_possible_pairs_miss_none():
         assert want and want <= got
 
 
+def test_structured_words_are_told_apart():
+    from tests.llm.test_windows import thue_morse
+
+    one = thue_morse(1024)
+    a, b = (word_items(f"{x} {' '.join(f'w{k}' for k in range(9))}".encode()) for x in (one, one.translate(str.maketrans("ab", "ba"))))
+    assert a[0] != b[0] and (a[1:] == b[1:]).all()
+
+
+def test_long_texts_are_sketched_a_few_bands_at_a_time(monkeypatch):
+    a = word_items(" ".join(f"w{k % 700}" for k in range(3000)).encode())
+    whole = omh.order_sketches(a)
+    monkeypatch.setattr(omh, "AT_ONCE", 5000)
+    assert (omh.order_sketches(a) == whole).all()
+
+
+def test_names_that_the_operator_uses_itself(frame, copies):
+    df = frame(copies[:20]).withColumnsRenamed({"rank": "digest", "f": "nth__", "score": "dk__"})
+    out = omh.one_of_each_class(df)
+    assert out.columns == df.columns and {(r["dk"], r["digest"], r["nth__"], r["dk__"]) for r in out.collect()} == {(1, 2, "x", "y")}
+
+
 def test_one_of_each_class(frame, copies, odd_rows):
     rows = copies + odd_rows
     df = frame(rows)

@@ -14,17 +14,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import drop_caches, id_key, shown_id, text_or_empty, written
+from tracewright.llm.common import drop_caches, dropped, id_key, shown_id, text_or_empty, written
 from tracewright.llm.windows import mix, word_items
 
 BANDS, KEPT, SHINGLE, LEAST = 24, 3, 5, 0.8
 #: Random leaders of a bucket, beside the most famous member.
 LEADERS = 2
 #: Members of a bucket in one block, about, when what leaders left open is compared (two blocks are one group); bins of the counts of shingles.
-BLOCK, BINS = 2048, 256
+BLOCK, BINS = 1024, 256
 #: Stands for a diagonal that no alignment has come to.
 OUT = np.int64(-(2**40))
 #: Words that are compared at once, at most, when a diagonal is followed.
@@ -75,12 +75,16 @@ def order_sketches(words: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def resemblance(a: np.ndarray, b: np.ndarray) -> float:
-    a, b = np.unique(shingles(a)), np.unique(shingles(b))
-    shared = len(np.intersect1d(a, b, assume_unique=True))
+def _alike(a: np.ndarray, b: np.ndarray) -> float:
+    """The resemblance of two sorted sets of shingles."""
+    shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(a) and len(b) else 0
     return shared / max(1, len(a) + len(b) - shared)
 
 
+def resemblance(a: np.ndarray, b: np.ndarray) -> float:
+    return _alike(np.unique(shingles(a)), np.unique(shingles(b)))
+
+
 def _binned(words: np.ndarray) -> np.ndarray:
     """Numbers of different shingles by bins of their hashes, in the least type that holds them."""
     counts = np.bincount((np.unique(shingles(words)) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
@@ -203,9 +207,24 @@ def _with_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, np.ndarray] = {}  # the shingles of texts; a leader stands in many pairs
+        held = 0
+
+        def of(words: bytes) -> np.ndarray:
+            nonlocal held
+            if words not in known:
+                if held > AT_ONCE:
+                    known.clear()
+                    held = 0
+                known[words] = np.unique(shingles(np.frombuffer(words, np.uint32).astype(np.uint64)))
+                held += len(known[words])
+            return known[words]
+
         for batch in batches:
-            a, b = (batch.column(c).to_pylist() for c in ("wa", "wb"))
-            kept = [near(np.frombuffer(x, np.uint32).astype(np.uint64), np.frombuffer(y, np.uint32).astype(np.uint64), least) for x, y in zip(a, b, strict=True)]
+            kept = []
+            for a, b in zip(*(batch.column(c).to_pylist() for c in ("wa", "wb")), strict=True):
+                alike = bool(a and b) and _alike(of(a), of(b)) >= least
+                kept.append(alike and edit_similarity(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), least) >= least)
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     first = pairs.join(words.select(F.col("tid").alias("a"), F.col("words").alias("wa")), "a")
@@ -213,28 +232,32 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "wa", "wb").mapInArrow(work, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, label) of the nodes of edges (a, b): the least node that it is connected to.
 
     Each round hands every node's larger neighbours, then every node's smaller ones, to its least neighbour; a table is written
-    a round, and the rounds end when the edges are stars around the least nodes.
+    a round, and the rounds end when the edges are stars around the least nodes, after about as many rounds as the logarithm of the nodes.
     """
 
+    lows: list[DataFrame] = []
+
     def least(rows: DataFrame, larger: bool) -> DataFrame:
         # of each node with its neighbours: u's neighbours v (only larger or only smaller ones than u) move to the least
         both = rows.union(rows.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else rows
-        lows = written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "lows")
-        joined = both.join(lows, "u")
-        moved = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")) if larger else joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(lows.select("u", F.col("m").alias("v")))
+        lows.append(written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "lows"))
+        joined = both.join(lows[-1], "u")
+        moved = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")) if larger else joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(lows[-1].select("u", F.col("m").alias("v")))
         return moved.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
     now = written(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    for _ in range(rounds):
+    while True:
         # done when no least neighbour has a lesser one itself, and no node has two
         chained = now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
         if chained and now.groupBy("u").count().filter("count > 1").isEmpty():
             break
-        now = written(least(least(now, True), False), "links")
+        after = written(least(least(now, True), False), "links")
+        dropped(now, *lows)
+        now = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
@@ -337,8 +360,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def one_of_each_class(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
-    """The rows of df, with all their columns, that stand for their class: one row a class."""
-    kept = near_duplicate_classes(df, id_col, text_col, least).filter("first").select(F.col("dk").alias("dk__"), F.col("digest").alias("digest__")).distinct()
-    rows = df.withColumn("dk__", id_key(id_col)).withColumn("digest__", F.unhex(F.md5(text_or_empty(text_col).cast("binary")))).join(written(kept, "kept"), ["dk__", "digest__"])
-    alone = rows.withColumn("nth__", F.row_number().over(Window.partitionBy("dk__", "digest__").orderBy(F.lit(0)))).filter("nth__ = 1")
-    return alone.select(*[F.col(f"`{c}`") for c in df.columns])
+    """The rows of df, with all their columns, that stand for their class: one row a class.
+
+    That is the document of the least id (a null id comes first; of equal ids the least digest), and one of its rows where rows
+    are repeated. Null, empty and blank texts are near to equal ones only; columns of any name pass; an empty table gives none.
+    """
+    names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the keys
+    key, text = (names[df.columns.index(c)] for c in (id_col, text_col))
+    kept = near_duplicate_classes(df, id_col, text_col, least).filter("first").select("dk", "digest").distinct()
+    rows = df.toDF(*names).withColumn("dk", id_key(key)).withColumn("digest", F.unhex(F.md5(text_or_empty(text).cast("binary")))).join(written(kept, "kept"), ["dk", "digest"])
+    alone = rows.groupBy("dk", "digest").agg(F.first(F.struct(*names)).alias("row"))
+    return alone.select("row.*").toDF(*df.columns)
