@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracewright.llm.common import written
 from tracewright.llm.labels import remainder, sampled_texts, training_sample
 
 #: At most so many labelled documents that are toxic, and that aren't, are learned from.
@@ -31,25 +32,17 @@ PREFIXES = (4, 5, 6, 7)
 LEAST_G, LEAST_ODDS, CANDIDATES, CLEAN, LEAST_GAIN = 20.0, 1.5, 3_000, (10, 2, 0.5), 3
 THRESHOLD = 0.5
 
-#: General insults and their weights; learned terms are added to them.
-GIVEN = {
-    "idiot": 4.0,
-    "moron": 4.0,
-    "stupid": 3.0,
-    "loser": 3.0,
-    "pathetic": 3.0,
-    "scum": 4.0,
-    "worthless": 3.0,
-    "disgusting": 3.0,
-    "trash": 2.5,
-    "clown": 2.5,
-    "dummkopf": 4.0,
-    "abschaum": 4.0,
-    "imbecile": 4.0,
-    "estupido": 4.0,
+#: General insults of four languages by weight; learned terms are added to them.
+INSULTS = {
+    4.0: "idiot moron imbecile scum scumbag vermin subhuman degenerate cretin halfwit bastard dummkopf abschaum trottel vollidiot missgeburt drecksack abruti ordure raclure salaud connard estupido imbecil cretino escoria cabron malnacido",
+    3.0: "stupid loser pathetic worthless disgusting brainless braindead lowlife parasite swine versager depp widerlich erbärmlich debile minable degoutant nulle inutil asqueroso patetico miserable idiota",
+    2.5: "trash garbage filth clown fool coward liar jerk creep müll pfeife clown bouffon menteur lache basura payaso mentiroso cobarde",
 }
-#: Phrases in which a word of the lexicon means no harm.
-EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown", "sore loser rule")
+GIVEN = {word: weight for weight, words in INSULTS.items() for word in words.split()}
+#: Phrases in which a word of the lexicon means no harm; others are learned.
+EXCEPTIONS = ("trash can", "trash bin", "trash bag", "trash collection", "garbage collection", "garbage collector", "garbage truck", "garbage can", "clown fish", "circus clown", "class clown", "sore loser rule", "idiot light", "idiot proof", "fool proof", "fool s gold", "april fool", "swine flu", "parasite host", "host parasite", "müll abfuhr", "payaso de circo")
+#: A phrase of two words that holds a matched one is learned as an exception if so many clean documents of the sample have it and no toxic one; so many are kept.
+LEAST_CLEAN, LEARNED = 5, 500
 
 #: Letters of other alphabets that look like Latin ones.
 LOOKALIKES = dict(zip("авекмнорстухіјѕԁԛԝһѵαβεηικνορτυχγıłøđ", "abekmhopctyxijsdqwhvabenikvoptuxyilod", strict=True))
@@ -129,6 +122,20 @@ class Lexicon:
         words = folded.count(" ") - 1
         return float(np.log1p(total)), float(np.log1p(100 * total / (words + 20)))
 
+    def phrases(self, text: str) -> set[str]:
+        """The phrases of two folded words that hold a matched one, blanks around them."""
+        folded, out = fold(text), set()
+        for end, (size, weight, _) in self.automaton().iter(folded):
+            start = end - size + 1
+            if weight > 0:
+                stop = folded.index(" ", start + 1)
+                before, after = folded.rfind(" ", 0, start), folded.find(" ", stop + 1)
+                if before >= 0:
+                    out.add(folded[before : stop + 1])
+                if after >= 0:
+                    out.add(folded[start : after + 1])
+        return out
+
     def score(self, text: str) -> float:
         a, b = self.measures(text)
         x, y, z = self.calibration
@@ -179,7 +186,8 @@ def _calibrated(measures: np.ndarray, labels: np.ndarray) -> tuple[float, float,
 def learned_lexicon(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", parts: int = 5, held: int = 0, sample: dict[int, int] | None = None) -> Lexicon:
     """The given list, terms learned from a bounded sample of the labelled documents whose crc32(id) mod ``parts`` isn't ``held``, and a calibration on it."""
     chosen = training_sample(labels, label_col, id_col, remainder(F.col(id_col).cast("long"), parts) != held, sample or SAMPLE)
-    texts = sampled_texts(df, chosen, id_col, text_col)
+    # a row an id: of documents with one id the first by its text counts
+    texts = written(sampled_texts(df, chosen, id_col, text_col).groupBy("id", "label").agg(F.min("text").alias("text")), "sample")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +195,6 @@ def learned_lexicon(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 terms = sorted(_terms(text))
                 yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([label] * len(terms), pa.int32())], ["term", "label"])
 
-    bound = 4 * sum((sample or SAMPLE).values())  # ids may repeat in the documents
     n1, n0 = (int(x or 0) for x in texts.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first())
     lexicon = given_lexicon()
     if not n1:
@@ -210,33 +217,50 @@ def learned_lexicon(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 found = [sorted({number[hit[2]] for _, hit in asked.automaton().iter(fold(x))}) for x in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["id", "label", "found"])
 
-        docs = texts.mapInArrow(matched, "id long, label int, found array<int>").limit(bound).collect()  # bounded by the sample
+        docs = texts.mapInArrow(matched, "id long, label int, found array<int>").collect()  # bounded by the sample
         docs = sorted(docs, key=lambda r: (r["id"], r["label"], r["found"]))
         names = list(weights)
         for k in _chosen([r["found"] for r in docs], np.array([r["label"] for r in docs]), len(names)):
             lexicon.terms[names[k]] = max(weights[names[k]], lexicon.terms.get(names[k], 0.0))
 
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(lexicon.phrases(x)) for x in batch.column(2).to_pylist()]
+            label = np.repeat(batch.column(1).to_numpy(), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array([p for x in found for p in x], pa.string()), pa.array(label, pa.int32())], ["phrase", "label"])
+
+    seen = texts.mapInArrow(held, "phrase string, label int").groupBy("phrase").agg(F.count_if(F.col("label") == 0).alias("clean"), F.count_if(F.col("label") == 1).alias("toxic"))
+    harmless = seen.filter((F.col("toxic") == 0) & (F.col("clean") >= LEAST_CLEAN)).orderBy(F.desc("clean"), "phrase").limit(LEARNED).collect()
+    lexicon = Lexicon(lexicon.terms, (*lexicon.exceptions, *[r["phrase"].strip() for r in harmless]))
+
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = [lexicon.measures(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([m[0] for m in both], pa.float64()), pa.array([m[1] for m in both], pa.float64())], ["label", "a", "b"])
 
-    rows = texts.mapInArrow(measured, "label int, a double, b double").limit(bound).collect()  # bounded by the sample
+    rows = texts.mapInArrow(measured, "label int, a double, b double").collect()  # bounded by the sample
     rows = sorted((r["a"], r["b"], r["label"]) for r in rows)
     lexicon.calibration = _calibrated(np.array([r[:2] for r in rows]), np.array([r[2] for r in rows], float))
     return lexicon
 
 
 def with_toxicity(df: DataFrame, lexicon: Lexicon, text_col: str = "text", out: str = "toxicity") -> DataFrame:
-    """df with a column of scores; all columns pass through, a null text scores as an empty one."""
+    """df with a column of scores; one of that name is replaced. All other columns pass through, whatever their names.
+
+    A null text scores as an empty one, repeated rows score alike, an empty table gives none, and long texts are matched whole.
+    """
     at = df.columns.index(text_col)
+    names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the score
+    fields = [T.StructField(n, f.dataType) for n, f in zip(names, df.schema.fields, strict=True)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = pa.array([lexicon.score(x or "") for x in batch.column(at).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*names, "score"])
 
-    return df.mapInArrow(work, T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())]))
+    rows = df.toDF(*names).mapInArrow(work, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    kept = [(n, c) for n, c in zip(names, df.columns, strict=True) if c != out]
+    return rows.select(*[F.col(n).alias(c) for n, c in kept], F.col("score").alias(out))
 
 
 def toxicity_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
