@@ -24,9 +24,11 @@ def alike(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-@pytest.mark.parametrize("per_range", [250, 3])
-def test_fingerprints_against_brute_force(frame, odd_rows, per_range, monkeypatch):
+@pytest.mark.parametrize(("per_range", "ranges"), [(250, 10_000), (3, 10_000), (2, 4)])
+def test_fingerprints_against_brute_force(frame, odd_rows, per_range, ranges, monkeypatch):
+    """Also where there are more ranges than the driver may know, so that they are split again."""
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", per_range)
+    monkeypatch.setattr(fingerprints, "MOST_RANGES", ranges)
     rows = odd_rows + [(k, f"n{k} one two three four five six {k % 3} seven eight nine ten") for k in range(20, 45)]
     df = fingerprints.fingerprints(frame(rows), k=4096)
     assert native(df)
@@ -37,8 +39,10 @@ def test_fingerprints_against_brute_force(frame, odd_rows, per_range, monkeypatc
         t, n = t or "", ordered[(k + 1) % len(ordered)][1] or ""
         half = len(t) // 2
         e = t[: len(t) - half] + n[:half]
-        want.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), round(alike(shingles(t), shingles(e)), 9), round(alike(shingles(t), shingles(n)), 9)))
-    assert [(g[0], g[1], g[2], round(g[5], 9), round(g[6], 9)) for g in got] == sorted(want, key=str)
+        a, b = shingles(t), shingles(e)
+        held = len(a & b) / len(a) if a else 1.0
+        want.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), round(alike(a, b), 9), round(alike(shingles(t), shingles(n)), 9), float(len(a)), round(held, 9)))
+    assert [(g[0], g[1], g[2], round(g[5], 9), round(g[6], 9), g[7], round(g[8], 9)) for g in got] == sorted(want, key=str)
     prints = {}
     for (i, t), g in zip(sorted(rows, key=str), sorted(got, key=str), strict=True):
         prints.setdefault(g[3], set()).add(g[1])
@@ -102,7 +106,7 @@ def test_mixed_documents_are_rows_of_the_table(frame):
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
     words = sum(len(r["text"].split()) for r in out.collect())
-    assert words == sum(r["taken"] for r in mixing.mixed(df).collect())
+    assert words == sum(r["taken"] for r in mixing.mixed(df, whole=True).collect())
 
 
 def test_heavier_documents_come_first_more_often(spark):

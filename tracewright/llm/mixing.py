@@ -43,11 +43,12 @@ def targets(sources: DataFrame, share: float = SHARE, most: float = MOST, weight
     return rows.withColumn("target", F.least(F.col("limit"), F.max("level").over(all_rows) * F.col("weight"))).drop("level", "limit", "weight")
 
 
-def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, share: float = SHARE, most: float = MOST) -> DataFrame:
+def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, share: float = SHARE, most: float = MOST, whole: bool = False) -> DataFrame:
     """Per row: id, size, source_size, target (of its source) and taken: the words that the mix takes of it, epochs counted.
 
     The document at which a source's target is reached gives only its first words, so a source's taken words are its target
-    to the word. Sizes are numbers of words; a null text has none; null sources are one source, the last; a null id stays null;
+    to the word. With whole, it is taken whole or not at all, whichever comes nearer to the target; ``copies`` says how often the
+    mix has a document: once an epoch, and once more if the fractional selection takes any of it. Sizes are numbers of words; a null text has none; null sources are one source, the last; a null id stays null;
     ties of keys go by id and text; repeated rows are documents of their own; reruns agree; an empty table gives none.
     """
     text = text_or_empty(text_col)
@@ -74,27 +75,27 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("inside", inside).join(before, ["none", "name", "part"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.round(F.col("target") - epochs * F.col("source_size")).cast("long")
-    some = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before") - F.col("inside")))
+    budget = rest - F.col("before") - F.col("inside")
+    chosen = (budget > 0) & (budget * 2 >= F.col("size")) if whole else budget > 0
+    some = F.when(chosen, F.col("size") if whole else F.least(F.col("size"), budget)).otherwise(0)
     taken = (epochs * F.col("size") + some).cast("long")
-    return rows.select(shown_id(F.col("dk")).alias(id_col), "size", "source_size", "target", taken.alias("taken"), "tie")
+    copies = (epochs + F.when(chosen, 1).otherwise(0)).cast("int")
+    return rows.select(shown_id(F.col("dk")).alias(id_col), "size", "source_size", "target", taken.alias("taken"), "tie", copies.alias("copies"))
 
 
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix as rows of df's columns: a document once an epoch, and one more time if the fractional selection takes it.
 
-    The document at which a source's target is reached stands there with its first words only (joined by blanks). Repeated
-    rows of df are documents of their own.
+    Documents are whole: the one at which a source's target is reached is taken or left, whichever comes nearer. Documents
+    without words stand like others, repeated rows of df are documents of their own, a null text has no words and stays null,
+    columns of any name pass, and an empty table gives none.
     """
     seed = options.get("seed", 17)
     names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the keys
     at = names[df.columns.index(text_col)]
     same = Window.partitionBy("dk", "tie").orderBy(F.lit(0))  # rows of equal id and text are alike
-    takes = mixed(df, id_col, text_col, source_col, **options)
-    takes = takes.select(id_key(id_col).alias("dk"), "tie", "size", "taken").withColumn("nth", F.row_number().over(same))
+    takes = mixed(df, id_col, text_col, source_col, **{**options, "whole": True})
+    takes = takes.select(id_key(id_col).alias("dk"), "tie", "copies").withColumn("nth", F.row_number().over(same))
     rows = df.toDF(*names).withColumn("dk", id_key(names[df.columns.index(id_col)])).withColumn("tie", F.xxhash64(text_or_empty(at), F.lit(seed))).withColumn("nth", F.row_number().over(same))
-    joined = rows.join(takes, ["dk", "tie", "nth"]).filter("taken > 0")
-    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
-    part = F.col("taken") - whole * F.col("size")
-    copies = joined.withColumn("words", F.explode(F.concat(F.array_repeat(F.col("size"), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))))
-    cut = F.array_join(F.slice(F.array_remove(F.split(at, r"[\x20\x09-\x0D]+"), ""), F.lit(1), F.col("words").cast("int")), " ")
-    return copies.withColumn(at, F.when(F.col("words") < F.col("size"), cut).otherwise(F.col(at))).select(*names).toDF(*df.columns)
+    joined = rows.join(takes, ["dk", "tie", "nth"]).filter("copies > 0")
+    return joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*names).toDF(*df.columns)

@@ -24,7 +24,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracewright.llm.mixing import mixed
 
-    return mixed(documents(spark, sf_dir)).drop("tie")
+    return mixed(documents(spark, sf_dir)).drop("tie", "copies")
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_spans(documents(spark, sf_dir))
 
 
+def op8_benchmark_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broadcast form: all documents stream against suffix automata of the benchmark, whose words are counted first."""
+    from tracewright.llm.automata import remove_reference_spans
+
+    return remove_reference_spans(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tracewright.llm.licenses import license_scan
 
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_order_minhash": op6_order_minhash,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op8_benchmark_spans": op8_benchmark_spans,
     "op9_license_scan": op9_license_scan,
     "op10_media_columns": op10_media_columns,
 }
@@ -130,6 +138,15 @@ gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS p FROM r),
 words AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM d),
 kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op8_benchmark_spans": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents), b AS (SELECT regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM benchmark),
+known AS (SELECT DISTINCT array_to_string(ws[s:s + 19], ' ') AS k FROM (SELECT ws, unnest(range(1, len(ws) - 18)) AS s FROM b)),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d) WHERE array_to_string(ws[s:s + 19], ' ') IN (SELECT k FROM known)),
+gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS p FROM r),
+words AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, coalesce(t, '') AS kept FROM d LEFT JOIN kept USING (doc_id)
 """,
     "op9_license_scan": _license_sql(),
 }
