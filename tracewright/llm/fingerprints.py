@@ -12,11 +12,11 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import id_key, shown_id, text_or_empty
+from tracewright.llm.common import id_key, shown_id, text_or_empty, written
 
 K = 128
 SHINGLE = 5
-#: Rows of a range of ids that is sorted in one piece, and how many ranges there are at most.
+#: Rows of a range of ids that is sorted in one piece, and how many ranges the driver knows the bounds of; beyond, each is split again.
 RANGE_ROWS, MOST_RANGES = 250, 10_000
 
 
@@ -78,8 +78,9 @@ def with_next(df: DataFrame, key_col: str, carried: list[str], then: str = "next
     """df with ``next_`` columns: those of the row that follows by (key, carried[0]), cyclically. Keys must not be null.
 
     Rows are dealt to ranges of keys whose bounds are keys of the table; the row at a bound goes to both sides, the first row
-    also behind the last range. So each range is sorted on its own and no row's text moves more than once. prepare, a function
-    on the dealt rows, runs after the shuffle (what it adds isn't shuffled).
+    also behind the last range. So each range is sorted on its own. Rows of more than MOST_RANGES ranges are dealt to ranges of
+    ranges, so ranges don't grow with the table; rows of one key stay in one range. prepare, a function on the dealt rows, runs
+    after the shuffle (what it adds isn't shuffled).
     """
     count, least = df.agg(F.count(F.lit(1)), F.min(key_col)).first()
     ranges = min(MOST_RANGES, -(-count // RANGE_ROWS)) or 1
@@ -88,29 +89,47 @@ def with_next(df: DataFrame, key_col: str, carried: list[str], then: str = "next
         asked = [i / ranges for i in range(1, ranges)]
         bounds = sorted(set(df.agg(F.percentile_approx(key_col, asked, 20 * ranges)).first()[0]) - {least})
     known = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
-    halves = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
     key = F.col(key_col)
-    # how many bounds are at or below the key, by bisection
-    bucket = F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), lambda at, h: F.when(F.get(known, at + h - 1) <= key, at + h).otherwise(at))
-    placed = df.withColumn("bucket__", bucket)
-    at_bound = (F.col("bucket__") > 0) & (F.get(known, F.col("bucket__") - 1) == key)
+    placed, last = df.withColumn("bucket__", _below(known, len(bounds), key).cast("long")), F.lit(len(bounds)).cast("long")
+    begins = (F.col("bucket__") > 0) & (F.get(known, (F.col("bucket__") - 1).cast("int")) == key)
+    if count > MOST_RANGES * RANGE_ROWS:
+        # ranges of ranges: the inner bounds are a table, a row an outer range, that rows are joined with
+        inner = min(MOST_RANGES, -(-count // (RANGE_ROWS * ranges)))
+        asked = [i / inner for i in range(1, inner)]
+        cut = placed.groupBy("bucket__").agg(F.array_sort(F.array_distinct(F.percentile_approx(key_col, asked, 20 * inner))).alias("inner__"), F.min(key_col).alias("least__"))
+        cut = cut.withColumn("inner__", F.filter("inner__", lambda x: x > F.col("least__")))
+        before = Window.orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)  # a row an outer range
+        cut = written(cut.select("bucket__", "inner__", F.coalesce(F.sum(F.size("inner__") + 1).over(before), F.lit(0)).alias("base__")), "ranges")
+        last = F.lit(cut.agg(F.max(F.col("base__") + F.size("inner__"))).first()[0]).cast("long")
+        nth = _below(F.col("inner__"), inner - 1, key)
+        placed = placed.withColumn("begins__", begins).join(cut, "bucket__").withColumn("nth__", nth)
+        begins = F.when(F.col("nth__") > 0, F.get("inner__", F.col("nth__") - 1) == key).otherwise(F.col("begins__"))
+        placed = placed.select(*df.columns, (F.col("base__") + F.col("nth__")).alias("bucket__"), begins.alias("begins__"))
+        begins = F.col("begins__")
     places = F.array_compact(
         F.array(
             F.struct(F.col("bucket__").alias("bucket"), F.lit(0).alias("after"), F.lit(True).alias("own")),
-            F.when(at_bound, F.struct((F.col("bucket__") - 1).alias("bucket"), F.lit(0).alias("after"), F.lit(False).alias("own"))),
-            F.when(key == F.lit(least), F.struct(F.lit(len(bounds)).alias("bucket"), F.lit(1).alias("after"), F.lit(False).alias("own"))),
+            F.when(begins & (F.col("bucket__") > 0), F.struct((F.col("bucket__") - 1).alias("bucket"), F.lit(0).alias("after"), F.lit(False).alias("own"))),
+            F.when(key == F.lit(least), F.struct(last.alias("bucket"), F.lit(1).alias("after"), F.lit(False).alias("own"))),
         )
     )
-    dealt = placed.withColumn("place__", F.explode(places)).select("*", "place__.*").drop("place__", "bucket__").repartition("bucket")
+    dealt = placed.withColumn("place__", F.explode(places)).select(*df.columns, "place__.*").repartition("bucket")
     order = Window.partitionBy("bucket").orderBy("after", key_col, carried[0])
     rows = prepare(dealt)
     return rows.select("*", *[F.lead(c).over(order).alias(f"{then}{c}") for c in carried]).filter("own").drop("bucket", "after", "own")
 
 
+def _below(bounds: Column, most: int, key: Column) -> Column:
+    """How many of at most ``most`` ascending bounds are at or below the key, by bisection."""
+    halves = [1 << k for k in range(max(most, 1).bit_length() - 1, -1, -1)]
+    return F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), lambda at, h: F.when(F.get(bounds, at + h - 1) <= key, at + h).otherwise(at))
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """Fingerprints of each text, of the text whose latter half is exchanged for the next document's beginning, and their likeness.
 
-    Rows: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. A null text is empty; a null id
+    Rows: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_shingles (how many different ones
+    the text has, estimated) and held_by_edited (the share of them that the edited text holds, estimated). A null text is empty; a null id
     comes first and stays null; rows of equal id follow each other by text; a single row follows itself; an empty table gives
     none; other columns are ignored.
     """
@@ -129,4 +148,6 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         resemblance("sketch", "edited_sketch", k).alias("near_edited"),
         resemblance("sketch", "next_sketch", k).alias("near_next"),
+        distinct_shingles(F.col("sketch"), k).alias("n_shingles"),
+        containment("sketch", "edited_sketch", k).alias("held_by_edited"),
     )
