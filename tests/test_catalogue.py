@@ -73,3 +73,45 @@ def test_rendering_and_order(spark):
     assert [r["w"] for r in report.locale_order(names, "w", "ko").collect()] == ["가", "나", "다"]
     assert release.is_deterministic(lambda: df, 3)
     assert df.select(tx.canonical_json(F.create_map(F.lit("b"), "n", F.lit("a"), "n")).alias("j")).first()["j"] == '{"a":1,"b":1}'
+
+
+def test_extraction_leaves_out_what_is_no_record(spark):
+    from tracewright.plans import extraction
+
+    line = "[9국어01-01] 글을 읽고 뜻을 이해할 수 있다."
+    docs = [("a", 5, line), ("b", 15, line), ("c", 40, line), ("d", 6, "no record"), ("e", 7, "[9국어01-02] 학년을 두 자리 수로 제시한다."), ("f", 18, "[4국어01-01] 다른 학년이다."), ("g", 10, "[국어01-01] 갈래를 모른다.")]
+    docs = spark.createDataFrame(docs, "doc_id string, annex int, text string")
+    found = extraction.extract_records(docs)
+    assert sorted((r["doc_id"], r["profile"], r["statement"]) for r in found.collect()) == [("a", "middle", "글을 읽고 뜻을 이해할 수 있다."), ("g", None, "갈래를 모른다.")]
+    assert sorted(r["doc_id"] for r in extraction.empty_groups(docs, found).collect()) == ["d", "e", "f", "g"]
+    assert [tuple(r) for r in extraction.unknown_profiles(found).collect()] == [("unknown-profile", "g", "국어01-01", 1)]
+    assert [r["summary"] for r in extraction.summarised(found.filter("doc_id = 'a'")).collect()] == ["글을 읽고 뜻을 이해하기"]
+
+
+def test_compatible_forms(spark):
+    import unicodedata
+
+    rows = ["plain", "１２가", "ﬁn", "한글", "ㅎㅏㄴ", "é", "", None]
+    df = spark.createDataFrame([(x,) for x in rows], "x string")
+    assert [r["y"] for r in df.select(tx.compatible("x").alias("y")).collect()] == [x and unicodedata.normalize("NFKC", x) for x in rows]
+
+
+def test_canonical_json_sorts_at_every_depth(spark):
+    df = spark.sql("SELECT named_struct('b', 1, 'a', named_struct('z', array(named_struct('y', 1, 'x', cast(null AS int))), 'm', map('q', 1, 'p', 2))) AS v")
+    assert df.select(tx.canonical_json("v", df.schema["v"].dataType).alias("j")).first()["j"] == '{"a":{"m":{"p":2,"q":1},"z":[{"y":1}]},"b":1}'
+
+
+def test_edge_spec_modules(spark, tmp_path):
+    import json
+
+    from tracewright.sources import files
+
+    modules = {"a": {"subject": "art", "annexId": "x1", "level": "middle", "middleRequired": [["A", "B", "why", 13], ["A", "B", "again", 0], ["A"]], "elementaryToMiddleRequired": [["e1", "Z", "dom", 5, "label"]]}, "b": {"subject": "high art", "annexId": "x2", "level": "high", "highCommentaryRequired": [["H1", "H1", 1500, "t" * 90]], "middleRequired": [["A", "B", "w", 1]]}}
+    for name, body in modules.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(body, indent=1))
+    specs = files.edge_specs(spark, str(tmp_path))
+    assert sorted((r["subject"], r["kind"], r["place"], r["arity"], r["page"]) for r in specs.collect())[0] == ("art", "elementaryToMiddleRequired", 0, 5, 5)
+    known = spark.createDataFrame([("A", "x1"), ("B", "x1"), ("H1", "x9")], "code string, annex string")
+    got = sorted((r["rule_id"], r["key"]) for r in catalogue.module_violations(specs, known).collect())
+    high, middle = "high art/highCommentaryRequired/0", "art/middleRequired"
+    assert got == sorted([("spec.arity", f"{middle}/2"), ("spec.page", f"{middle}/1"), ("spec.pair", f"{middle}/1"), ("spec.code", "art/elementaryToMiddleRequired/0"), ("spec.loop", high), ("spec.page", high), ("spec.text", high), ("spec.own", high), ("spec.level", "high art/middleRequired/0")])

@@ -78,7 +78,7 @@ def test_extraction_of_a_small_document(spark):
         "[2국01-01] 범위 밖",
         "[기타01-01] 알 수 없다",
     )
-    docs = [("h", 19, high), ("m", 8, document("[9수01-05] 수를 안다.", "• 해설")), ("n", 8, "아무것도 없다"), ("e", 40, "[기타01-01] 소속 없음")]
+    docs = [("h", 19, high), ("m", 8, document("[9수01-05] 수를 안다.", "• 해설")), ("n", 8, "아무것도 없다"), ("e", 16, "[기타01-01] 소속 없음")]
     rows = {(r["doc_id"], r["code"]): r for r in summarised(extract_records(spark.createDataFrame(docs, "doc_id string, annex int, text string"))).collect()}
     assert set(rows) == {("h", "12미적01-01"), ("h", "12미적 01-02"), ("h", "12미적02-01"), ("h", "기타01-01"), ("m", "9수01-05"), ("e", "기타01-01")}
     one = rows["h", "12미적01-01"]
