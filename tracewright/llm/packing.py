@@ -327,7 +327,7 @@ def histogram(cut: DataFrame, capacity: int) -> np.ndarray:
     return counts
 
 
-def ranked(cut: DataFrame, id_col: str, counts: np.ndarray, block_rows: int = 20_000) -> DataFrame:
+def ranked(cut: DataFrame, id_col: str, counts: np.ndarray, block_rows: int = 1_000) -> DataFrame:
     """cut with ``rank``, from 0, within each length.
 
     A length is split by hash into as many blocks as it needs; cells (length, block) are counted, and only a cell is ever
