@@ -110,7 +110,8 @@ def shared_rows():
         if i % 9 == 0:
             text += ("é" * 500) + "ab " * 300
         rows.append((i, text))
-    return rows + [(100 + k, rows[5][1]) for k in range(3)] + [(200, "é" * 199), (201, "é" * 200), (202, "é" * 201)]
+    # copies of a text, and rows that stand there again
+    return rows + [(100 + k, rows[5][1]) for k in range(3)] + [rows[9], rows[9], rows[31]] + [(200, "é" * 199), (201, "é" * 200), (202, "é" * 201)]
 
 
 @pytest.mark.parametrize("shard_rows", [4096, 3])

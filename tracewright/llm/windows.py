@@ -286,8 +286,9 @@ def _resolved(texts: DataFrame, rows: int, shard_rows: int, resolve: Resolve, dt
     """(cell, g, runs) of the pieces of cells, dealt to shards of about shard_rows pieces each; a cell is never split."""
 
     def work(table: pa.Table) -> pa.Table:
-        # all texts of a cell are here; in the order of their first places
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("cell", "dk", "rk", "start", "g", "n", "text")), strict=True), key=lambda r: r[:4])
+        # all texts of a cell are here, each once (rows of equal id and text bring theirs again); in the order of their first places
+        rows = {(r[0], r[4]): r for r in zip(*(table.column(c).to_pylist() for c in ("cell", "dk", "rk", "start", "g", "n", "text")), strict=True)}
+        rows = sorted(rows.values(), key=lambda r: r[:4])
         values = [np.frombuffer(r[6], dtype) for r in rows]
         runs = resolve(values, np.array([r[5] for r in rows]), np.array([r[0] for r in rows]))
         return pa.table({"cell": pa.array([r[0] for r in rows], pa.int64()), "g": pa.array([r[4] for r in rows], pa.int64()), "runs": pa.array(runs, pa.list_(pa.int64()))})
@@ -308,8 +309,9 @@ def _decided(pieces: Callable[[DataFrame], DataFrame], kinds: DataFrame, kind: K
     n_small, n_large = (int(x or 0) for x in kinds.agg(F.sum(F.when(small, F.col("kinds"))), F.sum(F.when(large, F.col("kinds")))).first())
     told = _resolved(pieces(kinds.filter(small).select("cell")), n_small, shard_rows, resolve, kind.dtype) if n_small else None
     if n_large:
-        parts = pieces(kinds.filter(large).select("cell")).select(*_NAMES).mapInArrow(_split(kind), f"above long, g_above long, {_PIECE}, shift int")
-        parts = written(parts, "parts")
+        # written before they are split, so that a stage holds one Python worker a task
+        whole = written(pieces(kinds.filter(large).select("cell")).select(*_NAMES).dropDuplicates(["cell", "g"]), "pieces")
+        parts = written(whole.mapInArrow(_split(kind), f"above long, g_above long, {_PIECE}, shift int"), "parts")
         place = F.struct("dk", "rk", "start")
         same = [F.first(c).alias(c) for c in ("far", "near", "low", "high", "text")]  # equal in all
         below = parts.groupBy("cell", "g").agg(F.sum("n").alias("n"), F.min(place).alias("place"), *same)
@@ -319,8 +321,8 @@ def _decided(pieces: Callable[[DataFrame], DataFrame], kinds: DataFrame, kind: K
         of = below.select("cell", "g", F.col("n").alias("all"), place.alias("first"))
         links = parts.select("above", "g_above", "cell", "g", "shift", (F.col("far") - F.col("near")).alias("width"), place.alias("place"))
         links = links.join(written(of.join(runs, ["cell", "g"], "left"), "verdicts"), ["cell", "g"])
-        whole = F.col("place") != F.col("first") if spare_first else F.col("all") > 1
-        shifted = F.when(whole, F.array(F.lit(0), F.col("width"))).otherwise(F.col("runs"))
+        again = F.col("place") != F.col("first") if spare_first else F.col("all") > 1
+        shifted = F.when(again, F.array(F.lit(0), F.col("width"))).otherwise(F.col("runs"))
         up = links.select(F.col("above").alias("cell"), F.col("g_above").alias("g"), F.transform(shifted, lambda x: x + F.col("shift")).cast("array<long>").alias("runs")).filter("runs IS NOT NULL")
         up = up.groupBy("cell", "g").agg(F.flatten(F.collect_list("runs")).alias("runs"))
         told = up if told is None else told.unionByName(up)
