@@ -78,6 +78,26 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(documents(spark, sf_dir))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.centroids import clusters
+
+    return clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tracewright.llm.languages import languages
+
+    return languages(documents(spark, sf_dir))
+
+
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tracewright.llm.alignment import alignments
+
+    return alignments(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_toxicity": op2_toxicity,
@@ -90,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_spans": op8_benchmark_spans,
     "op9_license_scan": op9_license_scan,
     "op10_media_columns": op10_media_columns,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_language_id": op12_language_id,
+    "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
 
@@ -115,7 +138,28 @@ SELECT d.doc_id, name AS license, k::INT AS template, coalesce(dice, 0.0)::DOUBL
 """
 
 
+def _cluster_sql() -> str:
+    from tracewright.llm.centroids import CLUSTERS, DIMENSIONS, ROUNDS, SCALE
+
+    floored = lambda x, n: f"({x} - (({x} % {n}) + {n}) % {n}) // {n}"
+    steps = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = {DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIMENSIONS})""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 AS j, q AS c FROM (SELECT q, sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h FROM v ORDER BY h, q LIMIT {CLUSTERS}))",
+    ]
+    for t in range(ROUNDS + 1):
+        d = "list_sum(list_transform(list_zip(q, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+        steps.append(f"a{t} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(q) AS q, arg_min(j, (d, j)) AS j, min(d) AS d FROM (SELECT r, vec_id, q, j, {d} AS d FROM v, c{t}) GROUP BY r)")
+        if t < ROUNDS:
+            steps.append(f"m{t} AS (SELECT j, list({floored('s', 'n')} ORDER BY i) AS c FROM (SELECT j, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT j, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM a{t}) GROUP BY j, i) GROUP BY j)")
+            steps.append(f"c{t + 1} AS MATERIALIZED (SELECT j, coalesce(m{t}.c, c{t}.c) AS c FROM c{t} LEFT JOIN m{t} USING (j))")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, j::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY j))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{ROUNDS} JOIN c{ROUNDS} USING (j)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_centroid_clustering": _cluster_sql(),
     "op4_suffix_array_dedup": """
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
 w AS (SELECT doc_id, b, unnest(range(1, octet_length(b) - 398)) AS s FROM d),
