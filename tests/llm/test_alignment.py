@@ -93,8 +93,8 @@ def test_long_texts_are_aligned_in_parts(plain_tokens, monkeypatch):
 
     def all_of(block):
         monkeypatch.setattr(alignment, "BLOCK", block)
-        (out,) = alignment._aligned(iter([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["a", "b"])]), A, B)
-        return out.to_pylist()
+        out = alignment._aligned(iter([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["a", "b"])]), A, B)
+        return pa.Table.from_batches(out).to_pylist()
 
     whole = all_of(10**6)
     assert [(r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["groups_sha256"]) for r in whole] == [x[1:5] + x[7:] for x in plain(list(enumerate(texts)), plain_tokens)]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tracewright.llm.common import dropped, written
 
 #: UTF-8 bytes (about) that are aligned at once; a longer text is cut between words and its parts are put together again.
-BLOCK = 4_000_000
+BLOCK = 2_000_000
 #: Pairs with their counts that are broadcast at once; more are broadcast slice after slice.
 SLICE = 4_000_000
 #: A space after a letter or digit begins a token in either tokenizer, whatever stands around it: the byte-level pattern takes a
@@ -197,29 +197,37 @@ _ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups
 def _aligned(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     pair = _pair(a_path, b_path)
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        counts, digests = np.zeros((len(texts), 4), np.int64), [None] * len(texts)
-        wrong, found = np.zeros(len(texts), bool), []
-        for block in _parts(texts):
-            met, shown, each = _aligned_block([x[1] for x in block], pair)
-            owners = np.array([x[0] for x in block])
-            found.append(met.set_column(0, "doc", pa.array(owners).take(met.column("doc"))))
-            for k, groups, n in zip(owners, shown, each, strict=True):
-                wrong[k] |= n[0] < 0
-                counts[k] += n
-                if digests[k] is None:
-                    digests[k] = hashlib.sha256()
-                else:
-                    digests[k].update(b";")
-                digests[k].update(groups.encode())
-        counts[wrong] = 0
-        none = pa.table({"doc": pa.array([], pa.int64()), "pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        met = pa.concat_tables([none, *found])
-        met = met.filter(pa.array(~wrong).take(met.column("doc"))).group_by(["doc", "pair"], use_threads=False).aggregate([("n", "sum")]).sort_by([("doc", "ascending"), ("pair", "ascending")]).combine_chunks()
-        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(met.column("doc").to_numpy(), minlength=len(texts)))]), pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, met.column(c).combine_chunks()) for c in ("pair", "n_sum")]
-        hashes = pa.array([d.hexdigest() if d is not None and not w else "" for d, w in zip(digests, wrong, strict=True)], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(counts[:, j]) for j in range(4)], hashes, *lists], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
+        # rows of about BLOCK bytes at a time, and a batch of results for them, so that memory doesn't grow with the batch
+        of = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // BLOCK
+        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if batch.num_rows else []
+        for i, j in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
+            yield _aligned_rows(batch.slice(i, j - i), pair)
+
+
+def _aligned_rows(batch: pa.RecordBatch, pair: Pair) -> pa.RecordBatch:
+    texts = batch.column(1).to_pylist()
+    counts, digests = np.zeros((len(texts), 4), np.int64), [None] * len(texts)
+    wrong, found = np.zeros(len(texts), bool), []
+    for block in _parts(texts):
+        met, shown, each = _aligned_block([x[1] for x in block], pair)
+        owners = np.array([x[0] for x in block])
+        found.append(met.set_column(0, "doc", pa.array(owners).take(met.column("doc"))))
+        for k, groups, n in zip(owners, shown, each, strict=True):
+            wrong[k] |= n[0] < 0
+            counts[k] += n
+            if digests[k] is None:
+                digests[k] = hashlib.sha256()
+            else:
+                digests[k].update(b";")
+            digests[k].update(groups.encode())
+    counts[wrong] = 0
+    none = pa.table({"doc": pa.array([], pa.int64()), "pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    met = pa.concat_tables([none, *found])
+    met = met.filter(pa.array(~wrong).take(met.column("doc"))).group_by(["doc", "pair"], use_threads=False).aggregate([("n", "sum")]).sort_by([("doc", "ascending"), ("pair", "ascending")])
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(met.column("doc").to_numpy(), minlength=len(texts)))]), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, met.column(c).combine_chunks()) for c in ("pair", "n_sum")]
+    hashes = pa.array([d.hexdigest() if d is not None and not w else "" for d, w in zip(digests, wrong, strict=True)], pa.string())
+    return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(counts[:, j]) for j in range(4)], hashes, *lists], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
 
 
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
