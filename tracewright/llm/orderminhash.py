@@ -5,7 +5,8 @@ occurrence number, so that repeats count) and keeps them in text order; texts at
 Equal texts are one row throughout. In each bucket of texts with equal sketches members are compared with a few leaders,
 not with each other: the member that stands in the largest buckets (the original of a group of edited copies does) and two
 random ones. Then every two members of a bucket that are in different classes still are compared, so no pair that shares a
-sketch is left out: lengths and counts of shingles by bins, which bound the resemblance from above, decide most, alignments the rest. A pair is near if the resemblance of its five-word shingles is 0.8 or more and so is its edit similarity in words, found by an alignment of as many edits as that allows.
+sketch is left out: lengths and counts of words, which bound the edit similarity from above, decide most, alignments the rest.
+A pair is near if its edit similarity in words is 0.8 or more, found by an alignment of as many edits as that allows.
 """
 
 from __future__ import annotations
@@ -21,9 +22,12 @@ from tracewright.llm.common import drop_caches, dropped, id_key, shown_id, text_
 from tracewright.llm.windows import mix, word_items
 
 BANDS, KEPT, SHINGLE, LEAST = 24, 3, 5, 0.8
+#: One changed word may leave a short text no five words in a row, so texts of 4 (a fifth of 5 is a word) to SHORT words are also
+#: sketched by grams of two words, two a sketch.
+LEAST_SHORT, SHORT, SHORT_SHINGLE, SHORT_KEPT = 4, 40, 2, 2
 #: Random leaders of a bucket, beside the most famous member.
 LEADERS = 2
-#: Members of a bucket in one block, about, when what leaders left open is compared (two blocks are one group); bins of the counts of shingles.
+#: Members of a bucket in one block, about, when what leaders left open is compared (two blocks are one group); bins of the counts of words.
 BLOCK, BINS = 1024, 256
 #: Stands for a diagonal that no alignment has come to.
 OUT = np.int64(-(2**40))
@@ -58,15 +62,22 @@ def labelled(grams: np.ndarray) -> np.ndarray:
 
 
 def order_sketches(words: np.ndarray) -> np.ndarray:
-    """One number a band. Texts without words have none. Long texts take fewer bands at a time, so that AT_ONCE numbers are held, or one band."""
-    grams = shingles(words)
+    """A number a band, and for short texts a further one of shorter grams. Texts without words have none."""
+    out = _sketches(shingles(words), KEPT, _SEEDS)
+    if LEAST_SHORT <= len(words) <= SHORT:
+        out = np.r_[out, _sketches(shingles(words, SHORT_SHINGLE), SHORT_KEPT, mix(_SEEDS) | np.uint64(1))]
+    return out
+
+
+def _sketches(grams: np.ndarray, kept: int, every: np.ndarray) -> np.ndarray:
+    """Of each of the seeds, the ``kept`` least grams in text order as one number. Long texts take fewer bands at a time, so that AT_ONCE numbers are held, or one band."""
     if not len(grams):
         return np.zeros(0, np.int64)
     base = mix(labelled(grams))
-    kept, some = min(KEPT, len(grams)), max(1, AT_ONCE // len(grams))
-    out = _SEEDS.copy()
+    kept, some = min(kept, len(grams)), max(1, AT_ONCE // len(grams))
+    out = every.copy()
     for at in range(0, BANDS, some):
-        seeds = _SEEDS[at : at + some]
+        seeds = every[at : at + some]
         drawn = base * seeds[:, None]  # base is mixed; an odd factor is another order of it
         least = np.argpartition(drawn, kept, axis=1)[:, :kept] if len(grams) > kept else np.tile(np.arange(kept), (len(seeds), 1))
         least = np.sort(least, axis=1)
@@ -75,37 +86,28 @@ def order_sketches(words: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _alike(a: np.ndarray, b: np.ndarray) -> float:
-    """The resemblance of two sorted sets of shingles."""
-    shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(a) and len(b) else 0
-    return shared / max(1, len(a) + len(b) - shared)
-
-
-def resemblance(a: np.ndarray, b: np.ndarray) -> float:
-    return _alike(np.unique(shingles(a)), np.unique(shingles(b)))
-
-
 def _binned(words: np.ndarray) -> np.ndarray:
-    """Numbers of different shingles by bins of their hashes, in the least type that holds them."""
-    counts = np.bincount((np.unique(shingles(words)) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+    """Numbers of words by bins of their hashes, repeats counted, in the least type that holds them."""
+    counts = np.bincount((words % np.uint64(BINS)).astype(np.int64), minlength=BINS)
     return counts.astype(np.min_scalar_type(counts.max()))
 
 
-def possible(bins: np.ndarray, label: np.ndarray, block: np.ndarray, across: bool, least: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, js): the members with which member i may be near, each pair once: of other labels, ``across`` blocks or not.
+def possible(bins: np.ndarray, label: np.ndarray, side: np.ndarray, across: bool, own: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js): the members with which member i may be near, each pair once: of other labels, ``across`` sides or not, one of the two ``own``.
 
-    Two texts share at most the lesser count of each bin, so none with a resemblance of ``least`` is missed.
+    An alignment keeps at most the lesser count of each bin, and ``least`` of the longer text's words at least, so no pair with
+    an edit similarity of ``least`` is missed.
     """
     sizes = bins.sum(axis=1)
     order = np.argsort(sizes, kind="stable")
-    bins, label, block, sizes = bins[order], label[order], block[order], sizes[order]
+    bins, label, side, own, sizes = bins[order], label[order], side[order], own[order], sizes[order]
     ends = np.searchsorted(sizes, sizes / (least * (1 - 1e-9)), "right")
     for i, end in enumerate(ends):
         rest = slice(i + 1, end)
-        js = i + 1 + np.flatnonzero((label[rest] != label[i]) & ((block[rest] != block[i]) == across))
+        js = i + 1 + np.flatnonzero((label[rest] != label[i]) & ((side[rest] != side[i]) == across) & (own[rest] | own[i]))
         if len(js):
             shared = np.minimum(bins[js], bins[i]).sum(axis=1)
-            js = js[shared >= least / (1 + least) * (sizes[js] + sizes[i]) * (1 - 1e-9)]
+            js = js[shared >= least * sizes[js] * (1 - 1e-9)]
             if len(js):
                 yield int(order[i]), order[js]
 
@@ -178,7 +180,7 @@ def _slid(a: np.ndarray, b: np.ndarray, rows: np.ndarray, low: int) -> np.ndarra
 
 
 def near(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
-    return bool(len(a) and len(b)) and resemblance(a, b) >= least and edit_similarity(a, b, least) >= least
+    return bool(len(a) and len(b)) and edit_similarity(a, b, least) >= least
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
@@ -193,21 +195,21 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
 
 def _with_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(tid, words, bins): 32-bit word hashes of the wanted texts (tid, dk, digest), each taken from its first document, and the counts of their different shingles by bins."""
+    """(tid, words, n_words, bins): 32-bit word hashes of the wanted texts (tid, dk, digest), each taken from its first document, and the counts of their words by bins."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [(word_items(x) >> np.uint64(32)).astype(np.uint32) for x in batch.column(1).to_pylist()]
             bins = [_binned(x.astype(np.uint64)).tobytes() for x in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in words], pa.binary()), pa.array(bins, pa.binary())], ["tid", "words", "bins"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in words], pa.binary()), pa.array([len(x) for x in words], pa.int64()), pa.array(bins, pa.binary())], ["tid", "words", "n_words", "bins"])
 
     rows = docs.join(wanted, ["dk", "digest"])
-    return rows.select("tid", "raw").mapInArrow(work, "tid long, words binary, bins binary")
+    return rows.select("tid", "raw").mapInArrow(work, "tid long, words binary, n_words long, bins binary")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, np.ndarray] = {}  # the shingles of texts; a leader stands in many pairs
+        known: dict[bytes, np.ndarray] = {}  # the words of texts in order of their hashes; a leader stands in many pairs
         held = 0
 
         def of(words: bytes) -> np.ndarray:
@@ -216,15 +218,21 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
                 if held > AT_ONCE:
                     known.clear()
                     held = 0
-                known[words] = np.unique(shingles(np.frombuffer(words, np.uint32).astype(np.uint64)))
+                known[words] = np.sort(labelled(np.frombuffer(words, np.uint32).astype(np.uint64)))
                 held += len(known[words])
             return known[words]
 
+        def alike(a: bytes, b: bytes) -> bool:
+            most = max(len(a), len(b)) // 4 * least * (1 - 1e-9)
+            if not a or not b or min(len(a), len(b)) // 4 < most:
+                return False
+            x, y = of(a), of(b)  # an alignment keeps no more words than both have
+            if (y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum() < most:
+                return False
+            return edit_similarity(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), least) >= least
+
         for batch in batches:
-            kept = []
-            for a, b in zip(*(batch.column(c).to_pylist() for c in ("wa", "wb")), strict=True):
-                alike = bool(a and b) and _alike(of(a), of(b)) >= least
-                kept.append(alike and edit_similarity(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), least) >= least)
+            kept = [alike(a, b) for a, b in zip(*(batch.column(c).to_pylist() for c in ("wa", "wb")), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     first = pairs.join(words.select(F.col("tid").alias("a"), F.col("words").alias("wa")), "a")
@@ -274,25 +282,43 @@ def _pairs(buckets: DataFrame) -> DataFrame:
 def _left_pairs(named: DataFrame, words: DataFrame, least: float) -> DataFrame:
     """(a, b) with a > b of named (bucket, tid, label): the pairs of a bucket with different labels that may be near.
 
-    A bucket's members are dealt to blocks, and each pair of blocks is a group of its own, so a large bucket isn't one task's.
+    A bucket's members are parted by length: near ones are in the same band of lengths or in neighbouring ones, so each member
+    stands in the pool of its own band and in the next. In a pool, members of the label that most have need no comparison with
+    each other. They are dealt to blocks, and so are all others; a cell takes a block of the one kind and a block of the
+    others, or two blocks of others. So a pool of n members of which m have other labels makes about n + n * m / BLOCK rows,
+    and a large one isn't one task's.
     """
-    counts = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x != y")
-    mixed = written(counts.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = named.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("tid"), "blocks").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(words.select("tid", "bins"), "tid")
-    cell = ["bucket", "low", "high"]
-    rows = rows.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "tid", "label", "block", "bins")
+    band = F.floor(F.log(F.col("n_words").cast("double")) / F.log(F.lit(1 / least)))
+    sized = named.join(words.select("tid", F.col("n_words")), "tid").withColumn("band", band)
+    rows = sized.select("bucket", "tid", "label", F.explode(F.array(F.struct(F.col("band").alias("pool"), F.lit(True).alias("own")), F.struct((F.col("band") + 1).alias("pool"), F.lit(False).alias("own")))).alias("p")).select("bucket", "tid", "label", "p.*")
+    labels = rows.groupBy("bucket", "pool", "label").agg(F.count(F.lit(1)).alias("n"), F.bool_or("own").alias("own"))
+    pools = labels.groupBy("bucket", "pool").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"), F.bool_or("own").alias("own"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = pools.filter("own AND main.n < n").select("bucket", "pool", F.col("main.label").alias("main"), blocks(F.col("main.n")).alias("mains"), blocks(F.col("n") - F.col("main.n")).alias("others"))
+    rows = rows.join(written(mixed, "mixed"), ["bucket", "pool"]).withColumn("is_main", F.col("label") == F.col("main"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("tid"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
+    # cells are (low, high): a block of the main label is numbered from -1 down, and always the low one
+    cell = lambda low, high: F.struct(low.alias("low"), high.alias("high"), (F.col("block") == high).alias("high_side"))
+    to = lambda n: F.sequence(F.lit(0), n - 1)
+    main_cells = F.transform(to(F.col("others")), lambda o: F.struct((-1 - F.col("block")).alias("low"), o.alias("high"), F.lit(False).alias("high_side")))
+    other_cells = F.concat(
+        F.transform(to(F.col("mains")), lambda m: F.struct((-1 - m).alias("low"), F.col("block").alias("high"), F.lit(True).alias("high_side"))),
+        F.transform(to(F.col("others")), lambda o: cell(F.least(F.col("block"), o), F.greatest(F.col("block"), o))),
+    )
+    rows = rows.withColumn("cell", F.explode(F.when(F.col("is_main"), main_cells).otherwise(other_cells))).select("bucket", "pool", "cell.*", "tid", "label", "own")
+    rows = rows.join(words.select("tid", "bins"), "tid")
+    cell = ["bucket", "pool", "low", "high"]
 
     def compared(cells: pa.Table) -> pa.RecordBatch:
-        tid, label, block = (cells.column(c).to_numpy() for c in ("tid", "label", "block"))
-        raw = cells.column("bins").to_pylist()
-        bins = np.array([np.frombuffer(x, f"u{len(x) // BINS}") for x in raw]).astype(np.int32)
+        tid, label = (cells.column(c).to_numpy() for c in ("tid", "label"))
+        side, own = (np.asarray(cells.column(c).combine_chunks().to_numpy(zero_copy_only=False), bool) for c in ("high_side", "own"))
+        bins = np.array([np.frombuffer(x, f"u{len(x) // BINS}") for x in cells.column("bins").to_pylist()]).astype(np.int32)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         keys = np.stack([cells.column(c).to_numpy() for c in cell])
         starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
         for i, j in zip(starts, np.r_[starts[1:], len(tid)], strict=True):
             ids = tid[i:j]
-            for m, others in possible(bins[i:j], label[i:j], block[i:j], keys[1, i] != keys[2, i], least):
+            for m, others in possible(bins[i:j], label[i:j], side[i:j], keys[2, i] != keys[3, i], own[i:j], least):
                 a.append(np.maximum(ids[m], ids[others]))
                 b.append(np.minimum(ids[m], ids[others]))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
@@ -354,7 +380,11 @@ def _repeats(rows: DataFrame) -> bool:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
-    """Per row: id, class_id (the least id of its class), class_size and representative (whether it is that document)."""
+    """Per row: id, class_id (the least id of its class), class_size and representative (whether it is that document).
+
+    Odd rows are treated as in ``near_duplicate_classes``: null and empty texts are equal to each other, equal texts are of one
+    class, texts are aligned whole whatever their length, a null id stays null and comes first, an empty table gives none.
+    """
     found = near_duplicate_classes(df, id_col, text_col, least)
     return found.select(shown_id(F.col("dk")).alias(id_col), shown_id(F.col("class_key")).alias("class_id"), "class_size", F.col("first").alias("representative"))
 
@@ -363,7 +393,8 @@ def one_of_each_class(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of df, with all their columns, that stand for their class: one row a class.
 
     That is the document of the least id (a null id comes first; of equal ids the least digest), and one of its rows where rows
-    are repeated. Null, empty and blank texts are near to equal ones only; columns of any name pass; an empty table gives none.
+    are repeated. Null, empty and blank texts are near to equal ones only; texts are aligned whole, whatever their length; columns
+    of any name pass; an empty table gives none.
     """
     names = [f"c{k}" for k in range(len(df.columns))]  # no name of df can clash with the keys
     key, text = (names[df.columns.index(c)] for c in (id_col, text_col))
