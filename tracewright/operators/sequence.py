@@ -1,14 +1,15 @@
 """Ordered lines: context that is carried along, counted, folded and paired.
 
-Windows partition by document and order by line, so a document is the unit of parallelism.
+Lines are scanned in blocks (see ``scans``), so a long document is many tasks'.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.text import norm_ws
+from tracewright.operators.scans import BLOCK, Ahead, Carry, Total, context
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -17,46 +18,47 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(id_col, split.alias("at", "line")).select(id_col, (F.col("at") + 1).alias("line_no"), "line")
 
 
-def in_order(key: str = "doc_id", order: str = "line_no"):
-    return Window.partitionBy(key).orderBy(order)
-
-
-def running_count(df: DataFrame, pattern: str, out: str, start: int = 1, line: str = "line", key: str = "doc_id", order: str = "line_no") -> DataFrame:
+def running_count(df: DataFrame, pattern: str, out: str, start: int = 1, line: str = "line", key: str = "doc_id", order: str = "line_no", size: int = BLOCK) -> DataFrame:
     """start and the matches of a pattern up to and including the line."""
-    w = in_order(key, order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, (F.lit(start) + F.sum(F.regexp_count(F.col(line), F.lit(pattern))).over(w)).cast("long"))
+    return context(df, {out: Total(F.regexp_count(F.col(line), F.lit(pattern)).cast("long"), start)}, key, order, size)
 
 
-def carry_last(df: DataFrame, value: Column, out: str, back: int | None = None, inclusive: bool = True, key: str = "doc_id", order: str = "line_no") -> DataFrame:
+def carry_last(df: DataFrame, value: Column, out: str, back: int | None = None, inclusive: bool = True, key: str = "doc_id", order: str = "line_no", size: int = BLOCK) -> DataFrame:
     """The last value that isn't null: of all lines so far, or of the last ``back`` lines; inclusive of the line itself or not."""
-    first = Window.unboundedPreceding if back is None else -back
-    return df.withColumn(out, F.last(value, True).over(in_order(key, order).rowsBetween(first, 0 if inclusive else -1)))
+    return context(df, {out: Carry(value, back, inclusive)}, key, order, size)
+
 
+def following(most: int, stop: Column, skip: Column, line: str = "line") -> Ahead:
+    """What ``folded`` needs of the lines after a line."""
+    return Ahead(F.struct(F.coalesce(stop, F.lit(False)).alias("stop"), F.coalesce(skip, F.lit(False)).alias("skip"), F.col(line).alias("text")), most)
 
-def fold_forward(df: DataFrame, out: str, most: int, stop: Column, skip: Column, end: str, line: str = "line", key: str = "doc_id", order: str = "line_no") -> DataFrame:
-    """The line and up to ``most`` following ones as one text.
+
+def folded(after: str, end: str, line: str = "line") -> Column:
+    """The line and those after it as one text.
 
     A line where ``stop`` holds ends the text before it; one where ``skip`` holds is left out but counts; one that matches
     ``end`` is the last. The first line is always kept, whatever it ends with.
     """
-    after = in_order(key, order).rowsBetween(1, most)
-    marked = df.withColumn("_part", F.struct(F.coalesce(stop, F.lit(False)).alias("stop"), F.coalesce(skip, F.lit(False)).alias("skip"), F.col(line).alias("text")))
     begin = F.struct(F.array(F.col(line)).alias("texts"), F.lit(False).alias("done"))
-    folded = F.aggregate(
-        F.col("_folded"),
+    return F.aggregate(
+        F.col(after),
         begin,
         lambda acc, p: F.when(acc["done"] | p["stop"], F.struct(acc["texts"].alias("texts"), F.lit(True).alias("done")))
         .when(p["skip"], acc)
         .otherwise(F.struct(F.array_append(acc["texts"], p["text"]).alias("texts"), p["text"].rlike(end).alias("done"))),
         lambda acc: F.array_join(acc["texts"], " "),
     )
-    return marked.withColumn("_folded", F.collect_list("_part").over(after)).withColumn(out, folded).drop("_part", "_folded")
 
 
-def section_starts(df: DataFrame, marker: Column, title: Column, category: Column, title_back: int = 90, category_back: int = 120, key: str = "doc_id", order: str = "line_no") -> DataFrame:
+def fold_forward(df: DataFrame, out: str, most: int, stop: Column, skip: Column, end: str, line: str = "line", key: str = "doc_id", order: str = "line_no", size: int = BLOCK) -> DataFrame:
+    """The line and up to ``most`` following ones as one text, as ``folded`` says."""
+    marked = context(df, {"_folded": following(most, stop, skip, line)}, key, order, size)
+    return marked.withColumn(out, folded("_folded", end, line)).drop("_folded")
+
+
+def section_starts(df: DataFrame, marker: Column, title: Column, category: Column, title_back: int = 90, category_back: int = 120, key: str = "doc_id", order: str = "line_no", size: int = BLOCK) -> DataFrame:
     """Rows of the marker lines with the nearest title and category before them, each within its number of lines."""
-    found = carry_last(df, title, "section_title", title_back, False, key, order)
-    found = carry_last(found, category, "section_category", category_back, False, key, order)
+    found = context(df, {"section_title": Carry(title, title_back, False), "section_category": Carry(category, category_back, False)}, key, order, size)
     return found.filter(marker)
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.text import bracket_code, clean_title, code_prefix, compact, compatible, content_id, first_match, matched, norm_code, norm_ws, rewrite_first, truncate_words
 from tracewright.operators.keys import dedup_first
-from tracewright.operators.sequence import carry_last, fold_forward, lines, running_count
+from tracewright.operators.scans import BLOCK, Carry, Total, context
+from tracewright.operators.sequence import folded, following, lines
 
 
 @dataclass(frozen=True)
@@ -99,11 +100,11 @@ def _section_title(norm: Column, rules: Rules) -> Column:
     return F.when(norm.rlike(rules.professional), F.trim(F.regexp_extract(norm, rules.professional, 1))).when(norm.rlike(rules.numbered) & ~tail.rlike(rules.reserved_heading), F.trim(tail)).when(plain, norm)
 
 
-def extract_records(docs: DataFrame, rules: Rules | None = None, compatibility: bool = True) -> DataFrame:
+def extract_records(docs: DataFrame, rules: Rules | None = None, compatibility: bool = True, size: int = BLOCK) -> DataFrame:
     """Records of documents (doc_id, annex, text), each with code, prefix, profile, statement, domain, page, line_no, category and title.
 
-    Lines are scanned once: every line offers what it could be to those after it (a section, a title, a category, a domain),
-    and windows carry the nearest offer to the record lines. Documents out of scope are not read; codes of the second, fourth and
+    Every line offers what it could be to those after it (a section, a title, a category, a domain), and scans in blocks of
+    ``size`` lines carry the nearest offer to the record lines. Documents out of scope are not read; codes of the second, fourth and
     sixth grade and lines of the code's legend vanish; other codes without a profile have a null ``profile`` (for the diagnostics).
     """
     rules = rules or Rules()
@@ -111,19 +112,20 @@ def extract_records(docs: DataFrame, rules: Rules | None = None, compatibility:
     # the document's number goes with its lines, so nothing is joined back
     every = lines(annexes.select(F.struct("doc_id", "annex").alias("doc"), "text"), "doc").select("doc.doc_id", "doc.annex", "line_no", "line").withColumn("norm", norm_ws("line"))
     category = first_match("norm", rules.categories)
-    every = running_count(every, "\f", "page")
-    every = every.withColumn("is_marker", F.col("norm").rlike(rules.marker))
-    every = carry_last(every, _section_title(F.col("norm"), rules), "title_before", 90, False)
-    every = carry_last(every, category, "category_before", 120, False)
-    section = F.when(F.col("is_marker"), F.struct("title_before", F.col("category_before").alias("category")))
-    every = carry_last(every, section, "section")
-    every = carry_last(every, category, "category_near", 180, True)
     offered = F.when(F.col("norm").rlike(rules.domain) & (F.length(F.regexp_extract("norm", rules.domain, 1)) <= 80), F.trim(F.regexp_extract("norm", rules.domain, 1)))
-    every = carry_last(every, offered, "domain_near", 80, False)
+    near = {
+        "title_before": Carry(_section_title(F.col("norm"), rules), 90, False),
+        "category_before": Carry(category, 120, False),
+        "category_near": Carry(category, 180),
+        "domain_near": Carry(offered, 80, False),
+        "_after": following(7, (F.col("norm") == "") | F.col("norm").rlike(rules.fold_stop), F.col("norm").rlike(rules.fold_skip), "norm"),
+    }
+    every = context(every, near, size=size)
+    section = F.when(F.col("norm").rlike(rules.marker), F.struct("title_before", F.col("category_before").alias("category")))
+    every = context(every, {"page": Total(F.regexp_count("line", F.lit("\f")).cast("long"), 1), "section": Carry(section)}, size=size)
     every = every.withColumn("record", bracket_code("line"))
     first = F.coalesce(norm_ws(F.col("record.rest")), F.col("norm"))
-    every = fold_forward(every.withColumn("fold_line", F.col("norm")), "folded", 7, (F.col("norm") == "") | F.col("norm").rlike(rules.fold_stop), F.col("norm").rlike(rules.fold_skip), rules.sentence_end, line="fold_line")
-    rows = every.filter("record IS NOT NULL")
+    rows = every.filter("record IS NOT NULL").withColumn("folded", folded("_after", rules.sentence_end, "norm"))
     # the fold starts with the whole line; the record's own text is what follows the code
     rows = rows.withColumn("statement", norm_ws(F.concat(first, F.expr("substring(folded, length(norm) + 1)"))))
     rows = rows.filter(~F.col("statement").rlike(rules.legend))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,20 @@ def read_texts(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
     return rows.select(F.col("_path").alias(id_col), F.col("value").alias("text"))
 
 
+def numbered_lines(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, line_no from 1, line) of text files, a file a document; the id is the file's name.
+
+    Files are split by bytes among tasks. Lines are numbered inside a split, and the splits' counts, a row a split, are summed over
+    the file. A line end of two characters counts as one; what follows the last line end is a line unless it is empty. The
+    files must not change between the two passes.
+    """
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_name").alias(id_col), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"), F.regexp_replace("value", r"\r\z", "").alias("line"))
+    before = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = rows.groupBy("_file", "_split").agg(F.count(F.lit(1)).alias("_n")).select("_file", "_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = rows.withColumn("_at", F.monotonically_increasing_id()).withColumn("_nth", F.row_number().over(Window.partitionBy("_file", "_split").orderBy("_at")))
+    return inside.join(splits, ["_file", "_split"]).select(id_col, (F.col("_before") + F.col("_nth")).alias("line_no"), "line")
+
+
 def read_collection(spark: SparkSession, path: str, record: T.StructType, multi_line: bool = True) -> DataFrame:
     """Records of JSON envelopes {profile, releaseId, recordType, recordCount, records}, with the envelope's fields: an envelope a file, or a line."""
     envelope = T.StructType([T.StructField("profile", T.StringType()), T.StructField("releaseId", T.StringType()), T.StructField("recordType", T.StringType()), T.StructField("recordCount", T.LongType()), T.StructField("records", T.ArrayType(record))])
