@@ -3,8 +3,8 @@
 A sketch takes, under one of ``BANDS`` hash orders, the ``KEPT`` least k-mers of a text (five words, labelled with their
 occurrence number, so that repeats count) and keeps them in text order; texts at a small edit distance often agree in it.
 Equal texts are one row throughout. In each bucket of texts with equal sketches members are compared with a few leaders,
-not with each other: the member that stands in the largest buckets (the original of a group of edited copies does) and two
-random ones. Then every two members of a bucket that are in different classes still are compared, so no pair that shares a
+not with each other: the member that stands in the largest buckets (the original of a group of edited copies does) and a
+random one. Then every two members of a bucket that are in different classes still are compared, so no pair that shares a
 sketch is left out: lengths and counts of words, which bound the edit similarity from above, decide most, alignments the rest.
 A pair is near if its edit similarity in words is 0.8 or more, found by an alignment of as many edits as that allows.
 """
@@ -26,7 +26,7 @@ BANDS, KEPT, SHINGLE, LEAST = 24, 3, 5, 0.8
 #: sketched by grams of two words, two a sketch.
 LEAST_SHORT, SHORT, SHORT_SHINGLE, SHORT_KEPT = 4, 40, 2, 2
 #: Random leaders of a bucket, beside the most famous member.
-LEADERS = 2
+LEADERS = 1
 #: Members of a bucket in one block, about, when what leaders left open is compared (two blocks are one group); bins of the counts of words.
 BLOCK, BINS = 1024, 256
 #: Stands for a diagonal that no alignment has come to.
