@@ -82,7 +82,8 @@ def test_side_by_side(spark):
 )
 def test_peel(spark, edges, left):
     df = spark.createDataFrame(edges, "src int, dst int")
-    assert {r["node"] for r in graph.peel(df).collect()} == left
+    for local in (0, 1000):
+        assert {r["node"] for r in graph.peel(df, local=local).collect()} == left
     assert graph.has_cycle(df) == bool(left)
 
 
@@ -263,32 +264,82 @@ def test_questions(spark):
     assert questions.facet_filter(df, f="y", t=None).count() == 1
 
 
-def test_peeling_long_chains_takes_few_tables(spark, monkeypatch):
-    names, write = [], graph.written
-    monkeypatch.setattr(graph, "written", lambda df, name: (names.append(name), write(df, name))[1])
-    chain = [(k, k + 1) for k in range(400)]
-    loop = [(1000, 1001), (1001, 1002), (1002, 1000), *[(k, k + 1) for k in range(1002, 1100)]]
-    joined = [(5, 2000), (6, 2000), (2000, 2001), (1050, 2002), (2001, 2002), (3000, 3000), (3000, 3001)]
-    got = sorted(r["node"] for r in graph.peel(spark.createDataFrame(chain + loop + joined, "src long, dst long")).collect())
-    assert got == [*range(1000, 1101), 2002, 3000, 3001]
-    assert len(names) < 60
-    assert not graph.has_cycle(spark.createDataFrame(chain, "src long, dst long")) and graph.peel(spark.createDataFrame([], "src long, dst long")).count() == 0
+def plain_components(edges):
+    after = {}
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+    reach = {}
+    for start in {x for e in edges for x in e}:
+        seen, going = set(), [start]
+        while going:
+            new = after.get(going.pop(), set()) - seen
+            seen |= new
+            going += new
+        reach[start] = seen
+    return {n: min(m for m in reach[n] if n in reach[m]) for n in reach if n in reach[n]}
 
 
-def test_random_graphs_are_peeled(spark):
+@pytest.mark.parametrize(("seed", "local"), [(1, 0), (2, 0), (2, 12), (3, 10**6)])
+def test_components_and_downstream_of_random_graphs(spark, seed, local):
     import random
 
-    for seed in (1, 3):
-        draw = random.Random(seed)
-        edges = {(draw.randrange(40), draw.randrange(40)) for _ in range(30 + 8 * seed)}
-        left = set(edges)
-        while True:
-            kept = {e for e in left if e[0] in {d for _, d in left}}
-            if kept == left:
-                break
-            left = kept
-        got = {r["node"] for r in graph.peel(spark.createDataFrame(sorted(edges), "src long, dst long")).collect()}
-        assert got == {n for e in left for n in e}
+    draw = random.Random(seed)
+    edges = [(draw.randrange(40), draw.randrange(40)) for _ in range(30 + 12 * seed)]
+    edges += edges[:5]
+    df = spark.createDataFrame([*edges, (None, 3), (4, None)], "a long, b long")
+    want = plain_components(edges)
+    got = graph.strong_components(df, "a", "b", local)
+    assert {r["node"]: r["component"] for r in got.collect()} == want and got.count() == len(want)
+    left = set(want)
+    while more := {b for a, b in edges if a in left} - left:
+        left |= more
+    assert {r["node"] for r in graph.peel(df, "a", "b", local).collect()} == left
+    for r in graph.cycle_witnesses(df, got, "a", "b").collect():
+        own = {n for n, c in want.items() if c == r["component"]}
+        assert r["nodes"] == len(own) and (r["from_node"], r["to_node"]) == min(e for e in edges if own >= set(e))
+
+
+def test_rounds_grow_with_the_logarithm_of_ladders(spark, monkeypatch):
+    """A ladder i -> i+1, i+2, a chain, and a loop with a long tail: without a loop, then with one."""
+    names, write = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: (names.append(name), write(df, name))[1])
+    counts = []
+    for n in (24, 120):
+        ladder = [(k, k + j) for k in range(n) for j in (1, 2)]
+        df = spark.createDataFrame(ladder, "src long, dst long")
+        names.clear()
+        assert graph.strong_components(df, local=0).isEmpty()
+        counts.append(len(names))
+    assert counts[1] < 3 * counts[0] < 400
+    names.clear()
+    loop = spark.createDataFrame([(1000, 1001), (1001, 1000), *[(k, k + 1) for k in range(1001, 1060)]], "src long, dst long")
+    assert graph.peel(loop, local=0).count() == 61 and len(names) < 150
+
+
+def test_strings_are_nodes_too(spark):
+    df = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("e", "e"), ("e", "a")], "src string, dst string")
+    for local in (0, 100):
+        assert bag(graph.strong_components(df, local=local), "node", "component") == [("a", "a"), ("b", "a"), ("c", "a"), ("e", "e")]
+
+
+def test_closure(spark):
+    chain = [(k, k + 1) for k in range(20)] + [(5, 30), (30, 31), (5, 6)]
+    after = {a: {b for x, b in chain if x == a} for a, _ in chain}
+    want = set()
+    for a in after:
+        going = [a]
+        while going:
+            for b in after.get(going.pop(), ()):
+                if (a, b) not in want:
+                    want.add((a, b))
+                    going.append(b)
+    df = spark.createDataFrame([*chain, (None, 1)], "src int, dst int")
+    assert set(map(tuple, graph.closure(df).collect())) == want
+    assert graph.closure(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="cycle"):
+        graph.closure(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src int, dst int"))
+    ends = relations.replacement_ends(spark.createDataFrame([(1, 2), (2, 3), (7, 8), (7, 1)], "old int, new int"))
+    assert bag(ends, "old", "new") == [(1, 3), (2, 3), (7, 3), (7, 8)]
 
 
 def test_shared_folder(spark):

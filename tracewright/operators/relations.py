@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.operators.graph import closure
+
 
 def require_match(df: DataFrame, dim: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
     """(rows with a match, rows without)."""
@@ -133,6 +135,12 @@ def apply_replacements(df: DataFrame, col: str, mapping: DataFrame) -> DataFrame
     return df.join(mapping.select(F.col("old").alias(col), "new"), col, "left").withColumn(col, F.coalesce("new", col)).drop("new")
 
 
+def replacement_ends(mapping: DataFrame) -> DataFrame:
+    """(old, new) of a mapping whose replacements may be replaced themselves: each old id with those that nothing replaces. A cycle is refused."""
+    led = closure(mapping, "old", "new").select(F.col("src").alias("old"), F.col("dst").alias("new"))
+    return led.join(mapping.select(F.col("old").alias("new")).distinct(), "new", "left_anti").select("old", "new")
+
+
 def in_force(rules: DataFrame, day: Column, start: str = "effective_from", end: str = "effective_to") -> DataFrame:
     return rules.filter((F.col(start) <= day) & (F.col(end).isNull() | (day <= F.col(end))))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.operators.graph import closure
+
 COLUMNS = ("s", "p", "o", "o_kind", "datatype", "lang")
 
 
@@ -33,8 +35,9 @@ def infer_domain_types(triples: DataFrame, domains: DataFrame) -> DataFrame:
 
 
 def infer_subclass(types: DataFrame, subclass: DataFrame) -> DataFrame:
-    """types (s, type) with those of the next class up (sub, super)."""
-    return types.union(types.join(subclass.select(F.col("sub").alias("type"), "super"), "type").select("s", F.col("super").alias("type"))).distinct()
+    """types (s, type) with those of all classes above (sub, super), however many levels; a class above itself is refused."""
+    above = closure(subclass, "sub", "super").select(F.col("src").alias("type"), F.col("dst").alias("super"))
+    return types.select("s", "type").union(types.join(above, "type").select("s", F.col("super").alias("type"))).distinct()
 
 
 def graph_counts(triples: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions import text as tx
-from tracewright.operators import entities, graph, keys, questions, relations, release, report, rules, sequence, triples
+from tracewright.operators import entities, graph, keys, questions, relations, release, report, rules, scans, sequence, triples
 from tracewright.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -447,15 +447,14 @@ def graph_peel_ok(spark: SparkSession, d: str) -> DataFrame:
     return graph.peel(tree).agg(F.count(F.lit(1)).alias("unpeeled")).join(F.broadcast(tree.agg(F.count(F.lit(1)).alias("edges"))))  # one row each
 
 
-@query(
-    """WITH RECURSIVE t AS (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+_DAYS = """WITH RECURSIVE t AS (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
 e AS (SELECT DISTINCT prev AS src, event_type AS dst FROM t WHERE prev IS NOT NULL AND prev < event_type UNION SELECT DISTINCT event_type, 'day-' || (user_id % 50)::VARCHAR FROM events WHERE event_type > 'p' UNION SELECT DISTINCT 'day-' || (user_id % 50)::VARCHAR, 'hour-' || hour(ts)::VARCHAR FROM events
   UNION SELECT DISTINCT 'hour-' || hour(ts)::VARCHAR, 'day-' || (user_id % 10)::VARCHAR FROM events WHERE user_id % 50 < 5),
-r AS (SELECT src AS start, dst AS node FROM e UNION SELECT r.start, e.dst FROM r JOIN e ON r.node = e.src), c AS (SELECT DISTINCT start FROM r WHERE start = node)
-SELECT start AS node FROM c UNION SELECT r.node FROM r JOIN c ON r.start = c.start"""
-)
-def graph_peel_cycle(spark: SparkSession, d: str) -> DataFrame:
-    """Steps between kinds of events lead upwards only; days and hours point at each other, so they and what follows them stay."""
+r AS (SELECT src AS start, dst AS node FROM e UNION SELECT r.start, e.dst FROM r JOIN e ON r.node = e.src)"""
+
+
+def _day_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Steps between kinds of events lead upwards only; days and hours point at each other."""
     from pyspark.sql import Window
 
     events = table(spark, d, "events")
@@ -465,7 +464,73 @@ def graph_peel_cycle(spark: SparkSession, d: str) -> DataFrame:
     edges = parts[0]
     for p in parts[1:]:
         edges = edges.union(p)
-    return graph.peel(edges.distinct())
+    return edges.distinct()
+
+
+@query(
+    _DAYS
+    + """, c AS (SELECT DISTINCT start FROM r WHERE start = node)
+SELECT start AS node FROM c UNION SELECT r.node FROM r JOIN c ON r.start = c.start"""
+)
+def graph_peel_cycle(spark: SparkSession, d: str) -> DataFrame:
+    """Days and hours, which point at each other, and what follows them stay."""
+    return graph.peel(_day_edges(spark, d))
+
+
+@query(_DAYS + " SELECT a.start AS node, min(a.node) AS component FROM r a JOIN r b ON a.start = b.node AND a.node = b.start GROUP BY 1")
+def graph_components(spark: SparkSession, d: str) -> DataFrame:
+    """All steps in Spark rounds: no edges are searched in one task."""
+    return graph.strong_components(_day_edges(spark, d), local=0)
+
+
+_HANDED = """WITH RECURSIVE e AS (SELECT DISTINCT c_nationkey * 7 + o_orderkey % 7 AS src, CASE WHEN o_orderkey % 11 = 0 THEN (c_nationkey // 3) * 7 + o_orderkey % 5 ELSE c_nationkey * 7 + o_orderkey % 7 + 1 + o_orderkey % 3 END AS dst FROM orders JOIN customer ON o_custkey = c_custkey),
+r AS (SELECT src AS start, dst AS node FROM e UNION SELECT r.start, e.dst FROM r JOIN e ON r.node = e.src), c AS (SELECT a.start AS node, min(a.node) AS component FROM r a JOIN r b ON a.start = b.node AND a.node = b.start GROUP BY 1)"""
+
+
+@query(_HANDED + " SELECT c.component, count(DISTINCT c.node) AS nodes, min((src, dst))[1] AS from_node, min((src, dst))[2] AS to_node FROM c JOIN e ON e.src = c.node JOIN c x ON e.dst = x.node AND x.component = c.component GROUP BY 1")
+def cycle_witnesses(spark: SparkSession, d: str) -> DataFrame:
+    """Steps mostly lead on by one to three numbers, a ladder; some lead back."""
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    key, nation = F.col("o_orderkey"), F.col("c_nationkey")
+    dst = F.when(key % 11 == 0, F.floor(nation / 3) * 7 + key % 5).otherwise(nation * 7 + key % 7 + 1 + key % 3)
+    edges = rows.select((nation * 7 + key % 7).cast("long").alias("src"), dst.cast("long").alias("dst")).distinct()
+    return graph.cycle_witnesses(edges, graph.strong_components(edges))
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT DISTINCT 'k' || k AS sub, 'k' || k // 2 AS super FROM (SELECT n_nationkey + 1 AS k FROM nation UNION SELECT (n_nationkey + 1) // 2 FROM nation) WHERE k > 1),
+r AS (SELECT sub, super FROM e UNION SELECT r.sub, e.super FROM r JOIN e ON r.super = e.sub), t AS (SELECT 'customer:' || c_custkey AS s, 'k' || (c_nationkey + 1) AS type FROM customer)
+SELECT s, type FROM t UNION SELECT s, super FROM t JOIN r ON type = sub"""
+)
+def subclass_closure(spark: SparkSession, d: str) -> DataFrame:
+    """Nations as a hierarchy of classes, five levels deep."""
+    k = F.col("n_nationkey") + 1
+    keys = table(spark, d, "nation").select(F.explode(F.array(k, F.floor(k / 2).cast("int"))).alias("k")).filter("k > 1").distinct()
+    name = lambda c: F.concat(F.lit("k"), c.cast("string"))
+    subclass = keys.select(name(F.col("k")).alias("sub"), name(F.floor(F.col("k") / 2)).alias("super"))
+    types = table(spark, d, "customer").select(F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("s"), name(F.col("c_nationkey") + 1).alias("type"))
+    return triples.infer_subclass(types, subclass)
+
+
+@query(
+    """WITH RECURSIVE m AS (SELECT p_partkey AS old, p_partkey + 1 + p_size % 2 AS new FROM part WHERE p_partkey % 13 < 9),
+r AS (SELECT old, new FROM m UNION SELECT r.old, m.new FROM r JOIN m ON r.new = m.old), f AS (SELECT old, new FROM r WHERE new NOT IN (SELECT old FROM m))
+SELECT l_orderkey, l_linenumber, coalesce(new, l_partkey) AS l_partkey FROM lineitem LEFT JOIN f ON l_partkey = old"""
+)
+def replacement_chains(spark: SparkSession, d: str) -> DataFrame:
+    """Parts are replaced by the next or the one after it, which may be replaced too."""
+    part = table(spark, d, "part").filter("p_partkey % 13 < 9")
+    mapping = relations.replacement_ends(part.select(F.col("p_partkey").alias("old"), (F.col("p_partkey") + 1 + F.col("p_size") % 2).alias("new")))
+    return relations.apply_replacements(table(spark, d, "lineitem"), "l_partkey", mapping).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT o_orderkey, (10 + sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) OVER (ORDER BY o_orderkey))::BIGINT AS urgent, last_value(CASE WHEN o_totalprice > 300000 THEN o_custkey END IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_large, last_value(CASE WHEN o_orderstatus = 'P' THEN o_custkey END IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS BETWEEN 25 PRECEDING AND CURRENT ROW) AS near_open FROM orders")
+def one_long_document(spark: SparkSession, d: str) -> DataFrame:
+    """All orders as the lines of one document, scanned in blocks of 512."""
+    rows = table(spark, d, "orders").withColumn("document", F.lit("orders"))
+    pick = lambda cond: F.when(cond, F.col("o_custkey"))
+    wanted = {"urgent": scans.Total((F.col("o_orderpriority") == "1-URGENT").cast("long"), 10), "last_large": scans.Carry(pick(F.col("o_totalprice") > 300000), None, False), "near_open": scans.Carry(pick(F.col("o_orderstatus") == "P"), 25)}
+    return scans.context(rows, wanted, "document", "o_orderkey", 512).select("o_orderkey", *wanted)
 
 
 @query(
