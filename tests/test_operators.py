@@ -342,6 +342,80 @@ def test_closure(spark):
     assert bag(ends, "old", "new") == [(1, 3), (2, 3), (7, 3), (7, 8)]
 
 
+def plain_match(rows, patterns):
+    found = [{}]
+    for pattern in patterns:
+        now = []
+        for known in found:
+            for row in rows:
+                new = dict(known)
+                if all(new.setdefault(x, v) == v if x.startswith("?") else x == v for x, v in zip(pattern, row, strict=True)):
+                    now.append(new)
+        found = now
+    return sorted(tuple(sorted(f.items())) for f in found)
+
+
+@pytest.mark.parametrize("most", [1, 2, 256])
+def test_star_patterns_keep_bags(spark, most):
+    import random
+
+    draw = random.Random(most)
+    rows = [(draw.choice("abcd"), draw.choice("pqrt"), draw.choice("abcdxy")) for _ in range(60)]
+    df = spark.createDataFrame(rows, "s string, p string, o string")
+    for patterns in (
+        [("?s", "p", "?x"), ("?s", "q", "?y"), ("?s", "r", "x")],
+        [("?s", "p", "?x"), ("?s", "p", "?y"), ("?s", "q", "?s")],
+        [("?s", "p", "?x"), ("?x", "q", "?y"), ("?x", "r", "?y"), ("?y", "t", "?s")],
+        [("?s", "?any", "?x"), ("?s", "t", "?x"), ("?s", "r", "?x")],
+        [("a", "p", "?x"), ("?x", "q", "?y")],
+        [("?x", "p", "?x")],
+    ):
+        got = triples.match(df, *patterns, most=most)
+        assert got.columns == list(dict.fromkeys(x[1:] for t in patterns for x in t if x.startswith("?")))
+        assert sorted(tuple(sorted((f"?{k}", v) for k, v in r.asDict().items())) for r in got.collect()) == plain_match(rows, patterns)
+    with pytest.raises(ValueError, match="no variable"):
+        triples.match(df, ("?a", "p", "?b"), ("?c", "q", "?d"))
+
+
+def test_a_star_of_five_patterns_is_one_exchange(spark):
+    df = spark.createDataFrame([("a", p, "1") for p in "pqrtu"], "s string, p string, o string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = triples.match(df, *[("?s", p, f"?{p}") for p in "pqrtu"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_first_rows_need_one_exchange(spark):
+    df = spark.createDataFrame([(k % 3, -k, k % 5) for k in range(40)] + [(1, None, 9), (None, 1, 1)], "k int, at int, v int")
+    first = keys.dedup_first(df, ["k"], [F.col("at")], {"v": "vs"})
+    assert bag(first, "k", "at", "v", "vs", "repeats") == [(0, -39, 4, [0, 1, 2, 3, 4], 13), (1, None, 9, [0, 1, 2, 3, 4, 9], 13), (2, -38, 3, [0, 1, 2, 3, 4], 12)]
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+    rows, kept = [tuple(r) for r in df.collect()], {0: 4, 1: 9, 2: 3, None: 1}
+    want = sorted(((*r, kept[r[0]]) for r in rows if r[2] != kept[r[0]]), key=str)
+    assert bag(keys.dedup_conflicts(df, ["k"], [F.col("at")], "v")) == want
+
+
+def test_hash_trees(spark, tmp_path):
+    rows = [(k, f"v{k}") for k in range(3000)]
+    new = [(k, "changed" if k == 77 else v) for k, v in rows if k != 1500] + [(9000, "more"), (5, "v5")]
+    a, b = (spark.createDataFrame(r, "k long, v string") for r in (rows, new))
+    for name, df in (("a", a), ("b", b.repartition(3))):
+        release.write_hashed(df, ["k"], str(tmp_path / name), bits=7, step=3)
+    stored, tree = release.read_hashed(spark, str(tmp_path / "a"))
+    assert stored.count() == 3000 and tree.filter("level = 0").select("n").first()["n"] == 3000 and tree.filter("level = 3").agg({"n": "sum"}).first()[0] == 3000
+    _, other = release.read_hashed(spark, str(tmp_path / "b"))
+    at = {r["k"]: r["leaf"] for r in a.union(b).select("k", release.leaf_of(["k"], 7).alias("leaf")).collect()}
+    got = {r["node"] for r in release.changed_ranges(tree, other, 7, 3).collect()}
+    assert got == {at[k] for k in (77, 1500, 9000, 5)} and release.changed_ranges(tree, tree, 7, 3).count() == 0
+    found, files_read = release.changed_rows(spark, str(tmp_path / "a"), str(tmp_path / "b"), 7, 3)
+    assert bag(found, "side", "k", "v") == [("new", 5, "v5"), ("new", 77, "changed"), ("new", 9000, "more"), ("stored", 1500, "v1500"), ("stored", 77, "v77")]
+    assert files_read <= 2 * len(got) < len(stored.inputFiles()) / 4
+    assert release.changed_rows(spark, str(tmp_path / "a"), str(tmp_path / "a"), 7, 3)[1] == 0
+
+
 def test_shared_folder(spark):
     import pytest
 

@@ -1,6 +1,8 @@
 import hashlib
 import json
 
+import pytest
+
 from pyspark.sql import types as T
 
 from tracewright.operators import entities
@@ -38,6 +40,37 @@ def test_release(spark, tmp_path):
     assert files.forbid_dataset(spark, str(tmp_path / "gone")) and not files.forbid_dataset(spark, str(tmp_path / "u"))
 
 
+def test_a_killed_publication_leaves_the_old_release_whole(spark, tmp_path):
+    root, made = str(tmp_path / "root"), []
+
+    def built(n, fail=False):
+        def broken(batches):
+            raise RuntimeError("killed")
+            yield from batches
+
+        first, second = spark.range(n), spark.range(2 * n)
+        return {"a": first, "b": second.mapInPandas(broken, "id long") if fail else second}
+
+    assert files.current_release(spark, root) is None
+    manifest = files.publish_release(built(3), "r1", root)
+    assert sorted((r["release_id"], r["dataset"], r["n"]) for r in manifest.collect()) == [("r1", "a", 3), ("r1", "b", 6)]
+    with pytest.raises(Exception, match="killed"):
+        files.publish_release(built(50, fail=True), "r2", root)
+    old = files.read_release(spark, root, ["a", "b"])
+    assert files.current_release(spark, root) == "r1" and (old["a"].count(), old["b"].count()) == (3, 6)
+    # the call is repeated: the table that was whole isn't written again
+    made = sorted(p.name for p in (tmp_path / "root/staging/r2/a").iterdir())
+    files.publish_release(built(50), "r2", root)
+    assert sorted(p.name for p in (tmp_path / "root/releases/r2/a").iterdir()) == made
+    now = files.read_release(spark, root, ["a", "b"])
+    assert files.current_release(spark, root) == "r2" and (now["a"].count(), now["b"].count()) == (50, 100)
+    assert old["b"].count() == 6 and files.read_release(spark, root, ["a"], "r1")["a"].count() == 3
+    with pytest.raises(FileExistsError):
+        files.publish_release(built(1), "r2", root)
+    files.make_current(spark, root, "r1")
+    assert files.current_release(spark, root) == "r1"
+
+
 def test_texts(spark, tmp_path):
     (tmp_path / "a.txt").write_text("one\ntwo")
     assert [tuple(r) for r in files.read_texts(spark, str(tmp_path)).collect()] == [("a.txt", "one\ntwo")]

@@ -17,16 +17,31 @@ def collect_ids(df: DataFrame, keys: list[str], value: str, out: str) -> DataFra
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[Column], merge: dict[str, str] | None = None, repeats: str = "repeats") -> DataFrame:
-    """The first row of each key, with sorted distinct values of other columns merged in (column -> name) and the number of rows folded."""
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rank = 1").drop("_rank")
-    folded = df.groupBy(*keys).agg(*[F.array_sort(F.collect_set(c)).alias(name) for c, name in (merge or {}).items()], (F.count(F.lit(1)) - 1).alias(repeats))
-    return ranked.join(folded, keys)
+    """The first row of each key, with sorted distinct values of other columns merged in (column -> name) and the number of rows folded.
+
+    One aggregation: the first row by order is a state that partial states merge into, so a key with most rows is folded before
+    it is shuffled. Null keys are dropped; nulls in the order come first.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
+    rows = df.filter(~F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x))
+    folded = rows.groupBy(*keys).agg(first, *[F.array_sort(F.collect_set(c)).alias(name) for c, name in (merge or {}).items()], (F.count(F.lit(1)) - 1).alias(repeats))
+    return folded.select(*keys, *[F.col("_first")[c].alias(c) for c in rest], *(merge or {}).values(), repeats)
 
 
 def dedup_conflicts(df: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
-    """Rows whose value differs from that of the row their key keeps, with the kept value."""
-    kept = F.first(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn("kept_value", kept).filter(~F.col(value).eqNullSafe(F.col("kept_value")))
+    """Rows whose value differs from that of the row their key keeps, with the kept value.
+
+    What a key keeps is aggregated first, a row a key, and joined back; a key with many rows meets one row there, so its rows
+    can be split among tasks. Null keys are keys like others.
+    """
+    names = [f"_k{n}" for n in range(len(keys))]
+    kept = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.min_by(F.struct(F.col(value)), F.struct(*order)).alias("_kept"))
+    same = F.lit(True)
+    for k, n in zip(keys, names, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    both = df.join(kept, same).withColumn("kept_value", F.col("_kept")[value])
+    return both.filter(~F.col(value).eqNullSafe(F.col("kept_value"))).select(*df.columns, "kept_value")
 
 
 def priority_dedup(edges: DataFrame, keys: list[str], rank: Column, order: list[Column]) -> DataFrame:

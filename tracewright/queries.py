@@ -738,6 +738,13 @@ def triple_pattern(spark: SparkSession, d: str) -> DataFrame:
     return found.select("customer", "nation", "region")
 
 
+@query("SELECT 'customer:' || c_custkey AS customer, c_name AS name, c_mktsegment AS segment, 'nation:' || c_nationkey AS n, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def star_pattern(spark: SparkSession, d: str) -> DataFrame:
+    """Four patterns of a customer are one star, two of its nation another."""
+    of = "?customer"
+    return triples.match(_triples(spark, d), (of, "type", "Customer"), (of, "label", "?name"), (of, "segment", "?segment"), (of, "inNation", "?n"), ("?n", "type", "Nation"), ("?n", "label", "?nation"))
+
+
 @query(_TRIPLES + "SELECT DISTINCT s, CASE p WHEN 'inNation' THEN 'Resident' WHEN 'inRegion' THEN 'Country' END AS type FROM t WHERE p IN ('inNation', 'inRegion') UNION SELECT s, 'Place' FROM t WHERE p = 'inRegion'")
 def domain_inference(spark: SparkSession, d: str) -> DataFrame:
     domains = spark.createDataFrame([("inNation", "Resident"), ("inRegion", "Country")], "p string, domain string")

@@ -222,3 +222,59 @@ def compared_rows(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part").select("p_partkey", "p_brand", "p_name", "p_size", "p_type")
     low, high = part.agg(F.min("p_partkey"), F.max("p_partkey")).first()
     return relations.compare_rows(part, "p_partkey", low, high)
+
+
+_EDITED = """
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders),
+b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 997 = 3 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 1201 <> 5 UNION ALL SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 1999 = 7)
+"""
+
+
+def _edited_orders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Two releases of the orders: a few rows are changed, lost and added."""
+    a, key = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), F.col("o_orderkey")
+    b = a.filter(key % 1201 != 5).withColumn("o_orderstatus", F.when(key % 997 == 3, "X").otherwise(F.col("o_orderstatus")))
+    return a, b.union(a.filter(key % 1999 == 7).withColumn("o_orderkey", -1 - key))
+
+
+def _stored_orders(spark: SparkSession, d: str) -> list[str]:
+    paths = []
+    for df in _edited_orders(spark, d):
+        paths.append(_place(spark, "hashed"))
+        release.write_hashed(df, ["o_orderkey"], paths[-1], bits=6, step=2)
+    return paths
+
+
+_LEAF = "('0x' || substr(md5(o_orderkey::VARCHAR), 1, 15))::BIGINT >> 54"
+_ROW = "o_orderkey::VARCHAR || '|' || o_custkey::VARCHAR || '|' || o_orderstatus || '|' || o_orderpriority"
+
+
+@query(
+    _EDITED
+    + f""", x AS (SELECT {_LEAF} AS node, string_agg(r, chr(10) ORDER BY r) AS rows FROM (SELECT *, {_ROW} AS r FROM a) GROUP BY 1), y AS (SELECT {_LEAF} AS node, string_agg(r, chr(10) ORDER BY r) AS rows FROM (SELECT *, {_ROW} AS r FROM b) GROUP BY 1)
+SELECT coalesce(x.node, y.node)::BIGINT AS node, CASE WHEN y.node IS NULL THEN 'lost' WHEN x.node IS NULL THEN 'added' ELSE 'changed' END AS change FROM x FULL JOIN y ON x.node = y.node WHERE x.rows IS DISTINCT FROM y.rows"""
+)
+def changed_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """The ranges of key hashes in which two stored releases differ, from their hash trees alone."""
+    before, now = (release.read_hashed(spark, p)[1] for p in _stored_orders(spark, d))
+    return release.changed_ranges(before, now, bits=6, step=2)
+
+
+@query(_EDITED + "SELECT 'new' AS side, * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) UNION ALL SELECT 'stored', * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)")
+def changed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that only one of two stored releases has; only files of ranges that differ are read."""
+    return release.changed_rows(spark, *_stored_orders(spark, d), bits=6, step=2)[0]
+
+
+@query("SELECT 'second' AS current, 'nation' AS dataset, count(*) AS n FROM nation WHERE n_nationkey <> 3 UNION ALL SELECT 'second', 'supplier', count(*) FROM supplier WHERE s_nationkey <> 3 UNION ALL SELECT 'first', 'nation', count(*) FROM nation UNION ALL SELECT 'first', 'supplier', count(*) FROM supplier")
+def published_releases(spark: SparkSession, d: str) -> DataFrame:
+    """A release, and a second one that becomes the current one; both stay readable."""
+    root, nation, supplier = _place(spark, "published"), table(spark, d, "nation"), table(spark, d, "supplier")
+    files.publish_release({"nation": nation, "supplier": supplier}, "first", root)
+    files.publish_release({"nation": nation.filter("n_nationkey <> 3"), "supplier": supplier.filter("s_nationkey <> 3")}, "second", root)
+    out = None
+    for name in (None, "first"):
+        for dataset, df in files.read_release(spark, root, ["nation", "supplier"], name).items():
+            part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name or files.current_release(spark, root)).alias("current"), F.lit(dataset).alias("dataset"), "n")
+            out = part if out is None else out.union(part)
+    return out

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracewright.operators.release import manifest
+
 
 def read_texts(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, text): a row a file; the id is the file's name."""
@@ -123,6 +125,69 @@ def write_release(tables: dict[str, DataFrame], release_id: str, path: str, prof
     return out
 
 
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop's file system of a path, function from a path below it to Hadoop's path)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), lambda *below: hadoop.Path("/".join([path.rstrip("/"), *below]))
+
+
+def publish_release(tables: dict[str, DataFrame], release_id: str, root: str) -> DataFrame:
+    """Writes a release beside the earlier ones and makes it the current one, all or nothing; returns its manifest.
+
+    Tables go to root/staging/<id>; one that is whole there already (an earlier call was interrupted) isn't written again. The
+    manifest (release_id, dataset, n, hash_xor, hash_sum) is counted from what was written. Then the folder is renamed to
+    root/releases/<id>, and last the pointer root/CURRENT is replaced by a rename, so a reader sees the release before or
+    this one, never a mix. A release that exists is not overwritten. Tables must be made alike at every call.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    fs, at = _folder(spark, root)
+    if fs.exists(at("releases", release_id)):
+        raise FileExistsError(f"release {release_id} is published already")
+    staged = at("staging", release_id).toString()
+    for name, df in tables.items():
+        if not fs.exists(at("staging", release_id, name, "_SUCCESS")):
+            df.write.mode("overwrite").parquet(f"{staged}/{name}")
+    found = manifest({name: spark.read.schema(df.schema).parquet(f"{staged}/{name}").select(df.columns) for name, df in tables.items()})
+    found.withColumn("release_id", F.lit(release_id)).coalesce(1).write.mode("overwrite").json(f"{staged}/_manifest")
+    fs.mkdirs(at("releases"))
+    if not fs.rename(at("staging", release_id), at("releases", release_id)):
+        raise OSError(f"{staged} could not be renamed")
+    make_current(spark, root, release_id)
+    return release_manifest(spark, root, release_id)
+
+
+def make_current(spark: SparkSession, root: str, release_id: str) -> None:
+    """Points root/CURRENT to a published release: a new file replaces the old one by one rename."""
+    fs, at = _folder(spark, root)
+    if not fs.exists(at("releases", release_id)):
+        raise FileNotFoundError(f"no release {release_id}")
+    new = at(f"CURRENT-{release_id}")
+    out = fs.create(new, True)
+    out.write(bytearray(release_id.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context.rename(fs.makeQualified(new), fs.makeQualified(at("CURRENT")), how)
+
+
+def current_release(spark: SparkSession, root: str) -> str | None:
+    fs, at = _folder(spark, root)
+    return spark.read.text(at("CURRENT").toString()).first()["value"] if fs.exists(at("CURRENT")) else None
+
+
+def release_manifest(spark: SparkSession, root: str, release_id: str | None = None) -> DataFrame:
+    at = f"{root.rstrip('/')}/releases/{release_id or current_release(spark, root)}/_manifest"
+    return spark.read.schema("release_id string, dataset string, n long, hash_xor long, hash_sum string").json(at)
+
+
+def read_release(spark: SparkSession, root: str, names: list[str], release_id: str | None = None) -> dict[str, DataFrame]:
+    """Tables of a release, the current one unless another is named; they stay that release's, whatever is published meanwhile."""
+    at = f"{root.rstrip('/')}/releases/{release_id or current_release(spark, root)}"
+    return {name: spark.read.parquet(f"{at}/{name}") for name in names}
+
+
 def forbid_dataset(spark: SparkSession, path: str) -> bool:
     """Whether a data set is absent or empty."""
     from pyspark.errors import AnalysisException
