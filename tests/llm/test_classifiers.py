@@ -112,6 +112,17 @@ def test_matches_against_a_naive_matcher():
         assert np.allclose(lexicon.measures(text), naive_measures(lexicon, text)), text
 
 
+def test_long_texts_of_matches_and_exceptions_take_little_time():
+    import time
+
+    lexicon = toxicity.Lexicon({" bad ": 1.0, " awf": 2.0}, ("not bad", "awful quiet night"))
+    part = "not bad and awful stuff, bad things, awful quiet night. "
+    want = lexicon.measures(part)
+    began = time.perf_counter()
+    got = lexicon.measures(part * 20_000)
+    assert time.perf_counter() - began < 10 and abs(got[0] - want[0]) < 1e-9
+
+
 def test_exceptions_are_learned(spark, frame):
     rows = [(k, f"{'you idiot' if k % 3 == 0 else 'the trash heap'} number {k}") for k in range(120)]
     labels = spark.createDataFrame([(k, 0, int(k % 3 == 0)) for k in range(120)], "doc_id long, quality int, toxic int")

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -118,7 +120,11 @@ class Lexicon:
                 spared.append((start, end))
             elif weight > hits.get(start, (0.0, ""))[0]:
                 hits[start] = weight, folded[start : folded.index(" ", start + 1)]
-        total = sum(w for w, _ in sorted({x for s, x in hits.items() if not any(a <= s < b for a, b in spared)}))
+        # a hit is spared if an exception phrase begins at or before it and ends after it: of those that begin so, the farthest end decides
+        spared.sort()
+        begins, farthest = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+        open_ = lambda s: not (k := bisect_right(begins, s)) or farthest[k - 1] <= s
+        total = sum(w for w, _ in sorted({x for s, x in hits.items() if open_(s)}))
         words = folded.count(" ") - 1
         return float(np.log1p(total)), float(np.log1p(100 * total / (words + 20)))
 
