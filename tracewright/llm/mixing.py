@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tracewright.llm.common import WORD, id_key, shown_id, text_or_empty, written
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
+#: Bins of quality for each factor of e, about 60 in all: how far ranges of keys may differ in their number of documents.
+QUALITY_BINS = 20
 #: Documents of a source in one range of keys, about; and the number of sources up to which their table is broadcast.
 RANGE_ROWS, SOURCES = 2_000, 100_000
 
@@ -43,13 +45,24 @@ def targets(sources: DataFrame, share: float = SHARE, most: float = MOST, weight
     return rows.withColumn("target", F.least(F.col("limit"), F.max("level").over(all_rows) * F.col("weight"))).drop("level", "limit", "weight")
 
 
+def key_range(ranges: Column) -> Column:
+    """Which of ``ranges`` ranges of about as many documents a ``key`` is in, by the ``rates`` (m, rate) of its source's ``n`` documents.
+
+    A document of quality q has a key below k with probability 1 - exp(-q * k); in a source that is the mean over its bins of like
+    quality, and the ranges are equal parts of that probability. It grows with the key, so ranges are in the order of keys.
+    """
+    above = F.aggregate("rates", F.lit(0.0), lambda sum_, r: sum_ + r["m"] * F.exp(-F.col("key") * r["rate"])) / F.col("n")
+    return F.greatest(F.lit(0), F.least(ranges - 1, F.floor(ranges * (1 - above))))
+
+
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, share: float = SHARE, most: float = MOST, whole: bool = False) -> DataFrame:
     """Per row: id, size, source_size, target (of its source) and taken: the words that the mix takes of it, epochs counted.
 
     The document at which a source's target is reached gives only its first words, so a source's taken words are its target
     to the word. With whole, it is taken whole or not at all, whichever comes nearer to the target; ``copies`` says how often the
     mix has a document: once an epoch, and once more if the fractional selection takes any of it. Sizes are numbers of words; a null text has none; null sources are one source, the last; a null id stays null;
-    ties of keys go by id and text; repeated rows are documents of their own; reruns agree; an empty table gives none.
+    ties of keys go by id and text; repeated rows are documents of their own; reruns agree; an empty table gives none. A very long
+    text is a document like others, which a source may spend its whole rest on; columns of other names than the three are ignored.
     """
     text = text_or_empty(text_col)
     rows = df.select(
@@ -61,13 +74,13 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     drawn = (F.shiftrightunsigned(F.xxhash64("dk", "tie", F.lit(seed)), 11).cast("double") + 0.5) / 2.0**53
     rows = written(rows.withColumn("key", -F.log(drawn) / F.col("quality")), "sizes")
-    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"), F.avg("quality").alias("rate")), share, most)
-    sources = written(sources, "sources")
+    bins = rows.groupBy("source", F.floor(-F.log("quality") * QUALITY_BINS).alias("bin")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("m"), F.avg("quality").alias("rate"))
+    sources = bins.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum("m").alias("n"), F.array_sort(F.collect_list(F.struct("m", "rate"))).alias("rates"))
+    sources = written(targets(sources, share, most), "sources")
     few = sources.count() <= SOURCES
     known = sources.withColumnRenamed("source", "its_source")
     rows = rows.join(F.broadcast(known) if few else known, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
-    ranges = F.ceil(F.col("n") / RANGE_ROWS)
-    part = F.least(ranges - 1, F.floor(ranges * (1 - F.exp(-F.col("key") * F.col("rate")))))
+    part = key_range(F.ceil(F.col("n") / RANGE_ROWS))
     rows = rows.withColumn("name", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull()).withColumn("part", part)
     sums = rows.groupBy("none", "name", "part").agg(F.sum("size").alias("in_part"))
     before = sums.withColumn("before", F.sum("in_part").over(Window.partitionBy("none", "name").orderBy("part")) - F.col("in_part")).drop("in_part")
