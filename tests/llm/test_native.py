@@ -1,6 +1,7 @@
 """Fingerprints, mixing and licence scans: the operators that are DataFrame functions only."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -109,6 +110,38 @@ def test_mixed_documents_are_rows_of_the_table(frame):
     assert words == sum(r["taken"] for r in mixing.mixed(df, whole=True).collect())
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_documents_that_the_mix_takes(frame, odd_rows, monkeypatch, whole):
+    """A plain Efraimidis-Spirakis selection: by key within a source until the rest of the target is spent."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    rows = [(k, ("word " if k % 3 else "# $ % ") * (k % 13), f"s{k % 4}") for k in range(300)] + [(i, t, "odd") for i, t in odd_rows]
+    df = frame(rows)
+    got = mixing.mixed(df, whole=whole).join(df.selectExpr("doc_id", "xxhash64(coalesce(text, ''), 17) AS tie", "source", "text").distinct(), ["doc_id", "tie"]).distinct().collect()
+    text = F.coalesce("text", F.lit(""))
+    drawn = (F.shiftrightunsigned(F.xxhash64("doc_id", F.xxhash64(text, F.lit(17)), F.lit(17)), 11).cast("double") + 0.5) / 2.0**53
+    key_of = {(r[0], r[1]): r[2] for r in df.filter("doc_id IS NOT NULL").select("doc_id", "text", (-F.log(drawn) / mixing.quality_weight(text)).alias("key")).collect()}
+    for source in ("s0", "s1", "s2", "s3"):
+        own = sorted((r for r in got if r["source"] == source), key=lambda r: key_of[r["doc_id"], r["text"]])
+        size = sum(r["size"] for r in own)
+        epochs = int(own[0]["target"] // size)
+        rest = round(own[0]["target"] - epochs * size)
+        for r in own:
+            some = (r["size"] if 2 * rest >= r["size"] else 0) if whole and rest > 0 else max(0, min(r["size"], rest))
+            assert r["taken"] == epochs * r["size"] + some
+            rest -= r["size"]
+
+
+def test_ranges_of_keys_are_even(spark):
+    """Half prose and half texts of symbols, whose keys are ten times as far apart."""
+    n, ranges = 60_000, 40
+    df = spark.range(n).withColumn("quality", F.when(F.col("id") % 2 == 0, F.lit(0.95)).otherwise(F.lit(0.1))).withColumn("key", -F.log((F.xxhash64("id").bitwiseAND(F.lit(2**40 - 1)) + 0.5) / 2.0**40) / F.col("quality"))
+    rates = F.array(*[F.struct(F.lit(n // 2).alias("m"), F.lit(q).alias("rate")) for q in (0.95, 0.1)])
+    parts = df.withColumn("rates", rates).withColumn("n", F.lit(n)).withColumn("part", mixing.key_range(F.lit(ranges)))
+    got = sorted(parts.groupBy("part").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("a"), F.max("key").alias("z")).collect())
+    assert len(got) == ranges and max(r["c"] for r in got) <= 1.2 * n / ranges
+    assert all(x["z"] <= y["a"] for x, y in zip(got, got[1:], strict=False))
+
+
 def test_heavier_documents_come_first_more_often(spark):
     rows = [(k, ("plain words here " if k % 2 else "## $$ %% ^^ ") * 10, "a") for k in range(2000)] + [(9000 + k, "filler " * 30, "b") for k in range(500)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -117,12 +150,17 @@ def test_heavier_documents_come_first_more_often(spark):
     assert share(1) > 1.5 * share(0)
 
 
-def brute_license(text, least=licenses.LEAST):
+def brute_hits(text, least=licenses.LEAST):
     grams = [licenses.bigrams(t) for _, t in licenses.TEMPLATES]
     text, hits = text or "", []
     for unit in dict.fromkeys([*text.split("\n"), *re.split(r"\n[\x20\t\r]*\n", text), text]):
         b = licenses.bigrams(unit)
         hits += [(2 * len(b & g) / (len(b) + len(g)), -k) for k, g in enumerate(grams) if b and 2 * len(b & g) / (len(b) + len(g)) >= least]
+    return hits
+
+
+def brute_license(text):
+    hits = brute_hits(text)
     best = max(hits, default=None)
     return (licenses.TEMPLATES[-best[1]][0], best[0], len(hits)) if best else (None, 0.0, 0)
 
@@ -150,18 +188,33 @@ def test_notices_inside_other_text(frame):
         texts.append(wrap([*noise(k, 60).split(), *words, *noise(k, 60).split()], 9, "# "))
         changed = [*words[: len(words) // 2], *(["new"] if len(words) > 15 else []), *words[len(words) // 2 :]]
         texts.append(wrap([*noise(k, 60).split(), *changed, *noise(k, 60).split()], 7, " * "))
+    # a line that matches doesn't hide a notice of another licence inside a longer one
+    texts.append(f"Released under the MIT License.\n{noise(9, 20)} {licenses.TEMPLATES[0][1]} {noise(9, 20)}")
     rows = [(i, t) for i, t in enumerate(texts)]
     got = {r["doc_id"]: r for r in licenses.license_scan(frame(rows), runs=True).collect()}
     runs = 0
     for i, t in rows:
-        if brute_license(t)[0] is not None:
-            continue  # a line of its own matches
-        found = brute_runs(t)
-        best = max(((d, -k) for k, d in found.items()), default=(0.0, None))
-        want = (licenses.TEMPLATES[-best[1]][0], -best[1]) if found else (None, None)
-        assert (got[i]["license"], got[i]["template"]) == want and abs(got[i]["dice"] - best[0]) < 1e-12 and got[i]["n_matches"] == len(found)
+        hits = brute_hits(t)
+        found = [(d, -k) for k, d in brute_runs(t).items() if -k not in {h[1] for h in hits}]
+        best = max([*hits, *found], default=(0.0, None))
+        want = (licenses.TEMPLATES[-best[1]][0], -best[1]) if best[1] is not None else (None, None)
+        assert (got[i]["license"], got[i]["template"]) == want and abs(got[i]["dice"] - best[0]) < 1e-12 and got[i]["n_matches"] == len(hits) + len(found)
         runs += bool(found)
     assert runs >= 55 and got[0]["license"] == "proprietary" and got[1]["license"] == "MIT" and got[2]["license"] is None
+    assert got[len(texts) - 1]["n_matches"] >= 2
+
+
+def test_runs_in_long_texts_are_found_in_time(frame):
+    """Bigrams of templates that stand alone and a notice in the middle: a run is only tried where enough of them are near each other."""
+    import time
+
+    draw = random.Random(4)
+    words = [w for _, t in licenses.TEMPLATES for w in licenses.re.findall(r"[^\W_]+", t)]
+    mixed = lambda n: " ".join(f"{(k := draw.randrange(len(words) - 1)) and words[k]} {words[k + 1]} x{draw.randrange(10**6)} y{draw.randrange(10**6)} z" for _ in range(n))
+    text = f"{mixed(4000)} {licenses.TEMPLATES[5][1]} {mixed(4000)}"
+    began = time.perf_counter()
+    got = licenses.license_scan(frame([(1, text)]), runs=True).first()
+    assert got["license"] == "MIT" and got["template"] == 5 and time.perf_counter() - began < 60
 
 
 def test_license_scan_against_brute_force(frame, odd_rows):

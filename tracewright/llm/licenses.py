@@ -2,8 +2,8 @@
 
 Units of a text are its lines, its paragraphs and the whole. Two exact bounds spare most comparisons. A unit is compared
 only to templates whose number of bigrams allows the wanted coefficient at all. And a text is split only if it holds one
-of a few words, chosen so that no unit without them can share enough bigrams with any template. Where no unit matches, every
-run of words can be one (a notice inside a longer line, or wrapped inside a paragraph): the best run begins and ends with
+of a few words, chosen so that no unit without them can share enough bigrams with any template. For a template that no unit
+matches, every run of words can (a notice inside a longer line, or wrapped inside a paragraph): the best run begins and ends with
 bigrams of the template, so only those are tried, of templates enough of whose bigrams the text holds. Nothing is shuffled.
 """
 
@@ -176,8 +176,11 @@ def _in_runs(grams: Column, known: list[tuple[str, str]], least: float) -> Colum
         return F.when((last - first) * F.lit(reach) < size(t), 2.0 * F.size(F.array_intersect(run, t["grams"])) / (F.size(F.array_distinct(run)) + size(t))).otherwise(F.lit(0.0))
 
     def best(t: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(t["at"]) - t["need"])
-        return F.array_max(F.flatten(F.transform(starts, lambda i: F.transform(F.slice(t["at"], i + t["need"], F.size(t["at"])), lambda last: dice(t, F.get(t["at"], i), last)))))
+        # of the template's bigrams a run begins with one and holds as many as are needed within the size bound; its end is within it too
+        most = F.ceil(size(t) / F.lit(reach)).cast("int")
+        starts = F.filter(F.sequence(F.lit(0), F.size(t["at"]) - t["need"]), lambda i: F.get(t["at"], i + t["need"] - 1) - F.get(t["at"], i) <= most)
+        ends = lambda i: F.filter(F.slice(t["at"], i + t["need"], most + 1), lambda last: last - F.get(t["at"], i) <= most)
+        return F.array_max(F.transform(starts, lambda i: F.array_max(F.transform(ends(i), lambda last: dice(t, F.get(t["at"], i), last)))))
 
     return F.filter(F.transform(placed, lambda t: F.struct(best(t).alias("dice"), (-t["k"]).alias("k"))), lambda m: m["dice"] >= least)
 
@@ -187,10 +190,11 @@ def license_scan(
 ) -> DataFrame:
     """Per row: id, license (of the best template, null if none reaches ``least``), template (its number), dice and n_matches (pairs of a unit and a template that reach it).
 
-    Units are lines, paragraphs and the whole; with ``runs``, in a text where none of them reaches ``least``, all runs of words
-    too, of which the best counts for each template. At ties the first template counts. Text is lowered and split at all that isn't a letter or digit; equal units of a text
+    Units are lines, paragraphs and the whole; with ``runs``, for each template that none of them reaches, all runs of words too,
+    of which the best counts. At ties the first template counts. Text is lowered and split at all that isn't a letter or digit; equal units of a text
     count once. A null or empty text has no licence; a null id stays null; repeated rows give repeated results; an empty table
-    gives none; other columns are ignored.
+    gives none; other columns are ignored. Long texts are compared whole; runs are tried only where a template's bigrams stand
+    close enough to each other, so time grows with the text's length.
     """
     templates = TEMPLATES if templates is None else templates
     known = [(name, text) for name, text in templates if bigrams(text)]
@@ -223,9 +227,11 @@ def license_scan(
     )
     rows = rows.select(id_col, "text", F.flatten(matched).alias("matched"))
     if runs:
-        # only where no unit matches, the bigrams of the whole in their order; a text of one word has none
-        rows = rows.withColumn("words", F.when(F.size("matched") == 0, of_text(text))).withColumn("grams", F.when(F.size("words") > 1, in_order(F.col("words"))))
-        rows = rows.select(id_col, F.when(F.size("grams") > 0, _in_runs(F.col("grams"), known, least)).otherwise(F.col("matched")).alias("matched"))
+        # the bigrams of the whole in their order; a text of one word has none
+        rows = rows.withColumn("words", of_text(text)).withColumn("grams", F.when(F.size("words") > 1, in_order(F.col("words"))))
+        by_unit = F.coalesce("matched", F.array().cast("array<struct<dice:double,k:int>>"))
+        more = F.filter(_in_runs(F.col("grams"), known, least), lambda r: ~F.exists(by_unit, lambda m: m["k"] == r["k"]))
+        rows = rows.select(id_col, F.when(F.size("grams") > 0, F.concat(by_unit, more)).otherwise(F.col("matched")).alias("matched"))
     best = F.array_max("matched")
     names = F.array(*[F.lit(name) for name, _ in known])
     rows = rows.withColumn("best", best)

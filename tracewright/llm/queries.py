@@ -133,7 +133,15 @@ u AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(string_split(text,
 ')), [text])) AS x FROM d),
 uw AS (SELECT doc_id, {words.format("x")} AS w FROM u), p AS (SELECT doc_id, {grams} AS g FROM uw WHERE len(w) > 1),
 m AS (SELECT doc_id, k, name, 2.0::DOUBLE * len(list_intersect(p.g, t.g)) / (len(p.g) + len(t.g)) AS dice FROM p JOIN t ON len(p.g) BETWEEN {LEAST / (2 - LEAST) - 1e-9} * len(t.g) AND {(2 - LEAST) / LEAST + 1e-9} * len(t.g)),
-b AS (SELECT doc_id, k, name, dice, count(*) OVER (PARTITION BY doc_id) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, k) AS r FROM m WHERE dice >= {LEAST})
+units AS (SELECT * FROM m WHERE dice >= {LEAST}),
+pw AS (SELECT doc_id, {words.format("text")} AS w FROM d), pg AS (SELECT doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM pw WHERE len(w) > 1),
+pos AS (SELECT doc_id, unnest(g) AS x, generate_subscripts(g, 1) AS i FROM pg), tx AS (SELECT k, len(g) AS n, unnest(g) AS x FROM t),
+near AS (SELECT doc_id, k, n, i, x FROM pos JOIN tx USING (x)), ok AS (SELECT doc_id, k, n FROM near GROUP BY ALL HAVING count(DISTINCT x) >= n * {LEAST / (2 - LEAST)} - 1e-9),
+run AS (SELECT a.doc_id, a.k, a.n, a.i, z.i AS j FROM ok JOIN near a ON ok.doc_id = a.doc_id AND ok.k = a.k JOIN near z ON z.doc_id = a.doc_id AND z.k = a.k AND z.i >= a.i AND (z.i - a.i) * {LEAST / (2 - LEAST)} < a.n),
+rd AS (SELECT run.doc_id, run.k, list_distinct(pg.g[i:j]) AS r, t.g AS tg, t.name FROM run JOIN pg ON pg.doc_id = run.doc_id JOIN t ON t.k = run.k),
+best_run AS (SELECT doc_id, k, name, max(2.0::DOUBLE * len(list_intersect(r, tg)) / (len(r) + len(tg))) AS dice FROM rd GROUP BY 1, 2, 3),
+every AS (SELECT doc_id, k, name, dice FROM units UNION ALL SELECT doc_id, k, name, dice FROM best_run ANTI JOIN units USING (doc_id, k) WHERE dice >= {LEAST}),
+b AS (SELECT doc_id, k, name, dice, count(*) OVER (PARTITION BY doc_id) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, k) AS r FROM every)
 SELECT d.doc_id, name AS license, k::INT AS template, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n, 0)::BIGINT AS n_matches FROM d LEFT JOIN b ON d.doc_id = b.doc_id AND r = 1
 """
 
