@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewright.operators import entities, relations, release, report
+from tracewright.operators import entities, relations, release, report, sketches
 from tracewright.registry import query, table
 from tracewright.sources import files
 from tracewright.storage import shared_dir
@@ -266,6 +266,27 @@ def changed_rows(spark: SparkSession, d: str) -> DataFrame:
     return release.changed_rows(spark, *_stored_orders(spark, d), bits=6, step=2)[0]
 
 
+_EITHER = "SELECT 'new' AS side, * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) UNION ALL SELECT 'stored', * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)"
+
+
+@query(_EDITED + _EITHER)
+def sparse_difference(spark: SparkSession, d: str) -> DataFrame:
+    """Few rows differ: the table of cells shows which."""
+    before, now = _edited_orders(spark, d)
+    return sketches.sparse_difference(now, before)
+
+
+@query(
+    "WITH a AS (SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem), b AS (SELECT l_orderkey, CASE WHEN l_orderkey % 3 = 0 THEN l_partkey + 1 ELSE l_partkey END AS l_partkey, l_returnflag FROM lineitem WHERE l_linenumber < 6) " + _EITHER
+)
+def dense_difference(spark: SparkSession, d: str) -> DataFrame:
+    """A third of the rows differs, more than so small a table of cells can show: ranges of hashes are compared."""
+    rows = table(spark, d, "lineitem")
+    part = F.when(F.col("l_orderkey") % 3 == 0, F.col("l_partkey") + 1).otherwise(F.col("l_partkey"))
+    now = rows.filter("l_linenumber < 6").select("l_orderkey", part.alias("l_partkey"), "l_returnflag")
+    return sketches.sparse_difference(now, rows.select("l_orderkey", "l_partkey", "l_returnflag"), cells=64)
+
+
 @query("SELECT 'second' AS current, 'nation' AS dataset, count(*) AS n FROM nation WHERE n_nationkey <> 3 UNION ALL SELECT 'second', 'supplier', count(*) FROM supplier WHERE s_nationkey <> 3 UNION ALL SELECT 'first', 'nation', count(*) FROM nation UNION ALL SELECT 'first', 'supplier', count(*) FROM supplier")
 def published_releases(spark: SparkSession, d: str) -> DataFrame:
     """A release, and a second one that becomes the current one; both stay readable."""
