@@ -114,7 +114,7 @@ def without_repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str
     Per row: id, n_words, n_removed, kept_sha256 and, with keep_text, ``kept``. Words are runs of anything but ASCII white
     space; windows are judged on the input. A null text has no words; a null id comes before all others and stays null; rows
     with equal id and text count as one document, those with equal id and different texts are ordered by a hash of the text;
-    an empty table gives none; other columns are ignored.
+    an empty table gives none; very long texts are searched whole, their places being one row each; other columns are ignored.
     """
     docs = keyed(df, id_col, text_col)
     found = repeated_windows(docs, words_kind(length, GRAM), earlier_in_shard(length), spare_first=True)

@@ -131,7 +131,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_shingles (how many different ones
     the text has, estimated) and held_by_edited (the share of them that the edited text holds, estimated). A null text is empty; a null id
     comes first and stays null; rows of equal id follow each other by text; a single row follows itself; an empty table gives
-    none; other columns are ignored.
+    none; very long texts are shingled whole; other columns are ignored.
     """
     rows = df.select(id_key(id_col).alias("dk"), text_or_empty(text_col).alias("text"))
     rows = with_next(rows, "dk", ["text", "sketch"], prepare=lambda d: with_sketch(d, "text", "sketch", k))

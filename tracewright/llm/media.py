@@ -180,7 +180,8 @@ def media_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of df: id_col, sizes and digests of what was stored and read back, and the image's hash.
 
     With keep_media the PNG itself follows as a binary column ``media``. A null text is an empty payload (64 zero bytes);
-    a null id stays null; repeated rows give repeated results; an empty table gives none; other columns are ignored.
+    a null id stays null; repeated rows give repeated results; an empty table gives none; a very long text is one tall image;
+    other columns are ignored.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -365,6 +365,7 @@ def pack(cut: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) -> Da
 def packed_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their places. The pieces are written once, so that texts are tokenised once.
 
-    Null texts are empty; null ids, ties and repeated rows are rows like any other; other columns are ignored.
+    Null texts are empty; null ids, ties and repeated rows are rows like any other; very long texts are cut into pieces; an empty
+    table gives none; other columns are ignored.
     """
     return pack(written(pieces(df, tokenizer_path, id_col, text_col, capacity), "pieces"), id_col, capacity)

@@ -230,7 +230,8 @@ def without_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str
     Per row: id, n_bytes, n_removed, n_spans, kept_sha256 and, with keep_text, ``kept`` (the remaining bytes, binary). Texts
     are UTF-8 bytes, matches never cross documents, overlaps count, and all strings are judged on the input. A null text is
     empty, a null id stays null, repeated rows are documents of their own (so they remove each other), texts shorter than
-    ``length`` stay whole, an empty table gives none; other columns are ignored.
+    ``length`` stay whole, an empty table gives none; very long texts are searched whole, their places being one row each;
+    other columns are ignored.
     """
     docs, found = repeated_bytes(df, id_col, text_col, length)
 
