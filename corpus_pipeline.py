@@ -27,7 +27,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier scores THRESHOLD or more, unchanged; other columns than those of documents go.
 
     It is trained on the labels of the table, without the held-out part. Null, empty and blank texts are scored like any other,
-    as empty ones; repeated rows share a fate; a null id trains nothing; an empty table gives none.
+    as empty ones; repeated rows share a fate; a null id trains nothing; an empty table gives none. A very long text is scored whole,
+    by all its passages.
     """
     rows = docs.select(*COLUMNS)
     model = quality_model(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -38,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each class of near duplicates, unchanged.
 
     Null and empty texts are equal to each other, so one of them stays; one of repeated rows stays; a null id comes first; texts
-    are compared whole, whatever their length.
+    are compared whole, whatever their length; columns of any name pass; an empty table gives none.
     """
     return one_of_each_class(docs)
 
@@ -50,7 +51,8 @@ PASSAGE_BYTES = 200
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of PASSAGE_BYTES that start earlier too, in a document of lesser id or in the same one; the first copy stays.
 
-    All rows stay, repeated ones with equal texts; a null text becomes an empty one, shorter texts stay whole.
+    All rows stay, repeated ones with equal texts; a null text becomes an empty one, shorter texts stay whole; very long ones are
+    searched whole; columns of any name pass; an empty table gives none.
     """
     return _counted(texts_without_repeats(docs, length=PASSAGE_BYTES, spare_first=True))
 
@@ -59,7 +61,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; documents of several epochs are repeated.
 
     A null source is one source, the last; repeated rows are documents of their own; a document without words stands once an
-    epoch; ties of keys go by id and text; an empty table gives none.
+    epoch; ties of keys go by id and text; a very long text is taken whole or not; columns of any name pass; an empty table
+    gives none.
     """
     return _counted(mixed_documents(docs))
 
@@ -67,8 +70,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their places in sequences.
 
-    A null or empty text is one piece, the end id; longer texts are cut; repeated rows get places of their own; an empty table
-    gives none.
+    A null or empty text is one piece, the end id; longer texts are cut; repeated rows get places of their own; columns besides
+    id and text are ignored; an empty table gives none.
     """
     import public_tokenizers
 
