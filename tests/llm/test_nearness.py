@@ -186,7 +186,7 @@ def test_possible_pairs_miss_none():
     words = [np.array(t, np.uint64) for t in texts]
     label, block, own = np.arange(len(words)) // 2, np.arange(len(words)) % 3, np.arange(len(words)) % 5 != 1
     raw = [omh._binned(w) for w in words]
-    assert omh._binned(np.arange(200_000, dtype=np.uint64)).dtype == np.uint16
+    assert omh._binned(np.arange(800_000, dtype=np.uint64)).dtype == np.uint16
     for across in (False, True):
         got = {(min(i, int(j)), max(i, int(j))) for i, js in omh.possible(np.array([x.astype(np.int32) for x in raw]), label, block, across, own, 0.8) for j in js}
         want = {(i, j) for j in range(len(words)) for i in range(j) if label[i] != label[j] and (block[i] != block[j]) == across and (own[i] or own[j]) and omh.near(words[i], words[j])}

@@ -28,7 +28,7 @@ LEAST_SHORT, SHORT, SHORT_SHINGLE, SHORT_KEPT = 4, 40, 2, 2
 #: Random leaders of a bucket, beside the most famous member.
 LEADERS = 1
 #: Members of a bucket in one block, about, when what leaders left open is compared (two blocks are one group); bins of the counts of words.
-BLOCK, BINS = 1024, 256
+BLOCK, BINS = 1024, 2048
 #: Stands for a diagonal that no alignment has come to.
 OUT = np.int64(-(2**40))
 #: Words that are compared at once, at most, when a diagonal is followed.
@@ -98,7 +98,7 @@ def possible(bins: np.ndarray, label: np.ndarray, side: np.ndarray, across: bool
     An alignment keeps at most the lesser count of each bin, and ``least`` of the longer text's words at least, so no pair with
     an edit similarity of ``least`` is missed.
     """
-    sizes = bins.sum(axis=1)
+    sizes = bins.sum(axis=1, dtype=np.int64)
     order = np.argsort(sizes, kind="stable")
     bins, label, side, own, sizes = bins[order], label[order], side[order], own[order], sizes[order]
     ends = np.searchsorted(sizes, sizes / (least * (1 - 1e-9)), "right")
@@ -106,7 +106,7 @@ def possible(bins: np.ndarray, label: np.ndarray, side: np.ndarray, across: bool
         rest = slice(i + 1, end)
         js = i + 1 + np.flatnonzero((label[rest] != label[i]) & ((side[rest] != side[i]) == across) & (own[rest] | own[i]))
         if len(js):
-            shared = np.minimum(bins[js], bins[i]).sum(axis=1)
+            shared = np.minimum(bins[js], bins[i]).sum(axis=1, dtype=np.int64)
             js = js[shared >= least * sizes[js] * (1 - 1e-9)]
             if len(js):
                 yield int(order[i]), order[js]
@@ -312,7 +312,7 @@ def _left_pairs(named: DataFrame, words: DataFrame, least: float) -> DataFrame:
     def compared(cells: pa.Table) -> pa.RecordBatch:
         tid, label = (cells.column(c).to_numpy() for c in ("tid", "label"))
         side, own = (np.asarray(cells.column(c).combine_chunks().to_numpy(zero_copy_only=False), bool) for c in ("high_side", "own"))
-        bins = np.array([np.frombuffer(x, f"u{len(x) // BINS}") for x in cells.column("bins").to_pylist()]).astype(np.int32)
+        bins = np.array([np.frombuffer(x, f"u{len(x) // BINS}") for x in cells.column("bins").to_pylist()])
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         keys = np.stack([cells.column(c).to_numpy() for c in cell])
         starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
