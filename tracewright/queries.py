@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions import text as tx
-from tracewright.operators import entities, graph, keys, questions, relations, release, report, rules, scans, sequence, triples
+from tracewright.operators import entities, graph, keys, questions, relations, release, report, rules, scans, search, sequence, triples
 from tracewright.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -756,6 +756,18 @@ def triple_lines(spark: SparkSession, d: str) -> DataFrame:
     return triples.n_triples(_triples(spark, d))
 
 
+@query(
+    "WITH q AS (SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN upper(substr(p_name, 3, 7)) ELSE substr(p_name, 1, p_size % 5) || ' ' END AS query FROM part WHERE p_partkey % 29 = 1) "
+    "SELECT query, p_partkey FROM part JOIN q ON contains(lower(concat_ws(' ', p_name, p_brand, p_type)), lower(trim(query)))"
+)
+def indexed_search(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces of some parts' names, short and empty ones too, looked up in an index of all parts."""
+    part, key = table(spark, d, "part"), F.col("p_partkey")
+    piece = F.when(key % 3 == 0, F.upper(F.substring("p_name", 3, 7))).otherwise(F.concat(F.substring("p_name", F.lit(1), F.col("p_size") % 5), F.lit(" ")))
+    index = search.build_index(part, "p_partkey", ["p_name", "p_brand", "p_type"])
+    return search.search(index, part.filter(key % 29 == 1).select(piece.alias("query"))).withColumnRenamed("id", "p_partkey")
+
+
 @query("SELECT p_partkey, p_name, p_brand FROM part WHERE p_type = 'ECONOMY' AND contains(lower(concat_ws(' ', p_name, p_brand)), 'ring') ORDER BY p_name, p_partkey LIMIT 80")
 def faceted_search(spark: SparkSession, d: str) -> DataFrame:
     found = questions.text_search(questions.facet_filter(table(spark, d, "part"), p_type="ECONOMY", p_brand="all"), ["p_name", "p_brand"], " RING ")
