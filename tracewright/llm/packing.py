@@ -252,11 +252,12 @@ def _spread(columns: np.ndarray, x: np.ndarray, size: int) -> np.ndarray:
 SPARES = (0, 256, 64)
 
 
-def fitted_plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
-    """((pattern, repeats) of the fits, rounded; what they leave of counts). What rounding leaves is fitted again, as long as that takes anything."""
+def fitted_plans(counts: np.ndarray, capacity: int = CAPACITY) -> Iterator[tuple[list[tuple[tuple[int, ...], int]], np.ndarray]]:
+    """((pattern, repeats) of the fits, rounded; what they leave of counts), after each fit. What rounding leaves is fitted again, as long as that takes anything."""
     left = counts.astype(np.int64).copy()
     out: list[tuple[tuple[int, ...], int]] = []
     _take(left, out, (capacity,), int(left[capacity]))  # what fills a sequence alone needs no fit
+    yield list(out), left.copy()
     for spare in SPARES:
         while left[1:].any():
             made = patterns(left, capacity, capacity // spare if spare else 0)
@@ -266,9 +267,14 @@ def fitted_plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tupl
                 chosen = np.flatnonzero(repeats > 0.25)
                 for k in chosen[np.argsort(-repeats[chosen], kind="stable")]:
                     _take(left, out, made[k], int(repeats[k] + 0.5) or 1)
+            yield list(out), left.copy()
             if before - left.sum() <= before // 50:
                 break
-    return out, left
+
+
+def fitted_plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
+    """What all fits take, and what they leave."""
+    return list(fitted_plans(counts, capacity))[-1]
 
 
 def _take(left: np.ndarray, out: list, pattern: tuple[int, ...], most: int) -> None:
@@ -283,10 +289,21 @@ def _take(left: np.ndarray, out: list, pattern: tuple[int, ...], most: int) -> N
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """(pattern, repeats) that together use each length exactly counts[length] times. Its size depends on the number of lengths, not of pieces.
 
-    What the fits leave is packed by best fit: the largest length, then again and again the largest that still fits; all such
-    sequences at once.
+    What the fits leave is packed by best fit. Of few pieces a late fit, or any, may take what best fit needs, so each
+    number of fits is completed, and of those with the fewest sequences the one with most fits counts.
     """
-    out, left = fitted_plan(counts, capacity)
+    best, fewest = [], None
+    for out, left in fitted_plans(counts, capacity):
+        out += _best_fit(left, capacity)
+        sequences = sum(n for _, n in out)
+        if fewest is None or sequences <= fewest:
+            best, fewest = out, sequences
+    return best
+
+
+def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The largest length, then again and again the largest that still fits; all such sequences at once, so each step uses a length up."""
+    out: list[tuple[tuple[int, ...], int]] = []
     while (there := np.flatnonzero(left)).size and there[-1] > 0:
         pattern, spare = [int(there[-1])], left.copy()
         spare[there[-1]] -= 1
