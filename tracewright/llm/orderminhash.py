@@ -357,6 +357,7 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     fame = written(shared.groupBy("tid").agg(F.sum("size").alias("fame")), "fame")
     buckets = written(shared.join(fame, "tid").select("bucket", "tid", "fame"), "buckets")
     words = written(_with_words(docs.dropDuplicates(["dk", "digest"]) if _repeats(rows) else docs, fame.join(texts, "tid").select("tid", "dk", "digest")), "words")
+    dropped(sizes, fame)
     pairs = written(_pairs(buckets), "pairs")
     edges = written(_verified(pairs, words, least), "edges")
     labels = components(edges)
@@ -364,15 +365,23 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     now = buckets.join(labels.withColumnRenamed("node", "tid"), "tid", "left").select("bucket", "tid", F.coalesce("label", "tid").alias("label"))
     left = written(_left_pairs(now, words, least).join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = written(_verified(left, words, least), "edges")
+    dropped(left, words, buckets, pairs)
     if not more.isEmpty():
         labels = components(edges.union(more))
-    tids = texts.join(written(labels, "labels").withColumnRenamed("node", "tid"), "tid", "left").select("digest", "dk", F.coalesce("label", "tid").alias("label"))
+    labels = written(labels, "labels")
+    dropped(edges, more)
+    tids = texts.join(labels.withColumnRenamed("node", "tid"), "tid", "left").select("digest", "dk", F.coalesce("label", "tid").alias("label"))
     counted = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
     tids = written(tids.join(counted, "digest"), "classes")
     classes = written(tids.groupBy("label").agg(F.min("dk").alias("class"), F.min(F.struct("dk", "digest")).alias("f"), F.sum("copies").alias("class_size")), "named")
     named = written(tids.join(classes, "label").select("digest", "class", "class_size", F.col("f.digest").alias("d"), F.col("f.dk").alias("k")), "named")
+    dropped(texts, labels, tids, classes)
     told = rows.select("dk", "digest").join(named, "digest")
-    return told.select("dk", "digest", F.col("class").alias("class_key"), "class_size", ((F.col("dk") == F.col("k")) & (F.col("digest") == F.col("d"))).alias("first"))
+    told = told.select("dk", "digest", F.col("class").alias("class_key"), "class_size", ((F.col("dk") == F.col("k")) & (F.col("digest") == F.col("d"))).alias("first"))
+    # what is left of all tables is this one, a row a document
+    told = written(told, "told")
+    dropped(rows, named)
+    return told
 
 
 def _repeats(rows: DataFrame) -> bool:
