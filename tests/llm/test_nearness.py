@@ -179,6 +179,26 @@ def test_a_stranger_in_a_large_class_makes_few_rows(spark):
     assert pairs.count() == 2 * 5998 + 1
 
 
+def test_a_pair_of_many_common_buckets_is_made_once(spark, monkeypatch):
+    """All share buckets 3 and 8, even ones -2 too: each pair comes from the least that both are in."""
+    texts = spark.range(60).selectExpr("id AS tid", "array(3L, 8L, CASE WHEN id % 2 = 0 THEN -2L ELSE 100 + id END) AS sketches")
+    named = texts.selectExpr("explode(sketches) AS bucket", "tid", "tid AS label").filter("bucket < 100")
+    bins = np.zeros(omh.BINS, np.uint8)
+    bins[:10] = 10
+    words = texts.withColumn("n_words", F.lit(100).cast("long")).withColumn("bins", F.lit(bytes(bins)))
+    monkeypatch.setattr(type(named), "distinct", lambda df: df)
+    pairs = [(r["a"], r["b"]) for r in omh._left_pairs(named, words, 0.8).collect()]
+    assert sorted(pairs) == [(a, b) for a in range(60) for b in range(a)]
+
+
+def test_smaller_sketches():
+    import pyarrow as pa
+
+    lists = pa.chunked_array([pa.array([[5, -7, 9]]), pa.array([[5, 8]], pa.list_(pa.int64()))])
+    none = int(omh.NO_BUCKET)
+    assert omh._smaller(lists, np.array([9, 5])).tolist() == [[5, -7, none], [none, none, none]]
+
+
 def test_possible_pairs_miss_none():
     draw = random.Random(5)
     texts = [[draw.randint(0, 40) for _ in range(draw.randint(5, 30))] for _ in range(30)]

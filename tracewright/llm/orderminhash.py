@@ -35,6 +35,8 @@ OUT = np.int64(-(2**40))
 LOOK = 1024
 #: And words over all diagonals, about.
 AT_ONCE = 1_000_000
+#: Stands for no bucket, above all of them.
+NO_BUCKET = np.int64(2**63 - 1)
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -92,19 +94,24 @@ def _binned(words: np.ndarray) -> np.ndarray:
     return counts.astype(np.min_scalar_type(counts.max()))
 
 
-def possible(bins: np.ndarray, label: np.ndarray, side: np.ndarray, across: bool, own: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
+def possible(bins: np.ndarray, label: np.ndarray, side: np.ndarray, across: bool, own: np.ndarray, least: float, before: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """(i, js): the members with which member i may be near, each pair once: of other labels, ``across`` sides or not, one of the two ``own``.
 
     An alignment keeps at most the lesser count of each bin, and ``least`` of the longer text's words at least, so no pair with
-    an edit similarity of ``least`` is missed.
+    an edit similarity of ``least`` is missed. ``before``: a row of numbers a member, NO_BUCKET for none; members with one in common
+    at the same place meet elsewhere.
     """
     sizes = bins.sum(axis=1, dtype=np.int64)
     order = np.argsort(sizes, kind="stable")
     bins, label, side, own, sizes = bins[order], label[order], side[order], own[order], sizes[order]
+    before = np.zeros((len(order), 0), np.int64) if before is None else before[order]
     ends = np.searchsorted(sizes, sizes / (least * (1 - 1e-9)), "right")
     for i, end in enumerate(ends):
         rest = slice(i + 1, end)
         js = i + 1 + np.flatnonzero((label[rest] != label[i]) & ((side[rest] != side[i]) == across) & (own[rest] | own[i]))
+        places = np.flatnonzero(before[i] != NO_BUCKET)
+        if len(js) and len(places):
+            js = js[~(before[js][:, places] == before[i, places]).any(axis=1)]
         if len(js):
             shared = np.minimum(bins[js], bins[i]).sum(axis=1, dtype=np.int64)
             js = js[shared >= least * sizes[js] * (1 - 1e-9)]
@@ -195,16 +202,16 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
 
 def _with_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(tid, words, n_words, bins): 32-bit word hashes of the wanted texts (tid, dk, digest), each taken from its first document, and the counts of their words by bins."""
+    """(tid, words, n_words, bins, sketches): 32-bit word hashes of the wanted texts (tid, dk, digest, sketches), each taken from its first document, and the counts of their words by bins."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [(word_items(x) >> np.uint64(32)).astype(np.uint32) for x in batch.column(1).to_pylist()]
             bins = [_binned(x.astype(np.uint64)).tobytes() for x in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in words], pa.binary()), pa.array([len(x) for x in words], pa.int64()), pa.array(bins, pa.binary())], ["tid", "words", "n_words", "bins"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in words], pa.binary()), pa.array([len(x) for x in words], pa.int64()), pa.array(bins, pa.binary()), batch.column(2)], ["tid", "words", "n_words", "bins", "sketches"])
 
     rows = docs.join(wanted, ["dk", "digest"])
-    return rows.select("tid", "raw").mapInArrow(work, "tid long, words binary, n_words long, bins binary")
+    return rows.select("tid", "raw", "sketches").mapInArrow(work, "tid long, words binary, n_words long, bins binary, sketches array<long>")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -279,6 +286,16 @@ def _pairs(buckets: DataFrame) -> DataFrame:
     return both.select(F.greatest("tid", "leader").alias("a"), F.least("tid", "leader").alias("b")).distinct()
 
 
+def _smaller(sketches: pa.ChunkedArray, bucket: np.ndarray) -> np.ndarray:
+    """A row a text: those of its sketches that are less than the bucket it stands in, each at its place, NO_BUCKET elsewhere."""
+    lists = sketches.combine_chunks()
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.full((len(counts), int(counts.max(initial=0))), NO_BUCKET)
+    out[np.arange(out.shape[1]) < counts[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    out[out >= bucket[:, None]] = NO_BUCKET
+    return out
+
+
 def _left_pairs(named: DataFrame, words: DataFrame, least: float) -> DataFrame:
     """(a, b) with a > b of named (bucket, tid, label): the pairs of a bucket with different labels that may be near.
 
@@ -286,8 +303,10 @@ def _left_pairs(named: DataFrame, words: DataFrame, least: float) -> DataFrame:
     stands in the pool of its own band and in the next. In a pool, members of the label that most have need no comparison with
     each other. They are dealt to blocks, and so are all others; a cell takes a block of the one kind and a block of the
     others, or two blocks of others. So a pool of n members of which m have other labels makes about n + n * m / BLOCK rows,
-    and a large one isn't one task's.
+    and a large one isn't one task's. Where words has the texts' sketches, a pair comes from the least of the buckets that both are
+    in and from no other, so it is compared and made once, however many buckets it shares.
     """
+    told = ["bins", *(c for c in words.columns if c == "sketches")]
     band = F.floor(F.log(F.col("n_words").cast("double")) / F.log(F.lit(1 / least)))
     sized = named.join(words.select("tid", F.col("n_words")), "tid").withColumn("band", band)
     rows = sized.select("bucket", "tid", "label", F.explode(F.array(F.struct(F.col("band").alias("pool"), F.lit(True).alias("own")), F.struct((F.col("band") + 1).alias("pool"), F.lit(False).alias("own")))).alias("p")).select("bucket", "tid", "label", "p.*")
@@ -306,7 +325,7 @@ def _left_pairs(named: DataFrame, words: DataFrame, least: float) -> DataFrame:
         F.transform(to(F.col("others")), lambda o: cell(F.least(F.col("block"), o), F.greatest(F.col("block"), o))),
     )
     rows = rows.withColumn("cell", F.explode(F.when(F.col("is_main"), main_cells).otherwise(other_cells))).select("bucket", "pool", "cell.*", "tid", "label", "own")
-    rows = rows.join(words.select("tid", "bins"), "tid")
+    rows = rows.join(words.select("tid", *told), "tid")
     cell = ["bucket", "pool", "low", "high"]
 
     def compared(cells: pa.Table) -> pa.RecordBatch:
@@ -315,10 +334,11 @@ def _left_pairs(named: DataFrame, words: DataFrame, least: float) -> DataFrame:
         bins = np.array([np.frombuffer(x, f"u{len(x) // BINS}") for x in cells.column("bins").to_pylist()])
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         keys = np.stack([cells.column(c).to_numpy() for c in cell])
+        before = _smaller(cells.column("sketches"), keys[0]) if "sketches" in told else np.zeros((len(tid), 0), np.int64)
         starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
         for i, j in zip(starts, np.r_[starts[1:], len(tid)], strict=True):
             ids = tid[i:j]
-            for m, others in possible(bins[i:j], label[i:j], side[i:j], keys[2, i] != keys[3, i], own[i:j], least):
+            for m, others in possible(bins[i:j], label[i:j], side[i:j], keys[2, i] != keys[3, i], own[i:j], least, before[i:j]):
                 a.append(np.maximum(ids[m], ids[others]))
                 b.append(np.minimum(ids[m], ids[others]))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
@@ -356,7 +376,7 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     shared = members.join(sizes, "bucket")
     fame = written(shared.groupBy("tid").agg(F.sum("size").alias("fame")), "fame")
     buckets = written(shared.join(fame, "tid").select("bucket", "tid", "fame"), "buckets")
-    words = written(_with_words(docs.dropDuplicates(["dk", "digest"]) if _repeats(rows) else docs, fame.join(texts, "tid").select("tid", "dk", "digest")), "words")
+    words = written(_with_words(docs.dropDuplicates(["dk", "digest"]) if _repeats(rows) else docs, fame.join(texts, "tid").select("tid", "dk", "digest", "sketches")), "words")
     dropped(sizes, fame)
     pairs = written(_pairs(buckets), "pairs")
     edges = written(_verified(pairs, words, least), "edges")
