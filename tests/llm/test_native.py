@@ -204,6 +204,17 @@ def test_notices_inside_other_text(frame):
     assert got[len(texts) - 1]["n_matches"] >= 2
 
 
+def test_texts_without_needed_words_are_not_searched_for_runs(frame, monkeypatch):
+    """Only texts with such a word are split into runs, and no run without one reaches a template."""
+    needed = licenses.needed_words(licenses.TEMPLATES)
+    left = [" ".join(w for w in licenses.re.findall(r"[^\W_]+", t.lower()) if w not in needed) for _, t in licenses.TEMPLATES]
+    assert not any(brute_runs(t) for t in [*left, " ".join(left)])
+    rows = [(1, f"some words {licenses.TEMPLATES[0][1]} more words")]
+    assert licenses.license_scan(frame(rows), runs=True).first()["license"] == "Apache-2.0"
+    monkeypatch.setattr(licenses, "needed_words", lambda *_: ["word that no text has"])
+    assert licenses.license_scan(frame(rows), runs=True).first()["license"] is None
+
+
 def test_runs_in_long_texts_are_found_in_time(frame):
     """Bigrams of templates that stand alone and a notice in the middle: a run is only tried where enough of them are near each other."""
     import time

@@ -1,8 +1,8 @@
 """Licence scans: normalised text compared to licence templates by Dice coefficient over word bigrams, with DataFrame functions only.
 
 Units of a text are its lines, its paragraphs and the whole. Two exact bounds spare most comparisons. A unit is compared
-only to templates whose number of bigrams allows the wanted coefficient at all. And a text is split only if it holds one
-of a few words, chosen so that no unit without them can share enough bigrams with any template. For a template that no unit
+only to templates whose number of bigrams allows the wanted coefficient at all. And a text is split, into units or runs, only if
+it holds one of a few words, chosen so that nothing without them can share enough bigrams with any template. For a template that no unit
 matches, every run of words can (a notice inside a longer line, or wrapped inside a paragraph): the best run begins and ends with
 bigrams of the template, so only those are tried, of templates enough of whose bigrams the text holds. Nothing is shuffled.
 """
@@ -156,16 +156,17 @@ def _template_column(templates: list[tuple[str, str]]) -> Column:
     return F.expr(f"array({', '.join(parts)})")
 
 
-def _in_runs(grams: Column, known: list[tuple[str, str]], least: float) -> Column:
+def _in_runs(grams: Column, shared: Column, known: list[tuple[str, str]], least: float) -> Column:
     """(dice, k) of each template that a run of ``grams``, the bigrams of a text in order, reaches; of the best run.
 
+    shared: those of the text's bigrams that any template has, each once.
+
     Runs are as long as the template's size bounds allow. One that begins or ends with another text's bigram is never better
     than without it.
     """
     reach = least / (2 - least) * (1 - 1e-9)
-    distinct = F.array_distinct(grams)
     size = lambda t: F.size(t["grams"])
-    held = F.filter(_template_column(known), lambda t: F.size(F.array_intersect(distinct, t["grams"])) >= size(t) * F.lit(reach))
+    held = F.filter(_template_column(known), lambda t: F.size(F.array_intersect(shared, t["grams"])) >= size(t) * F.lit(reach))
     placed = F.transform(
         held,
         lambda t: F.struct(t["k"].alias("k"), t["grams"].alias("grams"), F.ceil(size(t) * F.lit(reach)).cast("int").alias("need"), F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.array_contains(t["grams"], F.get(grams, i))).alias("at")),
@@ -205,8 +206,10 @@ def license_scan(
     text = F.col("text")
     whole = F.concat(F.split(text, r"\n"), F.split(text, r"\n[\x20\t\r]*\n"), F.array(text))
     has = f"(?iu){'|'.join(map(re.escape, words))}"
-    units = F.when(text.rlike(has), F.filter(F.array_distinct(whole), lambda u: u.rlike(has)))
-    rows = df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).withColumn("units", units)
+    units = F.filter(F.array_distinct(whole), lambda u: u.rlike(has))
+    rows = df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
+    # a run of a text without the words falls short as its units do
+    rows = rows.withColumn("text", F.when(text.rlike(has), text)).withColumn("units", units)
     of_text = lambda u: F.array_remove(F.split(F.lower(u), r"[^\p{L}\p{N}]+"), "")
     in_order = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
     rows = rows.select(id_col, "text", F.transform("units", of_text).alias("words"))
@@ -229,9 +232,11 @@ def license_scan(
     if runs:
         # the bigrams of the whole in their order; a text of one word has none
         rows = rows.withColumn("words", of_text(text)).withColumn("grams", F.when(F.size("words") > 1, in_order(F.col("words"))))
+        every = F.array(*[F.lit(g) for g in sorted(set().union(*[bigrams(x) for _, x in known]))])
+        rows = rows.withColumn("shared", F.when(F.size("grams") > 0, F.array_intersect("grams", every)))
         by_unit = F.coalesce("matched", F.array().cast("array<struct<dice:double,k:int>>"))
-        more = F.filter(_in_runs(F.col("grams"), known, least), lambda r: ~F.exists(by_unit, lambda m: m["k"] == r["k"]))
-        rows = rows.select(id_col, F.when(F.size("grams") > 0, F.concat(by_unit, more)).otherwise(F.col("matched")).alias("matched"))
+        more = F.filter(_in_runs(F.col("grams"), F.col("shared"), known, least), lambda r: ~F.exists(by_unit, lambda m: m["k"] == r["k"]))
+        rows = rows.select(id_col, F.when(F.size("shared") > 0, F.concat(by_unit, more)).otherwise(F.col("matched")).alias("matched"))
     best = F.array_max("matched")
     names = F.array(*[F.lit(name) for name, _ in known])
     rows = rows.withColumn("best", best)
