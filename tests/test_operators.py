@@ -435,3 +435,14 @@ def test_shared_folder(spark):
     assert os.path.isdir(path)
     storage.dropped(t)
     assert not os.path.exists(path)
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """A table stands for the shuffles that made it; the session's own setting stays."""
+    from tracewright import storage
+
+    store, known = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager(), spark.conf.get(storage.CLEANUP)
+    files = lambda: {x.rsplit("/", 1)[-1] for x in store.diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before = files()
+    t = storage.written(spark.range(1000).groupBy(F.col("id") % 7).count(), "t")
+    assert not files() - before and t.count() == 7 and spark.conf.get(storage.CLEANUP) == known
