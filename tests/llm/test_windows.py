@@ -39,6 +39,30 @@ def test_names_are_sorted_by_induction_again(monkeypatch):
     assert len(depths) > 3 and all(b <= a // 2 + 1 for a, b in zip(depths, depths[1:], strict=False))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 3) | st.integers(1, 5000), max_size=90), st.integers(1, 4))
+def test_names_are_sorted_by_doubling(names, times):
+    text = np.array([*(names * times), 0])
+    assert suffixes.doubled(text, int(text.max()) + 1).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
+def test_no_long_string_is_induced_singly(monkeypatch):
+    sizes, whole = [], suffixes.induced_singly
+    monkeypatch.setattr(suffixes, "induced_singly", lambda text, *a: (sizes.append(len(text)), whole(text, *a))[1])
+    draw = np.random.default_rng(5)
+    part = draw.integers(97, 123, 9000, np.uint8)
+    raw = np.concatenate([part, part[::-1], part[:5000], np.full(3000, 97, np.uint8), part[2000:], part])
+    order = suffixes.suffix_array(raw)
+    assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:].tobytes())
+    assert max(sizes, default=0) < suffixes.LONG
+    shared = suffixes.permuted_prefixes(raw, order, 400)
+    for r in range(1, len(raw), 7):
+        x, y = raw[order[r] :][:400], raw[order[r - 1] :][:400]
+        size = min(len(x), len(y))
+        differ = np.flatnonzero(x[:size] != y[:size])
+        assert shared[order[r]] == (differ[0] if len(differ) else size)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=12), max_size=4), st.lists(st.integers(0, 4), max_size=15))
 def test_automaton_statistics(texts, asked):
