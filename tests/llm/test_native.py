@@ -1,8 +1,11 @@
 """Fingerprints, mixing and licence scans: the operators that are DataFrame functions only."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +55,35 @@ def test_fingerprints_against_brute_force(frame, odd_rows, per_range, ranges, mo
     assert one["near_next"] == 1.0
 
 
+def test_bisection_names_no_column_inside_its_lambda(spark):
+    """Whatever numbers Spark gives to columns, none can be taken for a lambda variable."""
+    lambdas = []
+    placed = spark.range(9).select("id", fingerprints._below(F.array(F.lit(3), F.lit(5)), 2, F.col("id")).alias("at"))
+    todo = [placed._jdf.queryExecution().analyzed().expressions().apply(1)]
+    while todo:
+        e = todo.pop()
+        lambdas += [e.references().toString()] * (e.getClass().getSimpleName() == "LambdaFunction")
+        todo += [e.children().apply(k) for k in range(e.children().size())]
+    assert lambdas and set(lambdas) == {"{}"}
+    assert [r["at"] for r in placed.orderBy("id").collect()] == [0, 0, 0, 1, 1, 2, 2, 2, 2]
+
+
+def test_fingerprints_as_a_sessions_first_query_over_ranges_of_ranges(tmp_path):
+    """In a process of its own: the columns' numbers begin at 0 there, as those of lambda variables do."""
+    code = f"""
+from pyspark.sql import SparkSession
+from tracewright.llm import fingerprints
+from tracewright.llm.queries import op5_document_fingerprints
+spark = SparkSession.builder.master("local[2]").config(map={{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.checkpoint.dir": "file://{tmp_path}"}}).getOrCreate()
+usual, fingerprints.RANGE_ROWS, fingerprints.MOST_RANGES = (fingerprints.RANGE_ROWS, fingerprints.MOST_RANGES), 5, 4
+got = sorted(map(tuple, op5_document_fingerprints(spark, "/root/testdata/sf0.001").collect()))
+fingerprints.RANGE_ROWS, fingerprints.MOST_RANGES = usual
+assert got == sorted(map(tuple, op5_document_fingerprints(spark, "/root/testdata/sf0.001").collect())) and len(got) >= 200
+"""
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ, capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0, ran.stderr[-3000:]
+
+
 def test_sketches_estimate_and_merge(spark):
     text = lambda a, b: " ".join(f"w{k}" for k in range(a, b))
     df = spark.createDataFrame([("g", text(0, 3004)), ("g", text(2000, 5004)), ("h", text(0, 3004))], "part string, text string")

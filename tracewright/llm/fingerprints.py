@@ -101,7 +101,7 @@ def with_next(df: DataFrame, key_col: str, carried: list[str], then: str = "next
         before = Window.orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)  # a row an outer range
         cut = written(cut.select("bucket__", "inner__", F.coalesce(F.sum(F.size("inner__") + 1).over(before), F.lit(0)).alias("base__")), "ranges")
         last = F.lit(cut.agg(F.max(F.col("base__") + F.size("inner__"))).first()[0]).cast("long")
-        nth = _below(F.col("inner__"), inner - 1, key)
+        nth = _counted(F.col("inner__"), key, lambda at, bound, key: F.when(bound <= key, at + 1).otherwise(at))
         placed = placed.withColumn("begins__", begins).join(cut, "bucket__").withColumn("nth__", nth)
         begins = F.when(F.col("nth__") > 0, F.get("inner__", F.col("nth__") - 1) == key).otherwise(F.col("begins__"))
         placed = placed.select(*df.columns, (F.col("base__") + F.col("nth__")).alias("bucket__"), begins.alias("begins__"))
@@ -120,9 +120,20 @@ def with_next(df: DataFrame, key_col: str, carried: list[str], then: str = "next
 
 
 def _below(bounds: Column, most: int, key: Column) -> Column:
-    """How many of at most ``most`` ascending bounds are at or below the key, by bisection."""
+    """How many of at most ``most`` ascending bounds, a constant, are at or below the key, by bisection.
+
+    The key goes with the accumulator, since the lambda must name no column of the table. Spark compares expressions by forms
+    whose lambda variables are numbered from 0; a column that has one of these numbers, as in the first query of a session, is
+    taken for such a variable there, and a join on the result then filters its other side by a column that side lacks.
+    """
     halves = [1 << k for k in range(max(most, 1).bit_length() - 1, -1, -1)]
-    return F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), lambda at, h: F.when(F.get(bounds, at + h - 1) <= key, at + h).otherwise(at))
+    return _counted(F.array(*[F.lit(h) for h in halves]), key, lambda at, h, key: F.when(F.get(bounds, at + h - 1) <= key, at + h).otherwise(at))
+
+
+def _counted(over: Column, key: Column, step) -> Column:
+    """The number that step(number so far, element, key) makes of 0 over the elements of an array."""
+    state = lambda at, key: F.struct(at.alias("at"), key.alias("key"))
+    return F.aggregate(over, state(F.lit(0), key), lambda s, x: state(step(s["at"], x, s["key"]), s["key"]), lambda s: s["at"])
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
